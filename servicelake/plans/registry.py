@@ -100,3 +100,156 @@ def agency_year_breach(spark, sf_dir):
 @register("borough_compare")
 def borough_compare(spark, sf_dir):
     return sla.borough_compare(gold.fixture_enriched(spark, sf_dir))
+
+
+# --- keys / paging -------------------------------------------------------------
+
+from servicelake.operators import drift, keys, merge, quality  # noqa: E402
+from servicelake.sources.fixtures import table  # noqa: E402
+
+PAGE_CURSOR = ("2024-01-10 00:00:00", 5000)
+PAGE_SIZE = 1000
+DEDUPE_ORDER = ("closed_date",)
+
+
+def _events_page(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    cursor = (F.lit(PAGE_CURSOR[0]).cast("timestamp_ntz"), F.lit(PAGE_CURSOR[1]).cast("bigint"))
+    return keys.keyset_page(ev, ["ts", "event_id"], cursor, PAGE_SIZE)
+
+
+@register("window_slice")
+def window_slice(spark, sf_dir):
+    return keys.in_window(
+        gold.fixture_typed(spark, sf_dir),
+        "created_date",
+        F.lit("1997-01-01").cast("timestamp_ntz"),
+        F.lit("1998-01-01").cast("timestamp_ntz"),
+    )
+
+
+@register("keyset_page")
+def keyset_page(spark, sf_dir):
+    return _events_page(spark, sf_dir)
+
+
+@register("page_cursor")
+def page_cursor(spark, sf_dir):
+    return keys.page_cursor(_events_page(spark, sf_dir), ["ts", "event_id"])
+
+
+@register("page_summary")
+def page_summary(spark, sf_dir):
+    return keys.page_summary(gold.fixture_typed(spark, sf_dir), "created_date", PAGE_SIZE)
+
+
+@register("pending_chunks")
+def pending_chunks(spark, sf_dir):
+    typed = gold.fixture_typed(spark, sf_dir)
+    return keys.pending_chunks(
+        keys.chunk_years(typed, "created_date"), keys.completed_year_ledger(typed, "created_date")
+    )
+
+
+@register("dedupe_latest")
+def dedupe_latest(spark, sf_dir):
+    return keys.dedupe_latest(gold.fixture_typed(spark, sf_dir), "unique_key", DEDUPE_ORDER)
+
+
+@register("as_of_load")
+def as_of_load(spark, sf_dir):
+    return keys.as_of(gold.fixture_typed(spark, sf_dir), "unique_key", "load_id", 1, DEDUPE_ORDER)
+
+
+# --- incremental / merge -----------------------------------------------------
+
+
+@register("incremental_select")
+def incremental_select(spark, sf_dir):
+    typed = gold.fixture_typed(spark, sf_dir)
+    target = keys.in_window(typed, "created_date", None, F.lit("2000-01-01").cast("timestamp_ntz"))
+    return merge.incremental_select(typed, target, "created_date")
+
+
+@register("upsert_requests")
+def upsert_requests(spark, sf_dir):
+    typed = gold.fixture_typed(spark, sf_dir)
+    target = keys.as_of(typed, "unique_key", "load_id", 1, DEDUPE_ORDER)
+    source = typed.where(F.col("load_id") >= 2)
+    return merge.upsert(target, source, "unique_key", DEDUPE_ORDER)
+
+
+@register("changed_rows")
+def changed_rows(spark, sf_dir):
+    typed = gold.fixture_typed(spark, sf_dir)
+    old = keys.as_of(typed, "unique_key", "load_id", 1, DEDUPE_ORDER)
+    new = keys.dedupe_latest(typed, "unique_key", DEDUPE_ORDER)
+    return merge.changed_rows(old, new, "unique_key", ["created_date", "closed_date", "status"])
+
+
+# --- quality -------------------------------------------------------------------
+
+FIXTURE_BOROUGHS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+FIXTURE_MIN_ROWS = 1000
+FRESHNESS_AS_OF = "2001-08-31 00:00:00"
+
+
+@register("quality_results")
+def quality_results(spark, sf_dir):
+    from servicelake.sources.fixtures import fixture_targets
+
+    staged = gold.fixture_staged(spark, sf_dir)
+    perf = gold.fixture_performance(spark, sf_dir)
+    return (
+        quality.run_checks(staged, "stg_requests", quality.staging_suite(FIXTURE_BOROUGHS, FIXTURE_MIN_ROWS), FRESHNESS_AS_OF)
+        .unionByName(quality.run_checks(perf, "fct_sla_performance", quality.gold_suite()))
+        .unionByName(quality.run_checks(fixture_targets(spark), "sla_targets", quality.seed_suite()))
+    )
+
+
+@register("duplicate_keys")
+def duplicate_keys(spark, sf_dir):
+    return quality.duplicate_values(gold.fixture_staged(spark, sf_dir), "unique_key")
+
+
+@register("invalid_values")
+def invalid_values(spark, sf_dir):
+    chk = quality.Check("borough accepted values", "accepted_values", "borough", values=quality.ACCEPTED_BOROUGHS)
+    return quality.invalid_values(gold.fixture_staged(spark, sf_dir), chk)
+
+
+@register("freshness")
+def freshness(spark, sf_dir):
+    return quality.freshness(gold.fixture_staged(spark, sf_dir), "created_date", FRESHNESS_AS_OF, 30)
+
+
+# --- schema drift --------------------------------------------------------------
+
+
+@register("json_key_types")
+def json_key_types(spark, sf_dir):
+    return drift.json_key_types(table(spark, sf_dir, "events"), "props", ["ts", "event_id"])
+
+
+def _layer_snapshots(spark, sf_dir):
+    from servicelake.sources.fixtures import raw_requests
+
+    order = ["unique_key", "load_id"]
+
+    def snap(df):
+        rec = drift.records_as_json(df, keep=order)
+        return drift.json_key_types(rec, "record", order)
+
+    return snap(raw_requests(spark, sf_dir)), snap(gold.fixture_typed(spark, sf_dir))
+
+
+@register("schema_diff")
+def schema_diff(spark, sf_dir):
+    old, new = _layer_snapshots(spark, sf_dir)
+    return drift.schema_diff(old, new)
+
+
+@register("drift_verdict")
+def drift_verdict(spark, sf_dir):
+    old, new = _layer_snapshots(spark, sf_dir)
+    return drift.drift_verdict(drift.schema_diff(old, new))

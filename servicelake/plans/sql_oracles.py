@@ -227,3 +227,226 @@ SELECT complaint_type_normalized AS complaint_type, borough, calendar_year,
 FROM enriched GROUP BY 1, 2, 3
 """,
 )
+
+# --- keys / paging -------------------------------------------------------------
+
+DEDUPE_ORDER_SQL = (
+    "closed_date DESC NULLS LAST, created_date DESC NULLS LAST, agency DESC NULLS LAST, "
+    "complaint_type DESC NULLS LAST, borough DESC NULLS LAST, status DESC NULLS LAST, "
+    "latitude DESC NULLS LAST, longitude DESC NULLS LAST, load_id DESC NULLS LAST"
+)
+
+
+def _dedupe(where: str = "TRUE") -> str:
+    return f"""(
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY {DEDUPE_ORDER_SQL}) AS _rn
+    FROM typed WHERE {where}
+  ) WHERE _rn = 1
+)"""
+
+
+PAGE_SQL = """(
+  SELECT * FROM events
+  WHERE ts > TIMESTAMP '2024-01-10 00:00:00' OR (ts = TIMESTAMP '2024-01-10 00:00:00' AND event_id > 5000)
+  ORDER BY ts, event_id LIMIT 1000
+)"""
+
+q(
+    "window_slice",
+    "SELECT * FROM typed WHERE created_date >= TIMESTAMP '1997-01-01' AND created_date < TIMESTAMP '1998-01-01'",
+)
+q("keyset_page", f"SELECT * FROM {PAGE_SQL}")
+q("page_cursor", f"SELECT ts, event_id FROM {PAGE_SQL} p ORDER BY ts DESC, event_id DESC LIMIT 1")
+q(
+    "page_summary",
+    """
+SELECT year(created_date) AS year, COUNT(*) AS rows, CAST(ceil(COUNT(*) / 1000.0) AS BIGINT) AS pages
+FROM typed GROUP BY 1
+""",
+)
+q(
+    "pending_chunks",
+    """
+, chunks AS (SELECT DISTINCT year(created_date) AS year FROM typed),
+ledger AS (
+  SELECT DISTINCT year(created_date) AS year FROM typed
+  WHERE year(created_date) < (SELECT max(year(created_date)) FROM typed)
+)
+SELECT c.year FROM chunks c WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.year = c.year)
+""".replace("\n, chunks", ", chunks", 1),
+)
+q("dedupe_latest", f"SELECT * FROM {_dedupe()}")
+q("as_of_load", f"SELECT * FROM {_dedupe('load_id <= 1')}")
+
+# --- incremental / merge -----------------------------------------------------
+
+q(
+    "incremental_select",
+    """
+SELECT * FROM typed
+WHERE created_date > (SELECT max(created_date) FROM typed WHERE created_date < TIMESTAMP '2000-01-01')
+""",
+)
+q(
+    "upsert_requests",
+    f"""
+, t AS {_dedupe('load_id <= 1')},
+s AS {_dedupe('load_id >= 2')}
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.unique_key = t.unique_key)
+UNION ALL
+SELECT * FROM s
+""".replace("\n, t AS", ", t AS", 1),
+)
+q(
+    "changed_rows",
+    f"""
+, o AS {_dedupe('load_id <= 1')},
+n AS {_dedupe()}
+SELECT n.*,
+  CASE WHEN o.unique_key IS NULL THEN 'inserted' ELSE 'updated' END AS change_kind
+FROM n LEFT JOIN o ON n.unique_key = o.unique_key
+WHERE o.unique_key IS NULL
+   OR n.created_date IS DISTINCT FROM o.created_date
+   OR n.closed_date IS DISTINCT FROM o.closed_date
+   OR n.status IS DISTINCT FROM o.status
+""".replace("\n, o AS", ", o AS", 1),
+)
+
+# --- quality -------------------------------------------------------------------
+
+_FIX_BOROUGHS = "('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"
+_REF_BOROUGHS = "('BRONX', 'BROOKLYN', 'MANHATTAN', 'QUEENS', 'STATEN ISLAND', 'UNSPECIFIED')"
+
+
+def _row(check, table, metric, threshold, severity, passed, src):
+    return (
+        f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", CAST({metric} AS DOUBLE) AS metric, "
+        f"'{threshold}' AS threshold, '{severity}' AS severity, {passed} AS passed FROM {src}"
+    )
+
+
+_checks = [
+    _row("Minimum row count check", "stg_requests", "COUNT(*)", "> 1000", "error", "COUNT(*) > 1000", "staged"),
+    _row("No missing primary keys", "stg_requests", "COUNT(*) FILTER (WHERE unique_key IS NULL)", "= 0", "error",
+         "COUNT(*) FILTER (WHERE unique_key IS NULL) = 0", "staged"),
+    _row("No missing created dates", "stg_requests", "COUNT(*) FILTER (WHERE created_date IS NULL)", "= 0", "error",
+         "COUNT(*) FILTER (WHERE created_date IS NULL) = 0", "staged"),
+    _row("Borough values mostly valid", "stg_requests",
+         f"100.0::DOUBLE * COUNT(*) FILTER (WHERE borough IS NOT NULL AND borough NOT IN {_FIX_BOROUGHS}) / NULLIF(COUNT(*), 0)",
+         "< 1%", "error",
+         f"coalesce(100.0::DOUBLE * COUNT(*) FILTER (WHERE borough IS NOT NULL AND borough NOT IN {_FIX_BOROUGHS}) / NULLIF(COUNT(*), 0) < 1.0, TRUE)",
+         "staged"),
+    _row("Data freshness check", "stg_requests",
+         "date_diff('second', max(created_date), TIMESTAMP '2001-08-31 00:00:00') / 86400.0", "< 30d", "error",
+         "coalesce(date_diff('second', max(created_date), TIMESTAMP '2001-08-31 00:00:00') / 86400.0 < 30.0, FALSE)",
+         "staged"),
+    _row("borough accepted values", "stg_requests",
+         f"COUNT(*) FILTER (WHERE borough IS NOT NULL AND borough NOT IN {_FIX_BOROUGHS})", "= 0", "warn",
+         f"COUNT(*) FILTER (WHERE borough IS NOT NULL AND borough NOT IN {_FIX_BOROUGHS}) = 0", "staged"),
+    _row("resolution_days between", "stg_requests",
+         "COUNT(*) FILTER (WHERE resolution_days IS NOT NULL AND (resolution_days < -365 OR resolution_days > 3650))",
+         "= 0", "warn",
+         "COUNT(*) FILTER (WHERE resolution_days IS NOT NULL AND (resolution_days < -365 OR resolution_days > 3650)) = 0",
+         "staged"),
+    _row("unique_key unique", "stg_requests", "COUNT(*)", "= 0", "error", "COUNT(*) = 0",
+         "(SELECT unique_key FROM staged WHERE unique_key IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"),
+    _row("Minimum aggregated rows", "fct_sla_performance", "COUNT(*)", "> 20", "error", "COUNT(*) > 20", "perf"),
+    _row("No missing breach rates", "fct_sla_performance", "COUNT(*) FILTER (WHERE sla_breach_rate IS NULL)", "= 0",
+         "error", "COUNT(*) FILTER (WHERE sla_breach_rate IS NULL) = 0", "perf"),
+    _row("Breach rate bounds check", "fct_sla_performance",
+         "100.0::DOUBLE * COUNT(*) FILTER (WHERE sla_breach_rate IS NOT NULL AND (sla_breach_rate < 0 OR sla_breach_rate > 1)) / NULLIF(COUNT(*), 0)",
+         "< 5%", "error",
+         "coalesce(100.0::DOUBLE * COUNT(*) FILTER (WHERE sla_breach_rate IS NOT NULL AND (sla_breach_rate < 0 OR sla_breach_rate > 1)) / NULLIF(COUNT(*), 0) < 5.0, TRUE)",
+         "perf"),
+    _row("complaint_type not null", "sla_targets", "COUNT(*) FILTER (WHERE complaint_type IS NULL)", "= 0", "error",
+         "COUNT(*) FILTER (WHERE complaint_type IS NULL) = 0", "targets"),
+    _row("target_days not null", "sla_targets", "COUNT(*) FILTER (WHERE target_days IS NULL)", "= 0", "error",
+         "COUNT(*) FILTER (WHERE target_days IS NULL) = 0", "targets"),
+    _row("complaint_type unique", "sla_targets", "COUNT(*)", "= 0", "error", "COUNT(*) = 0",
+         "(SELECT complaint_type FROM targets WHERE complaint_type IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"),
+]
+q("quality_results", "\n" + "\nUNION ALL\n".join(_checks))
+
+q(
+    "duplicate_keys",
+    "SELECT unique_key, COUNT(*) AS copies FROM staged WHERE unique_key IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1",
+)
+q(
+    "invalid_values",
+    f"SELECT borough, COUNT(*) AS rows FROM staged WHERE borough IS NOT NULL AND borough NOT IN {_REF_BOROUGHS} GROUP BY 1",
+)
+q(
+    "freshness",
+    """
+SELECT max(created_date) AS newest, TIMESTAMP '2001-08-31 00:00:00' AS as_of,
+  date_diff('second', max(created_date), TIMESTAMP '2001-08-31 00:00:00') / 86400.0 AS age_days,
+  coalesce(date_diff('second', max(created_date), TIMESTAMP '2001-08-31 00:00:00') / 86400.0 < 30.0, FALSE) AS passed
+FROM staged
+""",
+)
+
+# --- schema drift --------------------------------------------------------------
+
+_PY_TYPE = """CASE jt
+    WHEN 'NULL' THEN 'NoneType' WHEN 'BOOLEAN' THEN 'bool' WHEN 'VARCHAR' THEN 'str'
+    WHEN 'BIGINT' THEN 'int' WHEN 'UBIGINT' THEN 'int' WHEN 'HUGEINT' THEN 'int'
+    WHEN 'DOUBLE' THEN 'float' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'dict'
+    ELSE lower(jt) END"""
+
+
+def _key_types(src: str, json_col: str, order: list[str]) -> str:
+    """First non-null JSON type per key, records ordered newest first."""
+    order_by = ", ".join(f"{c} DESC" for c in order)
+    return f"""(
+  SELECT column_name,
+    coalesce(
+      (array_agg(t ORDER BY {order_by}) FILTER (WHERE t <> 'NoneType'))[1],
+      'NoneType') AS type_name
+  FROM (
+    SELECT {", ".join(order)}, k AS column_name,
+      {_PY_TYPE.replace("jt", "json_type(" + json_col + ", '$.\"' || k || '\"')")} AS t
+    FROM {src}, unnest(json_keys({json_col})) AS u(k)
+    WHERE NOT starts_with(k, ':')
+  ) GROUP BY column_name
+)"""
+
+
+q("json_key_types", f"SELECT * FROM {_key_types('events', 'props', ['ts', 'event_id'])}")
+
+_RAW_JSON = "(SELECT unique_key, load_id, to_json(r) AS record FROM raw_requests r)"
+_TYPED_JSON = "(SELECT unique_key, load_id, to_json(r) AS record FROM typed r)"
+_DIFF = f"""(
+  SELECT coalesce(o.column_name, n.column_name) AS column_name, o.type_name AS old_type, n.type_name AS new_type,
+    CASE WHEN n.type_name IS NULL THEN 'removed' WHEN o.type_name IS NULL THEN 'added'
+         WHEN o.type_name <> n.type_name THEN 'type_changed' END AS change
+  FROM {_key_types(_RAW_JSON, 'record', ['unique_key', 'load_id'])} o
+  FULL OUTER JOIN {_key_types(_TYPED_JSON, 'record', ['unique_key', 'load_id'])} n
+    ON o.column_name = n.column_name
+)"""
+q("schema_diff", f"SELECT * FROM {_DIFF} d WHERE change IS NOT NULL")
+q(
+    "drift_verdict",
+    f"""
+, d AS (SELECT * FROM {_DIFF} x WHERE change IS NOT NULL),
+lists AS (
+  SELECT
+    coalesce(list_sort(list(column_name) FILTER (WHERE change = 'removed')), []) AS removed,
+    coalesce(list_sort(list(column_name) FILTER (WHERE change = 'added')), []) AS added,
+    coalesce(list_sort(list(column_name || ': ' || old_type || ' -> ' || new_type) FILTER (WHERE change = 'type_changed')), []) AS retyped
+  FROM d
+)
+SELECT
+  len(removed) > 0 OR len(retyped) > 0 AS is_breaking,
+  CASE
+    WHEN len(removed) > 0 OR len(retyped) > 0 THEN array_to_string(list_filter([
+        CASE WHEN len(removed) > 0 THEN 'columns removed: ' || array_to_string(removed, ', ') END,
+        CASE WHEN len(retyped) > 0 THEN 'type changes: ' || array_to_string(retyped, ', ') END
+      ], lambda x: x IS NOT NULL), '; ')
+    WHEN len(added) > 0 THEN 'new optional columns added: ' || array_to_string(added, ', ')
+    ELSE 'no schema changes detected'
+  END AS description,
+  removed, added, retyped
+FROM lists
+""".replace("\n, d AS", ", d AS", 1),
+)
