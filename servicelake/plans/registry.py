@@ -253,3 +253,147 @@ def schema_diff(spark, sf_dir):
 def drift_verdict(spark, sf_dir):
     old, new = _layer_snapshots(spark, sf_dir)
     return drift.drift_verdict(drift.schema_diff(old, new))
+
+
+# --- benchmark queries A/B/C -------------------------------------------------
+
+from servicelake.operators import benchmarks, layout, verify  # noqa: E402
+from servicelake.session import shared_path  # noqa: E402
+from servicelake.sources.fixtures import raw_requests  # noqa: E402
+
+# Fixture literals in the role of the production ones (data spans 1995-2001).
+B_SINCE = "1998-01-01"
+C_BOROUGH, C_CATEGORY, C_START, C_END = "ASIA", "ECONOMY", "1998-01-01", "1999-01-01"
+
+
+@register("bench_a")
+def bench_a(spark, sf_dir):
+    return benchmarks.query_a(gold.fixture_typed(spark, sf_dir))
+
+
+@register("bench_b")
+def bench_b(spark, sf_dir):
+    return benchmarks.query_b(gold.fixture_typed(spark, sf_dir), B_SINCE)
+
+
+@register("bench_c")
+def bench_c(spark, sf_dir):
+    return benchmarks.query_c(gold.fixture_typed(spark, sf_dir), C_BOROUGH, C_CATEGORY, C_START, C_END)
+
+
+@register("bench_a_raw")
+def bench_a_raw(spark, sf_dir):
+    return benchmarks.query_a(raw_requests(spark, sf_dir), typed=False)
+
+
+@register("bench_b_raw")
+def bench_b_raw(spark, sf_dir):
+    return benchmarks.query_b(raw_requests(spark, sf_dir), B_SINCE, typed=False)
+
+
+@register("bench_c_raw")
+def bench_c_raw(spark, sf_dir):
+    return benchmarks.query_c(raw_requests(spark, sf_dir), C_BOROUGH, C_CATEGORY, C_START, C_END, typed=False)
+
+
+# --- layouts -----------------------------------------------------------------
+
+TYPED_COLUMNS = (
+    "unique_key", "created_date", "closed_date", "agency", "complaint_type", "borough",
+    "status", "latitude", "longitude", "load_id",
+)
+
+
+def _partitioned(spark, sf_dir) -> str:
+    return layout.write_partitioned(gold.fixture_typed(spark, sf_dir), shared_path(spark, "layouts", "partitioned"))
+
+
+def _zordered(spark, sf_dir) -> str:
+    return layout.write_zordered(gold.fixture_typed(spark, sf_dir), shared_path(spark, "layouts", "zordered"))
+
+
+@register("partition_rows")
+def partition_rows(spark, sf_dir):
+    return layout.partition_rows(spark, _partitioned(spark, sf_dir))
+
+
+@register("partition_file_counts")
+def partition_file_counts(spark, sf_dir):
+    return layout.partition_file_counts(spark, _partitioned(spark, sf_dir))
+
+
+@register("partitioned_bench_c")
+def partitioned_bench_c(spark, sf_dir):
+    df = spark.read.parquet(_partitioned(spark, sf_dir))
+    return benchmarks.query_c(df, C_BOROUGH, C_CATEGORY, C_START, C_END, partitioned=True, columns=list(TYPED_COLUMNS))
+
+
+@register("zorder_content")
+def zorder_content(spark, sf_dir):
+    return spark.read.parquet(_zordered(spark, sf_dir)).select(*TYPED_COLUMNS)
+
+
+@register("file_index")
+def file_index(spark, sf_dir):
+    return layout.file_index(spark, _zordered(spark, sf_dir), ["borough", "complaint_type", "created_date"])
+
+
+@register("skip_report")
+def skip_report(spark, sf_dir):
+    index = layout.file_index(spark, _partitioned(spark, sf_dir), ["borough", "created_date"])
+    return layout.skip_report(index, equals={"borough": C_BOROUGH})
+
+
+@register("storage_report")
+def storage_report(spark, sf_dir):
+    raw_path = shared_path(spark, "layouts", "raw")
+    raw_requests(spark, sf_dir).write.mode("overwrite").parquet(raw_path)
+    return layout.storage_report(
+        spark,
+        [("raw_parquet", raw_path), ("partitioned", _partitioned(spark, sf_dir)), ("zordered", _zordered(spark, sf_dir))],
+    )
+
+
+@register("compaction_report")
+def compaction_report(spark, sf_dir):
+    src = _partitioned(spark, sf_dir)
+    return layout.compact(spark, src, shared_path(spark, "layouts", "compacted"), partition_cols=layout.PARTITION_COLS)
+
+
+# --- verification --------------------------------------------------------------
+
+
+@register("layer_parity")
+def layer_parity(spark, sf_dir):
+    typed = gold.fixture_typed(spark, sf_dir)
+    z = spark.read.parquet(_zordered(spark, sf_dir)).select(*TYPED_COLUMNS)
+    return verify.content_parity(typed, z)
+
+
+@register("validate_only")
+def validate_only(spark, sf_dir):
+    return verify.validate_only(gold.fixture_typed(spark, sf_dir))
+
+
+@register("coordinate_disagreement")
+def coordinate_disagreement(spark, sf_dir):
+    typed = gold.fixture_typed(spark, sf_dir)
+    parents = keys.dedupe_latest(typed, "unique_key", DEDUPE_ORDER)
+    child = keys.as_of(typed, "unique_key", "load_id", 3, DEDUPE_ORDER)
+    return verify.coordinate_disagreement(
+        parents, child, "unique_key", [("latitude", "latitude"), ("longitude", "longitude")]
+    )
+
+
+# --- streaming -----------------------------------------------------------------
+
+
+@register("ingest_available")
+def ingest_available(spark, sf_dir):
+    from servicelake.streaming.ingest import ingest_available as run, read_sink
+
+    schema = table(spark, sf_dir, "events").schema
+    sink = shared_path(spark, "streams", "events_sink")
+    ckpt = shared_path(spark, "streams", "events_ckpt")
+    run(spark, sf_dir, schema, sink, ckpt, glob="events.parquet")
+    return read_sink(spark, sink)
