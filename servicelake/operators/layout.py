@@ -150,6 +150,11 @@ def zorder_boundaries(df: DataFrame, cols: Sequence[str], bits: int = 8, accurac
     return [sorted({float(x) for x in (row[f"b{i}"] or [])}) for i in range(len(cols))]
 
 
+def _below(key: Column):
+    # One-argument lambda (a second parameter would be read as the index).
+    return lambda x: x < key
+
+
 def with_zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, boundaries: list[list[float]] | None = None) -> DataFrame:
     """L3: add ``_z``, the bit-interleaved rank buckets of ``cols``.
 
@@ -164,7 +169,7 @@ def with_zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, boundaries: l
     for j, (c, b) in enumerate(zip(cols, bounds)):
         key = order_key(df, c)
         arr = F.array(*[F.lit(x) for x in b]) if b else F.array().cast("array<double>")
-        bucket = F.coalesce(F.size(F.filter(arr, lambda x, key=key: x < key)), F.lit(0)).cast("bigint")
+        bucket = F.coalesce(F.size(F.filter(arr, _below(key))), F.lit(0)).cast("bigint")
         for i in range(bits):
             z = z + F.shiftleft(F.shiftright(bucket, i).bitwiseAND(F.lit(1)), i * k + j)
     return df.withColumn(Z_COL, z)
