@@ -69,3 +69,15 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         pieces.append(uuid.uuid4().hex[:12])
     return "/".join(p.strip("/") if i else p for i, p in enumerate(pieces))
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used for small derived tables that several later steps read (e.g. the
+    performance fact feeding the trends fact), so the expensive plan under
+    them runs once.  Never a local (executor-disk) checkpoint: it would not
+    survive executor loss.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
