@@ -13,7 +13,6 @@ materialisation on the client (``collect``), median of BENCH_RUNS runs.
 from __future__ import annotations
 
 import json
-import math
 import os
 import statistics
 import sys
@@ -64,7 +63,7 @@ def main() -> None:
     z_path = layout.write_zordered(
         typed_src,
         shared_path(spark, "bench", "zordered"),
-        num_partitions=max(cpus * 2, math.ceil(n_rows / 50_000)),
+        rows_per_file=50_000,
     )
     layers = {
         "raw_parquet": (raw, False, False),

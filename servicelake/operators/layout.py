@@ -138,16 +138,24 @@ def order_key(df: DataFrame, col: str) -> Column:
 
 
 def zorder_boundaries(df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10_000) -> list[list[float]]:
-    """Per-column quantile boundaries (``2**bits - 1`` at most), one pass.
+    """Per-column quantile boundaries (``2**bits - 1`` at most), one pass."""
+    return zorder_profile(df, cols, bits, accuracy)[0]
+
+
+def zorder_profile(
+    df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10_000
+) -> tuple[list[list[float]], int]:
+    """Quantile boundaries of every Z column plus the row count, in one pass.
 
     ``approx_percentile`` keeps a bounded sketch per task and merges them,
     so the pass is distributed and the result is ``k * (2**bits - 1)``
-    numbers -- never data rows.
+    numbers and one count -- never data rows.
     """
     qs = [i / (1 << bits) for i in range(1, 1 << bits)]
     aggs = [F.percentile_approx(order_key(df, c), qs, accuracy).alias(f"b{i}") for i, c in enumerate(cols)]
-    row = df.agg(*aggs).first()
-    return [sorted({float(x) for x in (row[f"b{i}"] or [])}) for i in range(len(cols))]
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs).first()
+    bounds = [sorted({float(x) for x in (row[f"b{i}"] or [])}) for i in range(len(cols))]
+    return bounds, int(row["_rows"])
 
 
 def _below(key: Column):
@@ -182,6 +190,7 @@ def write_zordered(
     ts_col: str = "created_date",
     key_col: str = "borough",
     num_partitions: int | None = None,
+    rows_per_file: int = 1_000_000,
     bits: int = 8,
     fmt: str = "parquet",
 ) -> str:
@@ -189,10 +198,14 @@ def write_zordered(
 
     Range partitioning on ``(partition cols, _z)`` gives each task a
     contiguous Z range of one partition, so files have narrow min/max on the
-    Z columns, and a hot partition is spread over several tasks.
+    Z columns, and a hot partition is spread over several tasks.  The task
+    count follows the data: ``rows / rows_per_file`` (the row count comes
+    from the same pass that computes the Z boundaries), unless given.
     """
-    data = with_zorder(with_partition_columns(df, ts_col, key_col), list(zorder_by), bits)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    data = with_partition_columns(df, ts_col, key_col)
+    bounds, rows = zorder_profile(data, list(zorder_by), bits)
+    n = num_partitions or max(1, math.ceil(rows / rows_per_file))
+    data = with_zorder(data, list(zorder_by), bits, boundaries=bounds)
     out = (
         data.repartitionByRange(n, *[F.col(c) for c in PARTITION_COLS], F.col(Z_COL))
         .sortWithinPartitions(*PARTITION_COLS, Z_COL)
