@@ -200,11 +200,13 @@ def write_zordered(
     contiguous Z range of one partition, so files have narrow min/max on the
     Z columns, and a hot partition is spread over several tasks.  The task
     count follows the data: ``rows / rows_per_file`` (the row count comes
-    from the same pass that computes the Z boundaries), unless given.
+    from the same pass that computes the Z boundaries) but at least the
+    cluster's default parallelism, unless given.
     """
     data = with_partition_columns(df, ts_col, key_col)
     bounds, rows = zorder_profile(data, list(zorder_by), bits)
-    n = num_partitions or max(1, math.ceil(rows / rows_per_file))
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    n = num_partitions or max(parallelism, math.ceil(rows / rows_per_file))
     data = with_zorder(data, list(zorder_by), bits, boundaries=bounds)
     out = (
         data.repartitionByRange(n, *[F.col(c) for c in PARTITION_COLS], F.col(Z_COL))

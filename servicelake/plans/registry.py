@@ -409,3 +409,40 @@ def ingest_available(spark, sf_dir):
     ckpt = shared_path(spark, "streams", "events_ckpt")
     run(spark, sf_dir, schema, sink, ckpt, glob="events.parquet")
     return read_sink(spark, sink)
+
+
+# --- further inventory items ---------------------------------------------------
+
+SCHEMA_SAMPLE_SIZE = 100  # newest records sampled by the drift detector
+
+
+@register("backfill_window")
+def backfill_window(spark, sf_dir):
+    return keys.backfill(gold.fixture_typed(spark, sf_dir), "created_date", "1999-01-01", "1999-07-01")
+
+
+@register("newest_key_types")
+def newest_key_types(spark, sf_dir):
+    return drift.json_key_types(table(spark, sf_dir, "events"), "props", ["ts", "event_id"], sample=SCHEMA_SAMPLE_SIZE)
+
+
+@register("raw_row_count")
+def raw_row_count(spark, sf_dir):
+    return raw_requests(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_rows"))
+
+
+@register("reader_parity")
+def reader_parity(spark, sf_dir):
+    typed = gold.fixture_typed(spark, sf_dir)
+    silver = spark.read.parquet(_partitioned(spark, sf_dir))
+    return verify.count_parity(typed, silver)
+
+
+@register("failed_checks")
+def failed_checks(spark, sf_dir):
+    return quality.failed_checks(quality_results(spark, sf_dir))
+
+
+@register("compaction_needed")
+def compaction_needed(spark, sf_dir):
+    return layout.needs_compaction(layout.file_stats(spark, _partitioned(spark, sf_dir)), max_files=500)
