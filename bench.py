@@ -115,6 +115,23 @@ def main() -> None:
         else:
             results[qname], rows[qname] = timed(plan.collect, runs)
 
+    # storage per layer and files Query C must open on each layer
+    storage = {}
+    for name, path in (("raw_parquet", raw_path), ("partitioned", part_path), ("zordered", z_path)):
+        st = layout.file_stats(spark, path).first()
+        storage[name] = {"files": st["files"], "bytes": st["bytes"]}
+    c_pred = layout.partition_predicates((C_START, C_END), {"borough": C_BOROUGH})
+    files_c = {"raw_parquet": storage["raw_parquet"]["files"]}
+    for name, path in (("partitioned", part_path), ("zordered", z_path)):
+        files_c[name] = layout.partition_file_counts(spark, path).where(c_pred).agg(F.sum("files")).first()[0]
+    for name, path in (("partitioned", part_path), ("zordered", z_path)):
+        index = layout.file_index(spark, path, ["borough", "complaint_type"], partition_cols=layout.PARTITION_COLS)
+        overlap = (
+            (F.col("borough_min") <= C_BOROUGH) & (F.col("borough_max") >= C_BOROUGH)
+            & (F.col("complaint_type_min") <= C_CATEGORY) & (F.col("complaint_type_max") >= C_CATEGORY)
+        )
+        files_c[f"{name}_with_minmax"] = index.where(c_pred & overlap).count()
+
     speedup_c = results["query_c_raw_parquet"] / results["query_c_zordered"] if results["query_c_zordered"] else None
     out = {
         "metric": "sum_of_median_query_seconds",
@@ -124,6 +141,8 @@ def main() -> None:
         "rows": rows,
         "input_rows": n_rows,
         "query_c_speedup_raw_vs_zordered": round(speedup_c, 2) if speedup_c else None,
+        "storage": storage,
+        "query_c_files": files_c,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "runs": runs,

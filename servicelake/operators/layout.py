@@ -63,7 +63,9 @@ def partition_predicates(
         if start is not None:
             cond = cond & (F.col(MONTH_COL) >= F.trunc(F.lit(str(start)).cast("date"), "MM"))
         if end is not None:
-            cond = cond & (F.col(MONTH_COL) <= F.trunc(F.lit(str(end)).cast("date"), "MM"))
+            # half-open end: the last month touched is the month of end - 1us
+            last = F.lit(str(end)).cast("timestamp_ntz") - F.expr("INTERVAL 1 MICROSECOND")
+            cond = cond & (F.col(MONTH_COL) <= F.trunc(last.cast("date"), "MM"))
     for col, value in (equals or {}).items():
         if col != key_col:
             continue
@@ -256,13 +258,19 @@ def partition_rows(spark: SparkSession, path: str, partition_cols: Sequence[str]
     return spark.read.parquet(path).groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def file_index(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame:
-    """Per data file, row count and min/max of ``cols``."""
+def file_index(
+    spark: SparkSession, path: str, cols: Sequence[str], partition_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Per data file, row count and min/max of ``cols``.
+
+    ``partition_cols`` carries each file's partition values along, so the
+    index can be filtered with the same partition predicates as a query.
+    """
     df = with_file_path(spark.read.parquet(path))
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in cols:
         aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
-    return df.groupBy("file_path").agg(*aggs)
+    return df.groupBy("file_path", *partition_cols).agg(*aggs)
 
 
 def skip_report(
