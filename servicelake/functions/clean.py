@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: timestamp text format of the landing records.
 LANDING_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+# The same format as a full-string regular expression (fast path below).
+LANDING_TS_REGEX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"
 
 
 def _col(c: str | Column) -> Column:
@@ -27,6 +29,11 @@ def parse_ts(c: str | Column, fmt: str = LANDING_TS_FORMAT) -> Column:
     parsed, so ANSI mode never raises.
     """
     c = _col(c)
+    if fmt == LANDING_TS_FORMAT:
+        # Fast path, same result: the text must have exactly the landing
+        # shape, then Spark's native ISO-8601 cast parses it (it rejects
+        # impossible dates and times just like the pattern parser).
+        return F.when(c.rlike(LANDING_TS_REGEX), c.try_cast("timestamp_ntz"))
     fmt_lit = F.lit(fmt)
     return F.when(F.try_to_timestamp(c, fmt_lit).isNotNull(), F.to_timestamp_ntz(c, fmt_lit))
 

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# DataFrames are immutable plans, so a size verdict holds for the object's
+# lifetime; remembering it saves one small job per reuse (e.g. a seed frame
+# joined by many queries).
+_VERDICTS: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: each task stops after
+    Runs ``limit(max_rows + 1).count()``: the scan stops after
     ``max_rows + 1`` rows, so the check costs a bounded amount of work no
     matter how large ``df`` is.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        cached = _VERDICTS.get(df)
+    except TypeError:
+        cached = None
+    if cached is not None and cached[0] == max_rows:
+        return cached[1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    try:
+        _VERDICTS[df] = (max_rows, ok)
+    except TypeError:
+        pass
+    return ok
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -64,14 +64,14 @@ def enrich(staged: DataFrame, targets: DataFrame, targets_max_rows: int = TARGET
     Inner join on purpose: categories without a documented target have no
     breach to measure.
     """
-    t = targets.select(
+    t = bounded_broadcast(targets, targets_max_rows).select(
         F.col("complaint_type").alias("_target_type"), "responsible_agency", "target_days"
-    )
-    joined = staged.join(
-        bounded_broadcast(t, targets_max_rows),
-        staged.complaint_type_normalized == F.col("_target_type"),
-        "inner",
-    )
+    ).where(F.col("_target_type").isNotNull())
+    # Null-safe key on a side without NULL keys: the same rows as ``=``, but
+    # Catalyst does not infer an ``isnotnull(normalised category)`` filter,
+    # which it would push below the projection and so evaluate the whole
+    # category CASE chain twice per row.
+    joined = staged.join(t, staged.complaint_type_normalized.eqNullSafe(F.col("_target_type")), "inner")
     rd, target = F.col("resolution_days"), F.col("target_days")
     return joined.select(
         "unique_key",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The documented SLA targets seed (complaint_type,
@@ -61,9 +62,23 @@ def read_table(
     return df
 
 
+def literal_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
+    """A small in-memory table as a JVM-only plan (inline literal array).
+
+    Unlike ``createDataFrame(list)`` this does not go through a Python RDD,
+    so scanning or broadcasting it never starts Python workers.
+    """
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+    ]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def targets_frame(spark: SparkSession, rows: Iterable[tuple[str, str, int]] = REFERENCE_SLA_TARGETS) -> DataFrame:
     """Seed dimension from in-memory rows (bounded by construction)."""
-    return spark.createDataFrame(list(rows), TARGETS_SCHEMA)
+    return literal_frame(spark, list(rows), TARGETS_SCHEMA)
 
 
 def load_targets(spark: SparkSession, path: str) -> DataFrame:

@@ -49,3 +49,22 @@ def test_partition_columns(spark):
     assert row["created_month"] == dt.datetime(2023, 7, 1)
     assert row["borough_truncated"] == "B"
     assert F is not None
+
+
+def test_landing_fast_path_equals_pattern_parse(spark):
+    edge = [
+        "2021-02-30T00:00:00.000", "2021-13-01T00:00:00.000", "2021-01-01T24:00:00.000",
+        "2021-01-01T23:59:60.000", "2021-1-01T00:00:00.000", "2021-01-01T00:00:00.0000",
+        "2021-01-01 00:00:00.000", "+2021-01-01T00:00:00.000", "2021-01-01T00:00:00.000Z",
+        "2021-03-14T02:30:00.000", " 2021-01-01T00:00:00.000", "12345-01-01T00:00:00.000",
+        "2024-02-29T12:34:56.789", "2023-02-29T12:34:56.789", None, "",
+    ]
+    df = spark.createDataFrame([(s,) for s in edge], "s string")
+    fast = clean.parse_ts("s")
+    slow = F.when(
+        F.try_to_timestamp(F.col("s"), F.lit(clean.LANDING_TS_FORMAT)).isNotNull(),
+        F.to_timestamp_ntz(F.col("s"), F.lit(clean.LANDING_TS_FORMAT)),
+    )
+    rows = df.select("s", fast.alias("a"), slow.alias("b")).collect()
+    assert all(r.a == r.b for r in rows), [r for r in rows if r.a != r.b]
+    assert sum(r.a is not None for r in rows) == 2
