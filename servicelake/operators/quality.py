@@ -67,27 +67,55 @@ def _invalid(check: Check) -> Column:
     return c.isNotNull() & bad
 
 
-def _metric_and_pass(check: Check, rows: Column, as_of: Column | None) -> tuple[Column, Column]:
+# A metric is assembled from mergeable partial aggregates: each partial is
+# (name, row-level aggregate, merge kind), and the final metric is an
+# expression over the merged partials.  This lets the whole suite run as one
+# partially aggregated pass, grouped by the key of a uniqueness check if the
+# suite has one (so that check needs no separate scan).
+_ROWS = "_rows"
+
+
+def _partials(i: int, check: Check) -> list[tuple[str, Column, str]]:
+    k = check.kind
+    if k == "row_count_gt":
+        return []
+    if k == "missing_count_eq":
+        return [(f"_p{i}", F.count_if(F.col(check.column).isNull()), "sum")]
+    if k in ("accepted_values", "between", "invalid_percent_lt"):
+        return [(f"_p{i}", F.count_if(_invalid(check)), "sum")]
+    if k == "freshness_lt_days":
+        return [(f"_p{i}", F.max(F.col(check.column)), "max")]
+    if k == "unique":
+        return []
+    raise ValueError(f"unknown check kind {check.kind!r}")
+
+
+def _final(i: int, check: Check, as_of: Column | None, dup_col: str | None) -> tuple[Column, Column]:
     thr = F.lit(float(check.threshold))
-    if check.kind == "row_count_gt":
+    rows = F.col(_ROWS)
+    k = check.kind
+    if k == "row_count_gt":
         m = rows.cast("double")
         return m, m > thr
-    if check.kind == "missing_count_eq":
-        m = F.count_if(F.col(check.column).isNull()).cast("double")
+    if k == "missing_count_eq":
+        m = F.col(f"_p{i}").cast("double")
         return m, m == thr
-    if check.kind in ("accepted_values", "between"):
-        m = F.count_if(_invalid(check)).cast("double")
+    if k in ("accepted_values", "between"):
+        m = F.col(f"_p{i}").cast("double")
         return m, m == F.lit(0.0)
-    if check.kind == "invalid_percent_lt":
-        m = F.lit(100.0) * F.count_if(_invalid(check)) / F.nullif(rows, F.lit(0))
+    if k == "invalid_percent_lt":
+        m = F.lit(100.0) * F.col(f"_p{i}") / F.nullif(rows, F.lit(0))
         return m, F.coalesce(m < thr, F.lit(True))
-    if check.kind == "freshness_lt_days":
+    if k == "freshness_lt_days":
         if as_of is None:
             raise ValueError("freshness checks need as_of")
-        newest = F.max(F.col(check.column)).cast("timestamp_ntz")
+        newest = F.col(f"_p{i}").cast("timestamp_ntz")
         # Wall-clock difference of two NTZ values: no time zone involved.
         m = F.timestamp_diff("SECOND", newest, as_of).cast("double") / F.lit(86400.0)
         return m, F.coalesce(m < thr, F.lit(False))
+    if k == "unique":
+        m = F.col(dup_col).cast("double")
+        return m, m == F.lit(0.0)
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
@@ -103,52 +131,63 @@ def _threshold_text(check: Check) -> str:
     return "= 0"
 
 
+def _result_row(check: Check, table: str, metric: Column, passed: Column) -> Column:
+    return F.struct(
+        F.lit(check.name).alias("check"),
+        F.lit(table).alias("table"),
+        metric.cast("double").alias("metric"),
+        F.lit(_threshold_text(check)).alias("threshold"),
+        F.lit(check.severity).alias("severity"),
+        passed.alias("passed"),
+    )
+
+
 def run_checks(
     df: DataFrame,
     table: str,
     checks: Sequence[Check],
     as_of: dt.datetime | dt.date | str | None = None,
 ) -> DataFrame:
-    """Evaluate a suite against ``df``: one aggregation pass + one per uniqueness check."""
+    """Evaluate a suite against ``df`` in one scan.
+
+    Without a uniqueness check this is one global aggregate.  With one, the
+    rows are first aggregated per key of the (first) uniqueness check --
+    a partial hash aggregate, so a hot key is combined before the shuffle --
+    and every other metric is merged from those per-key partials; the number
+    of duplicated keys falls out of the same pass.  Uniqueness checks on
+    further columns need their own grouping and run as extra passes.
+    """
+    if not checks:
+        raise ValueError("empty check suite")
     as_of_col = F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None else None
-    rows = F.count(F.lit(1))
-    structs = []
-    for chk in checks:
-        if chk.kind == "unique":
-            continue
-        metric, passed = _metric_and_pass(chk, rows, as_of_col)
-        structs.append(
-            F.struct(
-                F.lit(chk.name).alias("check"),
-                F.lit(table).alias("table"),
-                metric.cast("double").alias("metric"),
-                F.lit(_threshold_text(chk)).alias("threshold"),
-                F.lit(chk.severity).alias("severity"),
-                passed.alias("passed"),
-            )
+    uniques = [c for c in checks if c.kind == "unique"]
+    key = uniques[0].column if uniques else None
+    parts = [p for i, c in enumerate(checks) for p in _partials(i, c)]
+    if key is None:
+        merged = df.agg(F.count(F.lit(1)).alias(_ROWS), *[agg.alias(n) for n, agg, _ in parts])
+        dup_cols: dict[str, str] = {}
+    else:
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias(_ROWS), *[agg.alias(n) for n, agg, _ in parts])
+        merge = {"sum": F.sum, "max": F.max}
+        merged = per_key.agg(
+            F.sum(_ROWS).alias(_ROWS),
+            F.count_if(F.col(key).isNotNull() & (F.col(_ROWS) > 1)).alias("_dups"),
+            *[merge[kind](n).alias(n) for n, _, kind in parts],
         )
-    parts = []
-    if structs:
-        parts.append(df.agg(F.array(*structs).alias("_r")).select(F.inline("_r")))
-    for chk in checks:
-        if chk.kind != "unique":
+        dup_cols = {key: "_dups"}
+    rows = []
+    extra = []
+    for i, chk in enumerate(checks):
+        if chk.kind == "unique" and chk.column not in dup_cols:
+            extra.append(chk)
             continue
-        dups = duplicate_values(df, chk.column).agg(F.count(F.lit(1)).cast("double").alias("metric"))
-        parts.append(
-            dups.select(
-                F.lit(chk.name).alias("check"),
-                F.lit(table).alias("table"),
-                F.col("metric"),
-                F.lit(_threshold_text(chk)).alias("threshold"),
-                F.lit(chk.severity).alias("severity"),
-                (F.col("metric") == F.lit(0.0)).alias("passed"),
-            )
-        )
-    if not parts:
-        raise ValueError("empty check suite")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        metric, passed = _final(i, chk, as_of_col, dup_cols.get(chk.column))
+        rows.append(_result_row(chk, table, metric, passed))
+    out = merged.select(F.inline(F.array(*rows)))
+    for chk in extra:
+        dups = duplicate_values(df, chk.column).agg(F.count(F.lit(1)).alias("_dups"))
+        metric, passed = _final(0, chk, as_of_col, "_dups")
+        out = out.unionByName(dups.select(F.inline(F.array(_result_row(chk, table, metric, passed)))))
     return out
 
 
@@ -171,12 +210,10 @@ def freshness(df: DataFrame, column: str, as_of, max_days: float) -> DataFrame:
     """Q8 detail: newest value, its age in days at ``as_of`` and the verdict."""
     chk = Check("freshness", "freshness_lt_days", column, max_days)
     as_of_col = F.lit(str(as_of)).cast("timestamp_ntz")
-    metric, passed = _metric_and_pass(chk, F.count(F.lit(1)), as_of_col)
-    return df.agg(
-        F.max(column).alias("newest"),
-        as_of_col.alias("as_of"),
-        metric.alias("age_days"),
-        passed.alias("passed"),
+    newest = df.agg(F.max(column).alias("_p0"))
+    metric, passed = _final(0, chk, as_of_col, None)
+    return newest.select(
+        F.col("_p0").alias("newest"), as_of_col.alias("as_of"), metric.alias("age_days"), passed.alias("passed")
     )
 
 

@@ -4,17 +4,17 @@ The chain ``stage_requests -> enrich -> sla_performance -> sla_trends`` is one
 lazy plan.  Scale notes:
 
 * the targets seed is broadcast only after a bounded row-count check;
-* every aggregate is partial-aggregable (count/sum/avg, and exact
-  ``percentile`` whose per-group state is a value->count map keyed by whole
-  days, bounded by the 0..730 day window of non-anomalous rows), so a hot
-  group is combined map-side before the shuffle;
+* every aggregate is partial-aggregable: the performance fact first counts
+  rows per (group, day, flags) with a code-generated hash aggregate, so a
+  hot group is combined map-side before the shuffle, and its exact
+  percentiles come from that small histogram;
 * the top-k set is bounded by its limit, so broadcasting it is safe;
 * the "current year" is a scalar subquery, not a cross join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from servicelake.functions.clean import calendar_year, day_diff
@@ -91,35 +91,81 @@ def enrich(staged: DataFrame, targets: DataFrame, targets_max_rows: int = TARGET
     )
 
 
+def _rank_pos(n: Column, q: float) -> Column:
+    return (n - F.lit(1)).cast("double") * F.lit(q)
+
+
+def _value_at_rank(rank: Column, cum: Column, day: Column, clean: Column) -> Column:
+    """Aggregate: the clean value at 0-based ``rank`` of a day histogram.
+
+    ``cum`` is the inclusive running count of clean rows ordered by day, so
+    the value at rank ``i`` is the smallest day whose running count exceeds
+    ``i``.
+    """
+    return F.min(F.when(clean & (cum > rank), day))
+
+
 def sla_performance(enriched: DataFrame) -> DataFrame:
     """A3: one row per (category, agency, year, target) with 7 measures.
 
     Breach rate keeps the warehouse model's asymmetry: the denominator is all
     closed requests (anomalies included), the numerator excludes anomalies.
+
+    Plan: rows are first counted per (group, clean resolution day, closed?,
+    breach?) -- a code-generated hash aggregate, partially
+    aggregated before its shuffle, whose output is tiny (groups x distinct
+    days).  Every measure, including the exact continuous percentiles
+    (linear interpolation between ranks floor/ceil of ``q * (n - 1)``), is
+    computed from that histogram; the running count is a window per group
+    that holds one row per distinct day of the group, never its rows.
     """
-    clean_days = F.when(~F.col("is_anomaly"), F.col("resolution_days"))
-    agg = enriched.groupBy(
-        F.col("complaint_type_normalized").alias("complaint_type"),
-        "responsible_agency",
-        "calendar_year",
-        "target_days",
-    ).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(F.col("closed_date").isNotNull()).alias("closed_requests"),
-        F.count_if(F.col("is_sla_breach")).alias("sla_breach_count"),
-        F.avg(clean_days).alias("avg_resolution_days"),
-        F.round(F.percentile(clean_days, 0.5), PERCENTILE_DECIMALS).alias("p50_resolution_days"),
-        F.round(F.percentile(clean_days, 0.9), PERCENTILE_DECIMALS).alias("p90_resolution_days"),
+    keys = [F.col("complaint_type_normalized").alias("complaint_type"), "responsible_agency", "calendar_year", "target_days"]
+    # Only clean (non-anomalous, closed) rows need their day; keying every
+    # other row to a NULL day bounds the histogram by groups x 731 days.
+    rd = F.col("resolution_days")
+    cube = enriched.groupBy(
+        *keys,
+        F.when(~F.col("is_anomaly"), rd).alias("_day"),
+        F.col("closed_date").isNotNull().alias("_closed"),
+        F.col("is_sla_breach").alias("_breach"),
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    day = F.col("_day")
+    clean = day.isNotNull()
+    clean_n = F.when(clean, F.col("_n")).otherwise(F.lit(0))
+    group = Window.partitionBy(*PERF_KEYS)
+    running = group.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cube.withColumns({"_cum": F.sum(clean_n).over(running), "_ncl": F.sum(clean_n).over(group)})
+    cum, ncl = F.col("_cum"), F.col("_ncl")
+    bounds = {}
+    for q in (0.5, 0.9):
+        pos = _rank_pos(ncl, q)
+        tag = int(q * 100)
+        bounds[f"_lo{tag}"] = _value_at_rank(F.floor(pos), cum, day, clean)
+        bounds[f"_hi{tag}"] = _value_at_rank(F.ceil(pos), cum, day, clean)
+    agg = ranked.groupBy(*PERF_KEYS).agg(
+        F.sum("_n").alias("total_requests"),
+        F.sum(F.when(F.col("_closed"), F.col("_n")).otherwise(F.lit(0))).alias("closed_requests"),
+        F.sum(F.when(F.col("_breach"), F.col("_n")).otherwise(F.lit(0))).alias("sla_breach_count"),
+        F.sum(F.when(clean, day * F.col("_n"))).alias("_day_sum"),
+        F.max(ncl).alias("_ncl"),
+        *[v.alias(k) for k, v in bounds.items()],
     )
+
+    def interpolate(q: float) -> Column:
+        pos = _rank_pos(F.col("_ncl"), q)
+        tag = int(q * 100)
+        lo, hi = F.col(f"_lo{tag}"), F.col(f"_hi{tag}")
+        return F.round(lo + (pos - F.floor(pos)) * (hi - lo), PERCENTILE_DECIMALS)
+
     return agg.select(
         *PERF_KEYS,
         "total_requests",
         "closed_requests",
         "sla_breach_count",
         safe_ratio("sla_breach_count", "closed_requests").alias("sla_breach_rate"),
-        "avg_resolution_days",
-        "p50_resolution_days",
-        "p90_resolution_days",
+        (F.col("_day_sum").cast("double") / F.nullif(F.col("_ncl"), F.lit(0)).cast("double")).alias("avg_resolution_days"),
+        interpolate(0.5).alias("p50_resolution_days"),
+        interpolate(0.9).alias("p90_resolution_days"),
     )
 
 
