@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicelake.operators import sla
+from servicelake.operators import benchmarks, drift, keys, layout, merge, quality, sla, verify
 from servicelake.plans import gold
-from servicelake.session import materialize
-from servicelake.sources.fixtures import FIXTURE_YEAR_CAP
+from servicelake.session import materialize, shared_path
+from servicelake.sources.fixtures import FIXTURE_YEAR_CAP, raw_requests, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -116,8 +116,6 @@ def borough_compare(spark, sf_dir):
 
 # --- keys / paging -------------------------------------------------------------
 
-from servicelake.operators import drift, keys, merge, quality  # noqa: E402
-from servicelake.sources.fixtures import table  # noqa: E402
 
 PAGE_CURSOR = ("2024-01-10 00:00:00", 5000)
 PAGE_SIZE = 1000
@@ -269,9 +267,6 @@ def drift_verdict(spark, sf_dir):
 
 # --- benchmark queries A/B/C -------------------------------------------------
 
-from servicelake.operators import benchmarks, layout, verify  # noqa: E402
-from servicelake.session import shared_path  # noqa: E402
-from servicelake.sources.fixtures import raw_requests  # noqa: E402
 
 # Fixture literals in the role of the production ones (data spans 1995-2001).
 B_SINCE = "1998-01-01"

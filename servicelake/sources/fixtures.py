@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servicelake.functions.clean import LANDING_TS_FORMAT
-from servicelake.operators.joins import bounded_broadcast
+from servicelake.operators.joins import row_count_at_most
 from servicelake.sources.tables import targets_frame
 
 TABLES = (
@@ -54,6 +54,17 @@ FIXTURE_YEAR_CAP = 2000
 GEO_MAX_ROWS = 1000
 
 
+_GEO_VERDICTS: dict[tuple[str, int], bool] = {}
+
+
+def _geo_is_small(spark: SparkSession, sf_dir: str, nation: DataFrame, region: DataFrame) -> bool:
+    """Bounded size check of the geography dimension, once per input folder."""
+    key = (sf_dir.rstrip("/"), GEO_MAX_ROWS)
+    if key not in _GEO_VERDICTS:
+        _GEO_VERDICTS[key] = row_count_at_most(nation, GEO_MAX_ROWS) and row_count_at_most(region, GEO_MAX_ROWS)
+    return _GEO_VERDICTS[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -74,11 +85,9 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
 
-    geo = bounded_broadcast(
-        nation.join(bounded_broadcast(region, GEO_MAX_ROWS), nation.n_regionkey == region.r_regionkey)
-        .select("n_nationkey", "r_name"),
-        GEO_MAX_ROWS,
-    )
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
+    if _geo_is_small(spark, sf_dir, nation, region):
+        geo = F.broadcast(geo)
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select("c_custkey", "c_mktsegment", "r_name")
     ords = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "o_orderdate", "c_mktsegment", "r_name")
     joined = li.join(ords, li.l_orderkey == ords.o_orderkey).join(part, li.l_partkey == part.p_partkey)

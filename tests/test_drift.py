@@ -43,3 +43,14 @@ def test_baseline_lifecycle(spark, tmp_dir):
     action, _ = drift.apply_baseline(spark, removed, path)
     assert action == "fail"
     assert spark.read.parquet(path).count() == 3  # breaking change keeps the old baseline
+
+
+def test_snapshots_from_schema_and_records(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(1, "a", 2.5, dt.datetime(2024, 1, 1)), (2, None, None, None)], "k bigint, s string, x double, t timestamp_ntz")
+    snap = {r.column_name: r.type_name for r in drift.schema_snapshot(spark, df).collect()}
+    assert snap == {"k": "bigint", "s": "string", "x": "double", "t": "timestamp_ntz"}
+    rec = drift.records_as_json(df, keep=["k"])
+    kinds = {r.column_name: r.type_name for r in drift.json_key_types(rec, "record", ["k"]).collect()}
+    assert kinds == {"k": "int", "s": "str", "x": "float", "t": "str"}

@@ -105,3 +105,10 @@ def test_gold_pipeline_writes_both_facts(spark, tmp_dir):
     trends = spark.read.parquet(out.trends_path)
     assert perf.count() > 0 and trends.count() > 0
     assert trends.where(F.col("breach_rate_current").isNull()).count() == 0
+
+
+def test_last_complete_year(spark):
+    partial = spark.createDataFrame([(dt.datetime(2025, 12, 31, 8),), (dt.datetime(2026, 3, 1),)], "created_date timestamp_ntz")
+    full = spark.createDataFrame([(dt.datetime(2025, 12, 31, 8),)], "created_date timestamp_ntz")
+    assert partial.select(sla.last_complete_year(partial).alias("y")).first().y == 2025
+    assert full.select(sla.last_complete_year(full).alias("y")).first().y == 2025
