@@ -139,50 +139,89 @@ def order_key(df: DataFrame, col: str) -> Column:
     return F.conv(F.rpad(F.substring(hexed, 1, 14), 14, "0"), 16, 10).cast("bigint").cast("double")
 
 
-def zorder_boundaries(df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10_000) -> list[list[float]]:
+def _is_text(df: DataFrame, col: str) -> bool:
+    dtype = df.schema[col].dataType
+    return not isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _prefix_text(key: float) -> str:
+    """Inverse of the 7-byte prefix key: the (shortest) text prefix it encodes."""
+    raw = int(key).to_bytes(7, "big", signed=False).rstrip(b"\x00")
+    return raw.decode("utf-8", errors="ignore")
+
+
+def zorder_boundaries(df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10_000) -> list[list]:
     """Per-column quantile boundaries (``2**bits - 1`` at most), one pass."""
     return zorder_profile(df, cols, bits, accuracy)[0]
 
 
 def zorder_profile(
     df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10_000
-) -> tuple[list[list[float]], int]:
+) -> tuple[list[list], int]:
     """Quantile boundaries of every Z column plus the row count, in one pass.
 
     ``approx_percentile`` keeps a bounded sketch per task and merges them,
     so the pass is distributed and the result is ``k * (2**bits - 1)``
-    numbers and one count -- never data rows.
+    values and one count -- never data rows.  Text columns are profiled on
+    their 7-byte prefix key, and the boundaries are turned back into text
+    prefixes so the write pass compares the column itself (byte order).
     """
     qs = [i / (1 << bits) for i in range(1, 1 << bits)]
     aggs = [F.percentile_approx(order_key(df, c), qs, accuracy).alias(f"b{i}") for i, c in enumerate(cols)]
     row = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs).first()
-    bounds = [sorted({float(x) for x in (row[f"b{i}"] or [])}) for i in range(len(cols))]
+    bounds: list[list] = []
+    for i, c in enumerate(cols):
+        values = sorted({float(x) for x in (row[f"b{i}"] or [])})
+        if _is_text(df, c):
+            values = sorted({_prefix_text(v) for v in values if v >= 0} - {""})
+        bounds.append(values)
     return bounds, int(row["_rows"])
 
 
-def _below(key: Column):
-    # One-argument lambda (a second parameter would be read as the index).
-    return lambda x: x < key
+def bucket_key(df: DataFrame, col: str) -> Column:
+    """What the bucket boundaries are compared with: the text itself for
+    text columns, the numeric order key otherwise."""
+    return F.col(col).cast("string") if _is_text(df, col) else order_key(df, col)
+
 
+def _bucket(key: Column, bounds: Sequence, lo: int = 0, hi: int | None = None) -> Column:
+    """Number of ``bounds`` strictly below ``key``, as a balanced CASE tree.
 
-def with_zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, boundaries: list[list[float]] | None = None) -> DataFrame:
+    ``log2(len(bounds))`` code-generated comparisons per row, no per-row
+    allocation.  NULL keys compare false everywhere and land in bucket 0.
+    """
+    if hi is None:
+        hi = len(bounds)
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    # bounds[mid] < key  <=>  the answer is above mid
+    return F.when(F.lit(bounds[mid]) < key, _bucket(key, bounds, mid + 1, hi)).otherwise(_bucket(key, bounds, lo, mid))
+
+
+def with_zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, boundaries: list[list] | None = None) -> DataFrame:
     """L3: add ``_z``, the bit-interleaved rank buckets of ``cols``.
 
-    Bucket id = number of boundaries below the value (NULL -> 0); bit ``i``
-    of column ``j`` lands at position ``i * k + j``.
+    Bucket id = number of quantile boundaries below the value (NULL -> 0);
+    bit ``i`` of column ``j`` lands at position ``i * k + j``.  Bucket ids
+    are computed once per row in their own projection, then interleaved.
     """
     if len(cols) * bits > 62:
         raise ValueError("cols * bits must fit in 62 bits")
     bounds = boundaries if boundaries is not None else zorder_boundaries(df, cols, bits)
     k = len(cols)
+    bucket_cols = [f"_zb{j}" for j in range(k)]
+    with_buckets = df.withColumns(
+        {
+            name: F.coalesce(_bucket(bucket_key(df, c), b), F.lit(0)).cast("bigint")
+            for name, c, b in zip(bucket_cols, cols, bounds)
+        }
+    )
     z = F.lit(0).cast("bigint")
-    for j, (c, b) in enumerate(zip(cols, bounds)):
-        key = order_key(df, c)
-        arr = F.array(*[F.lit(x) for x in b]) if b else F.array().cast("array<double>")
-        bucket = F.coalesce(F.size(F.filter(arr, _below(key))), F.lit(0)).cast("bigint")
+    for j, name in enumerate(bucket_cols):
         for i in range(bits):
-            z = z + F.shiftleft(F.shiftright(bucket, i).bitwiseAND(F.lit(1)), i * k + j)
-    return df.withColumn(Z_COL, z)
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(name), i).bitwiseAND(F.lit(1)), i * k + j))
+    return with_buckets.withColumn(Z_COL, z).drop(*bucket_cols)
 
 
 def write_zordered(
