@@ -113,6 +113,9 @@ def stage_comparison(medians: DataFrame, layouts: list[str], baseline: str) -> D
         .otherwise(F.format_string("%.2fs", F.col("median_seconds")))
         .alias("time_label"),
         F.when(F.col("storage_format") != F.lit(baseline), speedup("baseline_seconds", "median_seconds")).alias("speedup"),
+    ).withColumn(
+        "speedup_label",
+        F.when(F.col("speedup").isNotNull(), F.format_string("(%.1fx faster)", F.col("speedup"))).otherwise(F.lit("")),
     )
 
 

@@ -100,6 +100,12 @@ def schema_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return j.withColumn("change", change).where(F.col("change").isNotNull())
 
 
+def _py_list(col: str) -> Column:
+    """Render a string array the way the drift report prints name lists: ['a', 'b']."""
+    quoted = F.transform(F.col(col), lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
 def drift_verdict(diff: DataFrame) -> DataFrame:
     """D3: one row -- ``is_breaking`` (removal or retype) and a description.
 
@@ -116,13 +122,13 @@ def drift_verdict(diff: DataFrame) -> DataFrame:
     breaking = (F.size("removed") > 0) | (F.size("retyped") > 0)
     parts = F.array_compact(
         F.array(
-            F.when(F.size("removed") > 0, F.concat(F.lit("columns removed: "), F.array_join("removed", ", "))),
+            F.when(F.size("removed") > 0, F.concat(F.lit("columns removed: "), _py_list("removed"))),
             F.when(F.size("retyped") > 0, F.concat(F.lit("type changes: "), F.array_join("retyped", ", "))),
         )
     )
     description = (
         F.when(breaking, F.array_join(parts, "; "))
-        .when(F.size("added") > 0, F.concat(F.lit("new optional columns added: "), F.array_join("added", ", ")))
+        .when(F.size("added") > 0, F.concat(F.lit("new optional columns added: "), _py_list("added")))
         .otherwise(F.lit("no schema changes detected"))
     )
     return agg.select(

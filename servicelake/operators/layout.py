@@ -366,7 +366,8 @@ def compact(
 
 
 def storage_report(spark: SparkSession, layers: Sequence[tuple[str, str]]) -> DataFrame:
-    """Files and size per layer, change vs the previous layer, total change.
+    """Files and size per layer, change vs the previous layer, total change
+    vs the first layer.
 
     ``layers`` is an ordered list of ``(name, path)``.  Each layer is one
     ``file_stats`` row; the previous layer is attached by an equi join on the
@@ -379,11 +380,15 @@ def storage_report(spark: SparkSession, layers: Sequence[tuple[str, str]]) -> Da
     for p in parts[1:]:
         stats = stats.unionByName(p)
     prev = stats.select((F.col("stage") + 1).alias("stage"), F.col("layer").alias("prev_layer"), F.col("bytes").alias("prev_bytes"))
+    first_bytes = stats.where(F.col("stage") == 0).select("bytes").scalar()
     out = stats.join(prev, "stage", "left")
     out = out.withColumn("gb", F.col("bytes") / F.lit(1024.0**3))
+    out = out.withColumn("total_reduction_pct", pct_reduction(first_bytes, F.col("bytes")))
     out = out.withColumn("pct_vs_previous", pct_reduction("prev_bytes", "bytes"))
     out = out.withColumn(
         "change_label",
         F.when(F.col("prev_layer").isNotNull(), pct_change_label("prev_bytes", "bytes", "previous")),
     )
-    return out.select("stage", "layer", "files", "bytes", "gb", "prev_layer", "pct_vs_previous", "change_label")
+    return out.select(
+        "stage", "layer", "files", "bytes", "gb", "prev_layer", "pct_vs_previous", "change_label", "total_reduction_pct"
+    )

@@ -451,10 +451,10 @@ SELECT
   len(removed) > 0 OR len(retyped) > 0 AS is_breaking,
   CASE
     WHEN len(removed) > 0 OR len(retyped) > 0 THEN array_to_string(list_filter([
-        CASE WHEN len(removed) > 0 THEN 'columns removed: ' || array_to_string(removed, ', ') END,
+        CASE WHEN len(removed) > 0 THEN 'columns removed: [' || array_to_string(list_transform(removed, lambda x: '''' || x || ''''), ', ') || ']' END,
         CASE WHEN len(retyped) > 0 THEN 'type changes: ' || array_to_string(retyped, ', ') END
       ], lambda x: x IS NOT NULL), '; ')
-    WHEN len(added) > 0 THEN 'new optional columns added: ' || array_to_string(added, ', ')
+    WHEN len(added) > 0 THEN 'new optional columns added: [' || array_to_string(list_transform(added, lambda x: '''' || x || ''''), ', ') || ']'
     ELSE 'no schema changes detected'
   END AS description,
   removed, added, retyped

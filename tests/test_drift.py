@@ -27,7 +27,7 @@ def test_diff_and_verdicts(spark):
     assert diff == {"b": "type_changed", "c": "removed", "d": "added"}
     v = drift.drift_verdict(drift.schema_diff(old, new)).first()
     assert v.is_breaking
-    assert v.description == "columns removed: c; type changes: b: int -> float"
+    assert v.description == "columns removed: ['c']; type changes: b: int -> float"
 
 
 def test_baseline_lifecycle(spark, tmp_dir):
@@ -37,7 +37,7 @@ def test_baseline_lifecycle(spark, tmp_dir):
     assert drift.apply_baseline(spark, base, path)[0] == "keep"
     added = _snap(spark, [("a", "str"), ("b", "int"), ("c", "str")])
     action, desc = drift.apply_baseline(spark, added, path)
-    assert action == "replace" and desc == "new optional columns added: c"
+    assert action == "replace" and desc == "new optional columns added: ['c']"
     assert spark.read.parquet(path).count() == 3
     removed = _snap(spark, [("a", "str")])
     action, _ = drift.apply_baseline(spark, removed, path)

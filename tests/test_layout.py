@@ -74,6 +74,7 @@ def test_file_stats_compaction_and_storage_report(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/compacted").count() == typed.count()
     sr = layout.storage_report(spark, [("small", f"{tmp_dir}/small"), ("compacted", f"{tmp_dir}/compacted")]).orderBy("stage").collect()
     assert sr[0].prev_layer is None and sr[1].prev_layer == "small" and sr[1].change_label.endswith("vs previous)")
+    assert sr[0].total_reduction_pct == 0.0
 
 
 def test_count_parity_raises(spark):

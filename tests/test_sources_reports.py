@@ -75,6 +75,8 @@ def test_median_stage_comparison_and_headline(spark):
     comp = {(r.query, r.storage_format): r for r in benchmarks.stage_comparison(med, ["raw_parquet", "partitioned", "zordered"], "raw_parquet").collect()}
     assert comp[("query_a", "zordered")].time_label == "PENDING" and comp[("query_a", "zordered")].speedup is None
     assert comp[("query_c", "partitioned")].speedup == 11.0 / 2.5
+    assert comp[("query_c", "partitioned")].speedup_label == "(4.4x faster)"
+    assert comp[("query_c", "raw_parquet")].speedup_label == ""
     assert comp[("query_c", "raw_parquet")].speedup is None
     head = benchmarks.headline(med, "query_c", "raw_parquet", "partitioned").first()
     assert head.speedup == 11.0 / 2.5
