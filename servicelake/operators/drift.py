@@ -7,8 +7,11 @@ JSON records and from typed tables compare on equal terms.
 
 Key inference parses each record once into a ``VARIANT``, explodes its
 top-level fields and keeps, per key, the type of the first non-null value in
-newest-first order -- a ``max_by`` aggregate, partially aggregated per key,
-so it scales to the whole table (no driver-side loop, no sample needed).
+newest-first order.  A hash aggregate first counts the kinds each key takes;
+keys with one kind are settled by it, and only keys whose kind changes
+between records go through the ordered ``max_by`` (a sort-based aggregate).
+Everything is partially aggregated per key, so it scales to the whole
+table (no driver-side loop, no sample needed).
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from servicelake.session import materialize
+
 PLATFORM_PREFIX = ":"
 NONE_TYPE = "NoneType"
 
@@ -61,10 +66,27 @@ def json_key_types(
     ).where(~F.col("column_name").startswith(PLATFORM_PREFIX))
     typed = exploded.select("column_name", "_ord", variant_type_name(F.col("_v")).alias("_t"))
     non_null = F.col("_t") != F.lit(NONE_TYPE)
-    agg = typed.groupBy("column_name").agg(
-        F.max_by(F.when(non_null, F.col("_t")), F.when(non_null, F.col("_ord"))).alias("_first"),
+    # Pass 1 (hash aggregate, fixed-width buffers): which non-null kinds
+    # each key takes.  Materialised: it has one row per (key, kind).
+    summary = materialize(
+        typed.groupBy("column_name", "_t")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("column_name")
+        .agg(
+            F.count_if(non_null).alias("_kinds"),
+            F.max(F.when(non_null, F.col("_t"))).alias("_only"),
+        )
+    )
+    simple = summary.where(F.col("_kinds") <= 1).select(
+        "column_name", F.coalesce("_only", F.lit(NONE_TYPE)).alias("type_name")
     )
-    return agg.select("column_name", F.coalesce("_first", F.lit(NONE_TYPE)).alias("type_name"))
+    conflicted = summary.where(F.col("_kinds") > 1).select("column_name")
+    if conflicted.isEmpty():
+        return simple
+    # Pass 2 only for keys whose kind changes between records: newest first.
+    ordered = typed.where(non_null).join(conflicted, "column_name", "left_semi")
+    resolved = ordered.groupBy("column_name").agg(F.max_by("_t", "_ord").alias("type_name"))
+    return simple.unionByName(resolved)
 
 
 def records_as_json(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -87,3 +87,16 @@ def test_count_parity_raises(spark):
     except verify.ParityError:
         pass
     assert dt is not None
+
+
+def test_file_stats_skip_logs_and_markers(spark, tmp_dir):
+    import os
+
+    spark.range(100).repartition(3).write.parquet(f"{tmp_dir}/t")  # writes _SUCCESS and .crc files too
+    os.makedirs(f"{tmp_dir}/t/_delta_log")
+    with open(f"{tmp_dir}/t/_delta_log/00000.json", "w") as fh:
+        fh.write("{}")
+    st = layout.file_stats(spark, f"{tmp_dir}/t").first()
+    data = [f for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".parquet")]
+    assert st.files == len(data) == 3
+    assert st.bytes == sum(os.path.getsize(f"{tmp_dir}/t/{f}") for f in data)
