@@ -1,7 +1,7 @@
 """Benchmark: the A/B/C layout queries on three layouts plus the gold pipeline.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3).  Prints ONE JSON line.
+BENCH_RUNS (default 5).  Prints ONE JSON line.
 
 Setup (not timed): the fixture's landing records are written as flat
 Parquet (the raw layer), then as a month x first-letter partitioned typed
@@ -52,7 +52,7 @@ def timed(build, runs):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = get_session(
         "servicelake-bench",
         master=f"local[{cpus}]",
