@@ -83,6 +83,35 @@ def day_diff(start: str | Column, end: str | Column) -> Column:
     return F.datediff(_col(end), _col(start)).cast("bigint")
 
 
+def ntz_text(c: str | Column) -> Column:
+    """TIMESTAMP_NTZ -> landing text ``yyyy-MM-ddTHH:mm:ss.SSS``.
+
+    Built from the value's own fields, so no session time zone is involved
+    (``date_format`` would round-trip through local time and could shift a
+    wall-clock value that falls in a daylight-saving gap).
+    """
+    c = _col(c)
+    millis = (F.date_part(F.lit("SECOND"), c) * 1000).cast("int") % 1000
+    return F.format_string(
+        "%04d-%02d-%02dT%02d:%02d:%02d.%03d",
+        F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.second(c), millis,
+    )
+
+
+def seconds_between(start: str | Column, end: str | Column) -> Column:
+    """Whole-second boundaries from ``start`` to ``end`` (TIMESTAMP_NTZ).
+
+    Calendar days times 86400 plus the difference of the seconds-of-day;
+    wall-clock arithmetic with no time zone, BIGINT.
+    """
+    start, end = _col(start), _col(end)
+
+    def sod(x: Column) -> Column:
+        return F.hour(x) * 3600 + F.minute(x) * 60 + F.second(x)
+
+    return (F.datediff(end, start).cast("bigint") * 86400 + (sod(end) - sod(start))).cast("bigint")
+
+
 def calendar_year(c: str | Column) -> Column:
     """Calendar year as BIGINT."""
     return F.year(_col(c)).cast("bigint")

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from servicelake.functions.clean import seconds_between
+
 ERROR = "error"
 WARN = "warn"
 
@@ -111,7 +113,7 @@ def _final(i: int, check: Check, as_of: Column | None, dup_col: str | None) -> t
             raise ValueError("freshness checks need as_of")
         newest = F.col(f"_p{i}").cast("timestamp_ntz")
         # Wall-clock difference of two NTZ values: no time zone involved.
-        m = F.timestamp_diff("SECOND", newest, as_of).cast("double") / F.lit(86400.0)
+        m = seconds_between(newest, as_of).cast("double") / F.lit(86400.0)
         return m, F.coalesce(m < thr, F.lit(False))
     if k == "unique":
         m = F.col(dup_col).cast("double")

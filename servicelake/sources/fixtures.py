@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicelake.functions.clean import LANDING_TS_FORMAT
+from servicelake.functions.clean import ntz_text
 from servicelake.operators.joins import row_count_at_most
 from servicelake.sources.tables import targets_frame
 
@@ -92,8 +92,7 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ords = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "o_orderdate", "c_mktsegment", "r_name")
     joined = li.join(ords, li.l_orderkey == ords.o_orderkey).join(part, li.l_partkey == part.p_partkey)
 
-    def ts_text(c):
-        return F.date_format(c, LANDING_TS_FORMAT)
+    ts_text = ntz_text
 
     no_coords = F.col("l_tax") == F.lit(0.0)
     return joined.select(

@@ -68,3 +68,20 @@ def test_landing_fast_path_equals_pattern_parse(spark):
     rows = df.select("s", fast.alias("a"), slow.alias("b")).collect()
     assert all(r.a == r.b for r in rows), [r for r in rows if r.a != r.b]
     assert sum(r.a is not None for r in rows) == 2
+
+
+def test_zone_independent_text_and_seconds(spark):
+    # 1998-10-11 00:00 did not exist in Sao Paulo (clocks jumped to 01:00).
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame(
+            [(dt.datetime(1998, 10, 11, 0, 0, 0, 250000), dt.datetime(1998, 10, 12, 1, 0, 5))],
+            "a timestamp_ntz, b timestamp_ntz",
+        )
+        row = df.select(clean.ntz_text("a").alias("t"), clean.seconds_between("a", "b").alias("s")).first()
+        assert row.t == "1998-10-11T00:00:00.250"
+        assert row.s == 86400 + 3605
+        assert df.select(clean.parse_ts(clean.ntz_text("a")).alias("p")).first().p == dt.datetime(1998, 10, 11, 0, 0, 0, 250000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
