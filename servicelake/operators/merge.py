@@ -15,8 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from servicelake.operators.joins import row_count_at_most
 from servicelake.operators.keys import dedupe_latest
 
+# An increment with at most this many rows has at most this many keys; its
+# key set is then broadcast to the anti join so the (large) target is only
+# streamed, never shuffled.  About 2M long keys make a ~50 MB hash relation.
+SOURCE_BROADCAST_ROWS = 2_000_000
+
 
 class SchemaChangeError(RuntimeError):
     """M3: the incoming columns differ from the target's (policy ``fail``)."""
@@ -51,20 +57,24 @@ def upsert(
     key: str | Sequence[str],
     order: Sequence[str],
     on_schema_change: str = "fail",
+    source_broadcast_rows: int = SOURCE_BROADCAST_ROWS,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` by ``key``.
 
-    Idempotent: ``upsert(upsert(t, s), s) == upsert(t, s)``.
+    Idempotent: ``upsert(upsert(t, s), s) == upsert(t, s)``.  When the
+    source is proven small (bounded row count, an upper bound of its keys)
+    its key set is broadcast and the target is streamed through a broadcast
+    anti join; otherwise both sides shuffle on the key and AQE splits a
+    skewed target partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if on_schema_change == "fail":
         assert_same_schema(source, target)
     src = dedupe_latest(source, keys, order)
-    # No hint: a daily increment's key set is usually small and AQE turns the
-    # anti join into a broadcast join once the measured shuffle size is under
-    # the broadcast threshold; otherwise both sides shuffle on the key and
-    # AQE splits a skewed target partition.
-    kept = target.join(src.select(*keys), on=keys, how="left_anti")
+    src_keys = src.select(*keys)
+    if row_count_at_most(source, source_broadcast_rows):
+        src_keys = F.broadcast(src_keys)
+    kept = target.join(src_keys, on=keys, how="left_anti")
     return kept.unionByName(src)
 
 
