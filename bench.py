@@ -144,13 +144,18 @@ def main() -> None:
     files_c = {"raw_parquet": storage["raw_parquet"]["files"]}
     for name, path in (("partitioned", part_path), ("zordered", z_path)):
         files_c[name] = layout.partition_file_counts(spark, path).where(c_pred).agg(F.sum("files")).first()[0]
+    bytes_c = {"raw_parquet": storage["raw_parquet"]["bytes"]}
     for name, path in (("partitioned", part_path), ("zordered", z_path)):
         index = layout.file_index(spark, path, ["borough", "complaint_type"], partition_cols=layout.PARTITION_COLS)
         overlap = (
             (F.col("borough_min") <= C_BOROUGH) & (F.col("borough_max") >= C_BOROUGH)
             & (F.col("complaint_type_min") <= C_CATEGORY) & (F.col("complaint_type_max") >= C_CATEGORY)
         )
-        files_c[f"{name}_with_minmax"] = index.where(c_pred & overlap).count()
+        candidates = index.where(c_pred & overlap).select("file_path")
+        files_c[f"{name}_with_minmax"] = candidates.count()
+        sizes = layout.file_sizes(spark, path)
+        bytes_c[name] = sizes.join(index.where(c_pred).select("file_path"), "file_path").agg(F.sum("length")).first()[0]
+        bytes_c[f"{name}_with_minmax"] = sizes.join(candidates, "file_path").agg(F.sum("length")).first()[0]
 
     speedup_c = results["query_c_raw_parquet"] / results["query_c_zordered"] if results["query_c_zordered"] else None
     out = {
@@ -166,6 +171,7 @@ def main() -> None:
         "query_c_speedup_raw_vs_zordered": round(speedup_c, 2) if speedup_c else None,
         "storage": storage,
         "query_c_files": files_c,
+        "query_c_bytes": bytes_c,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "runs": runs,

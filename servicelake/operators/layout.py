@@ -275,6 +275,12 @@ def file_stats(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Per data file: ``file_path`` (same form as ``_metadata.file_path``) and ``length``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("path").alias("file_path"), "length")
+
+
 def needs_compaction(stats: DataFrame, max_files: int = 500) -> DataFrame:
     """L4: compaction trigger (``files > max_files``)."""
     return stats.withColumn("needs_compaction", F.col("files") > F.lit(max_files))
