@@ -84,16 +84,21 @@ def coordinate_disagreement(
 ) -> DataFrame:
     """Left join child coordinates onto parents and count disagreements.
 
-    ``pairs`` maps parent columns to child columns.  A pair disagrees when
-    both sides are present and differ (NULL-safe inequality on matched rows).
+    ``pairs`` maps parent columns to child columns.  Rows count as compared
+    when the child matched and every pair has both values present; a
+    compared row disagrees when any pair differs.
     """
     c = child.select(F.col(key), *[F.col(cc).alias(f"_child_{i}") for i, (_, cc) in enumerate(pairs)], F.lit(True).alias("_matched"))
     j = parent.join(c, key, "left")
+    matched = F.col("_matched").isNotNull()
+    present = matched
     differs = F.lit(False)
     for i, (pc, _) in enumerate(pairs):
-        differs = differs | ~F.col(pc).eqNullSafe(F.col(f"_child_{i}"))
+        present = present & F.col(pc).isNotNull() & F.col(f"_child_{i}").isNotNull()
+        differs = differs | (F.col(pc) != F.col(f"_child_{i}"))
     return j.agg(
         F.count(F.lit(1)).alias("parent_rows"),
-        F.count_if(F.col("_matched").isNotNull()).alias("matched_rows"),
-        F.count_if(F.col("_matched").isNotNull() & differs).alias("disagreements"),
+        F.count_if(matched).alias("matched_rows"),
+        F.count_if(present).alias("compared_rows"),
+        F.count_if(present & differs).alias("disagreements"),
     )

@@ -545,8 +545,11 @@ q(
 c AS {_dedupe('load_id <= 3')}
 SELECT COUNT(*) AS parent_rows,
   COUNT(c.unique_key) AS matched_rows,
-  COUNT(*) FILTER (WHERE c.unique_key IS NOT NULL AND (p.latitude IS DISTINCT FROM c.latitude
-                    OR p.longitude IS DISTINCT FROM c.longitude)) AS disagreements
+  COUNT(*) FILTER (WHERE c.unique_key IS NOT NULL AND p.latitude IS NOT NULL AND c.latitude IS NOT NULL
+                   AND p.longitude IS NOT NULL AND c.longitude IS NOT NULL) AS compared_rows,
+  COUNT(*) FILTER (WHERE c.unique_key IS NOT NULL AND p.latitude IS NOT NULL AND c.latitude IS NOT NULL
+                   AND p.longitude IS NOT NULL AND c.longitude IS NOT NULL
+                   AND (p.latitude <> c.latitude OR p.longitude <> c.longitude)) AS disagreements
 FROM p LEFT JOIN c ON p.unique_key = c.unique_key
 """.replace("\n, p AS", ", p AS", 1),
 )

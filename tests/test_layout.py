@@ -100,3 +100,10 @@ def test_file_stats_skip_logs_and_markers(spark, tmp_dir):
     data = [f for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".parquet")]
     assert st.files == len(data) == 3
     assert st.bytes == sum(os.path.getsize(f"{tmp_dir}/t/{f}") for f in data)
+
+
+def test_coordinate_disagreement_counts_only_present_pairs(spark):
+    parent = spark.createDataFrame([(1, 1.0, 2.0), (2, 1.0, None), (3, 5.0, 5.0), (4, 1.0, 1.0)], "k int, lat double, lon double")
+    child = spark.createDataFrame([(1, 1.0, 2.0), (2, 9.0, 9.0), (3, 5.0, 6.0)], "k int, lat double, lon double")
+    r = verify.coordinate_disagreement(parent, child, "k", [("lat", "lat"), ("lon", "lon")]).first()
+    assert (r.parent_rows, r.matched_rows, r.compared_rows, r.disagreements) == (4, 3, 2, 1)
