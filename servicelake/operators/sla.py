@@ -1,7 +1,10 @@
 """Staging, enrichment and the two gold SLA facts (J1-J3, A3-A5, K2, R-2..R-7).
 
-The chain ``stage_requests -> enrich -> sla_performance -> sla_trends`` is one
-lazy plan.  Scale notes:
+The chain ``stage_requests -> enrich -> sla_performance`` is one lazy plan.
+The trends fact and reports read the *stored* performance fact (see
+``plans.gold.build_gold``): they use it several times (scalar subquery,
+top-k, pivot), and a stored table keeps the requests scan to one pass.
+Scale notes:
 
 * the targets seed is broadcast only after a bounded row-count check;
 * every aggregate is partial-aggregable: the performance fact first counts
@@ -188,9 +191,12 @@ def top_breach(perf: DataFrame, year_cap: int | Column, n: int = 10) -> DataFram
     NULL rates sort last; category and agency break ties so the set is
     deterministic.  ``TakeOrderedAndProject``: each task keeps ``n`` rows.
     """
-    cur = current_year(perf, year_cap)
+    return _top_in_year(perf, current_year(perf, year_cap), n)
+
+
+def _top_in_year(perf: DataFrame, year: Column, n: int) -> DataFrame:
     return (
-        perf.where(F.col("calendar_year") == cur)
+        perf.where(F.col("calendar_year") == year)
         .orderBy(F.desc_nulls_last("sla_breach_rate"), F.asc("complaint_type"), F.asc("responsible_agency"))
         .limit(n)
         .select("complaint_type", "responsible_agency", "calendar_year", "sla_breach_rate")
@@ -204,7 +210,7 @@ def sla_trends(perf: DataFrame, year_cap: int | Column, n: int = 10, years: int
     (conditional-max pivot with fixed column names) -> P19.
     """
     cur = current_year(perf, year_cap)
-    top = top_breach(perf, year_cap, n).select("complaint_type", "responsible_agency")
+    top = _top_in_year(perf, cur, n).select("complaint_type", "responsible_agency")
     window = perf.where(F.col("calendar_year") >= cur - (years - 1)).join(
         F.broadcast(top), ["complaint_type", "responsible_agency"], "inner"
     )
