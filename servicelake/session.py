@@ -33,6 +33,11 @@ def get_session(
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is also the only executor, so it needs
+        # an executor-sized heap (Spark's 1g default starves shuffles and
+        # runtime broadcasts).  Only applies when the JVM is launched here.
+        settings["spark.driver.memory"] = "8g"
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
