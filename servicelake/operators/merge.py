@@ -58,6 +58,7 @@ def upsert(
     order: Sequence[str],
     on_schema_change: str = "fail",
     source_broadcast_rows: int = SOURCE_BROADCAST_ROWS,
+    source_is_small: bool | None = None,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` by ``key``.
 
@@ -65,14 +66,16 @@ def upsert(
     source is proven small (bounded row count, an upper bound of its keys)
     its key set is broadcast and the target is streamed through a broadcast
     anti join; otherwise both sides shuffle on the key and AQE splits a
-    skewed target partition.
+    skewed target partition.  ``source_is_small`` passes a size verdict the
+    caller has already proven (skipping the check).
     """
     keys = [key] if isinstance(key, str) else list(key)
     if on_schema_change == "fail":
         assert_same_schema(source, target)
     src = dedupe_latest(source, keys, order)
     src_keys = src.select(*keys)
-    if row_count_at_most(source, source_broadcast_rows):
+    small = source_is_small if source_is_small is not None else row_count_at_most(source, source_broadcast_rows)
+    if small:
         src_keys = F.broadcast(src_keys)
     kept = target.join(src_keys, on=keys, how="left_anti")
     return kept.unionByName(src)

@@ -1,11 +1,19 @@
 """The daily run: drift gate -> ingest -> compaction branch -> silver ->
 staging merge -> gold -> quality gate, as sequential Spark jobs.
 
-Every write goes to a fresh versioned path under the configured roots and
-the run returns the new paths (the caller switches its pointers after the
-run succeeds), so a failed step never leaves a table half-overwritten while
-it is being read.  Each stage reads the previous stage's *written* output,
-which also bounds lineage and makes a lost executor cost at most one stage.
+Work per run follows the increment, not the history: the append-only
+landing table is the ingest stream's sink and its rows carry the id of the
+run that ingested them; silver gets only those rows appended (and is
+compacted into a new version once appends leave too many small files),
+and staging re-decides only the keys they touch (over those keys' full
+history) before merging them into the previous staging table -- a
+broadcast anti join when the touched key set is proven small, so the large
+previous table is streamed, not shuffled.  Staging and gold are written to
+fresh versioned paths and the run returns them (the caller switches its
+pointers after the run succeeds), so a failed step never leaves a table
+half-overwritten while it is being read.  Each stage reads the previous
+stage's *written* output, which bounds lineage: a lost executor costs at
+most one stage.
 """
 
 from __future__ import annotations
@@ -19,6 +27,7 @@ from pyspark.sql import types as T
 
 from servicelake.functions.clean import type_requests
 from servicelake.operators import drift, keys, layout, merge, quality, sla
+from servicelake.operators.joins import row_count_at_most
 from servicelake.plans.gold import GoldTables, build_gold
 from servicelake.streaming.ingest import ingest_available
 
@@ -33,7 +42,7 @@ class DailyConfig:
     incoming_schema: T.StructType
     landing_path: str
     ingest_checkpoint: str
-    silver_root: str
+    silver_path: str
     staging_root: str
     gold_root: str
     baseline_schema_path: str
@@ -46,10 +55,12 @@ class DailyConfig:
     staging_checks: list[quality.Check] = field(default_factory=quality.staging_suite)
     gold_checks: list[quality.Check] = field(default_factory=quality.gold_suite)
     as_of: str | None = None
+    touched_keys_broadcast_rows: int = 2_000_000
 
 
 @dataclass
 class DailyReport:
+    run_id: str
     drift_action: str
     drift_description: str
     ingested_rows: int
@@ -62,6 +73,9 @@ class DailyReport:
     checks: DataFrame
 
 
+RUN_COL = "_ingest_run"
+
+
 def _version(root: str) -> str:
     return f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
 
@@ -70,46 +84,75 @@ def run_daily(
     spark: SparkSession,
     cfg: DailyConfig,
     targets: DataFrame,
-    previous_staging: str | None = None,
+    previous: DailyReport | None = None,
 ) -> DailyReport:
-    # 1. schema drift gate on the incoming records (whole set, not a sample)
-    incoming = spark.read.schema(cfg.incoming_schema).option("pathGlobFilter", cfg.incoming_glob or "*").parquet(cfg.incoming_path)
+    """One daily run; pass the previous run's report to continue from it."""
+    run_id = uuid.uuid4().hex[:12]
+
+    # 1. schema drift gate on the incoming records
+    incoming = (
+        spark.read.schema(cfg.incoming_schema).option("pathGlobFilter", cfg.incoming_glob or "*").parquet(cfg.incoming_path)
+    )
     snapshot = drift.json_key_types(drift.records_as_json(incoming, keep=[cfg.key]), "record", [cfg.key])
     action, description = drift.apply_baseline(spark, snapshot, cfg.baseline_schema_path)
     if action == "fail":
         raise SchemaDriftError(description)
 
-    # 2. exactly-once ingest of files not seen before into the landing table
+    # 2. exactly-once ingest of files not seen before into the append-only
+    #    landing table (the stream's sink); rows carry the run id
     ingested = ingest_available(
-        spark, cfg.incoming_path, cfg.incoming_schema, cfg.landing_path, cfg.ingest_checkpoint, glob=cfg.incoming_glob
+        spark,
+        cfg.incoming_path,
+        cfg.incoming_schema,
+        cfg.landing_path,
+        cfg.ingest_checkpoint,
+        glob=cfg.incoming_glob,
+        transform=lambda s: s.withColumn(RUN_COL, F.lit(run_id)),
     )
-    landing_path = cfg.landing_path
+    # Each landing file holds one run, so Parquet statistics skip the others.
+    increment = spark.read.parquet(cfg.landing_path).where(F.col(RUN_COL) == F.lit(run_id))
+
+    # 3. silver: append this run's rows, typed, month x letter partitioned
+    silver_path = previous.silver_path if previous else cfg.silver_path
+    if ingested:
+        layout.write_partitioned(type_requests(increment), silver_path, mode="append")
 
-    # 3. small-file branch: compact into a new path when the file count is high
-    stats = layout.needs_compaction(layout.file_stats(spark, landing_path), cfg.max_files).first()
+    # 4. small-file branch: per-run appends add files to every touched
+    #    partition; past the threshold, compact into a new version
+    stats = layout.needs_compaction(layout.file_stats(spark, silver_path), cfg.max_files).first()
     compacted = bool(stats["needs_compaction"])
-    landing = spark.read.parquet(landing_path)
     if compacted:
-        landing_path = _version(f"{cfg.landing_path.rstrip('/')}_compacted")
-        layout.compact(spark, cfg.landing_path, landing_path)
-        landing = spark.read.parquet(landing_path)
-
-    # 4. silver: typed, month x letter partitioned, written to a new version
-    silver_path = layout.write_partitioned(type_requests(landing), _version(cfg.silver_root))
-    silver = spark.read.parquet(silver_path).drop(*layout.PARTITION_COLS)
-
-    # 5. staging: merge the deduplicated silver rows into the previous staging table
-    latest = keys.dedupe_latest(silver, cfg.key, list(cfg.dedupe_order))
-    staged_new = sla.stage_requests(latest)
-    staging_path = _version(cfg.staging_root)
-    if previous_staging is None:
-        staged_new.write.parquet(staging_path)
-        changed = staged_new.count()
-    else:
-        prev = spark.read.parquet(previous_staging)
-        delta = merge.changed_rows(prev, staged_new, cfg.key, list(cfg.change_columns)).drop("change_kind")
-        changed = delta.count()
-        merge.upsert(prev, delta, cfg.key, list(cfg.dedupe_order)).write.parquet(staging_path)
+        new_silver = _version(f"{cfg.silver_path.rstrip('/')}_compacted")
+        layout.compact(spark, silver_path, new_silver, partition_cols=layout.PARTITION_COLS)
+        silver_path = new_silver
+    silver = spark.read.parquet(silver_path).drop(*layout.PARTITION_COLS, RUN_COL)
+
+    # 5. staging: re-decide only the keys this run touched, over their full
+    #    history in silver, then merge them into the previous staging table
+    staging_path = previous.staging_path if previous else None
+    changed = 0
+    if staging_path is None:
+        staging_path = _version(cfg.staging_root)
+        sla.stage_requests(keys.dedupe_latest(silver, cfg.key, list(cfg.dedupe_order))).write.parquet(staging_path)
+        changed = spark.read.parquet(staging_path).count()
+    elif ingested:
+        # An increment of at most N rows touches at most N keys.
+        small = row_count_at_most(increment, cfg.touched_keys_broadcast_rows)
+        touched = increment.select(cfg.key).distinct()
+        if small:
+            touched = F.broadcast(touched)
+        history = silver.join(touched, cfg.key, "left_semi")
+        delta_path = _version(f"{cfg.staging_root.rstrip('/')}_delta")
+        sla.stage_requests(keys.dedupe_latest(history, cfg.key, list(cfg.dedupe_order))).write.parquet(delta_path)
+        staged_touched = spark.read.parquet(delta_path)
+        prev = spark.read.parquet(staging_path)
+        staging_path = _version(cfg.staging_root)
+        merge.upsert(prev, staged_touched, cfg.key, list(cfg.dedupe_order), source_is_small=small).write.parquet(
+            staging_path
+        )
+        delta_keys = staged_touched.select(cfg.key)
+        prev_touched = prev.join(F.broadcast(delta_keys) if small else delta_keys, cfg.key, "left_semi")
+        changed = merge.changed_rows(prev_touched, staged_touched, cfg.key, list(cfg.change_columns)).count()
     staged = spark.read.parquet(staging_path)
 
     # 6. gold facts (performance written first, trends read from it)
@@ -123,7 +166,8 @@ def run_daily(
     results = spark.createDataFrame(checks.collect(), checks.schema)  # one row per check
     quality.gate(results)
     return DailyReport(
-        action, description, ingested, compacted, landing_path, silver_path, staging_path, gold, changed, results
+        run_id, action, description, ingested, compacted, cfg.landing_path, silver_path, staging_path, gold,
+        changed, results,
     )
 
 

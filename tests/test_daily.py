@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from servicelake.operators import quality
+from servicelake.functions.clean import type_requests
+from servicelake.operators import keys, quality, sla, verify
 from servicelake.plans.daily import DailyConfig, SchemaDriftError, run_daily
 from servicelake.sources.fixtures import FIXTURE_YEAR_CAP, fixture_targets, raw_requests
 from tests.conftest import SF_SMALL
@@ -15,12 +16,12 @@ def _cfg(tmp_dir, schema):
         incoming_schema=schema,
         landing_path=f"{tmp_dir}/landing",
         ingest_checkpoint=f"{tmp_dir}/ckpt",
-        silver_root=f"{tmp_dir}/silver",
+        silver_path=f"{tmp_dir}/silver",
         staging_root=f"{tmp_dir}/staging",
         gold_root=f"{tmp_dir}/gold",
         baseline_schema_path=f"{tmp_dir}/baseline",
         year_cap=FIXTURE_YEAR_CAP,
-        max_files=3,
+        max_files=400,
         staging_checks=quality.staging_suite(BOROUGHS, 100)[:4],
         as_of="2001-08-31",
     )
@@ -42,15 +43,20 @@ def test_daily_run_end_to_end_and_rerun(spark, tmp_dir):
     # new arrivals: loads 2 and 3; rerun merges them into the previous staging
     for lid in (2, 3):
         raw.where(F.col("load_id") == lid).write.mode("append").parquet(f"{tmp_dir}/incoming")
-    second = run_daily(spark, cfg, fixture_targets(spark), previous_staging=first.staging_path)
+    second = run_daily(spark, cfg, fixture_targets(spark), previous=first)
     assert second.drift_action == "keep"
     assert second.ingested_rows == raw.where(F.col("load_id") >= 2).count()
-    assert second.compacted  # more than 3 landing files by now
+    assert second.compacted  # appends left more than max_files silver files
+    assert spark.read.parquet(second.silver_path).count() == raw.count()
     staged2 = spark.read.parquet(second.staging_path)
     assert staged2.count() == raw.select("unique_key").distinct().count()
+    assert second.changed_rows > 0
+    # the incremental merge equals a full rebuild from all landing rows
+    full = sla.stage_requests(keys.dedupe_latest(type_requests(raw), "unique_key", ["closed_date"]))
+    assert verify.content_difference(staged2.select(*full.columns), full).count() == 0
 
     # a rerun with nothing new ingests nothing and changes nothing
-    third = run_daily(spark, cfg, fixture_targets(spark), previous_staging=second.staging_path)
+    third = run_daily(spark, cfg, fixture_targets(spark), previous=second)
     assert third.ingested_rows == 0 and third.changed_rows == 0
     assert spark.read.parquet(third.staging_path).count() == staged2.count()
 
