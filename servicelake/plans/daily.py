@@ -1,5 +1,5 @@
-"""The daily run: drift gate -> ingest -> compaction branch -> silver ->
-staging merge -> gold -> quality gate, as sequential Spark jobs.
+"""The daily run: drift gate -> ingest -> silver append -> compaction branch
+-> staging merge -> gold -> quality gate, as sequential Spark jobs.
 
 Work per run follows the increment, not the history: the append-only
 landing table is the ingest stream's sink and its rows carry the id of the
