@@ -58,6 +58,7 @@ def test_daily_run_end_to_end_and_rerun(spark, tmp_dir):
     # a rerun with nothing new ingests nothing and changes nothing
     third = run_daily(spark, cfg, fixture_targets(spark), previous=second)
     assert third.ingested_rows == 0 and third.changed_rows == 0
+    assert third.drift_action == "keep"
     assert spark.read.parquet(third.staging_path).count() == staged2.count()
 
 
