@@ -1,7 +1,9 @@
 """Property-based checks against brute force (hypothesis)."""
 
 import bisect
+import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -57,3 +59,33 @@ def test_paging_covers_sorted_whole(spark, data, page):
             break
         after = chunk[-1]
     assert out == sorted(data)
+
+
+@pytest.fixture(scope="module")
+def partitioned(spark, tmp_path_factory):
+    from servicelake.plans.gold import fixture_typed
+    from tests.conftest import SF_SMALL
+
+    path = str(tmp_path_factory.mktemp("part") / "silver")
+    layout.write_partitioned(fixture_typed(spark, SF_SMALL), path)
+    return spark.read.parquet(path)
+
+
+@SETTINGS
+@given(
+    start=st.dates(min_value=dt.date(1994, 6, 1), max_value=dt.date(2002, 1, 1)),
+    days=st.integers(0, 900),
+    hour=st.integers(0, 23),
+    borough=st.sampled_from(["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "NOWHERE"]),
+)
+def test_partition_predicates_never_drop_rows(spark, partitioned, start, days, hour, borough):
+    lo = dt.datetime.combine(start, dt.time(hour))
+    hi = lo + dt.timedelta(days=days, hours=hour)
+    cond = (
+        (F.col("borough") == borough)
+        & (F.col("created_date") >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
+        & (F.col("created_date") < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz"))
+    )
+    plain = partitioned.where(cond).count()
+    pruned = partitioned.where(cond & layout.partition_predicates((lo.isoformat(sep=" "), hi.isoformat(sep=" ")), {"borough": borough})).count()
+    assert plain == pruned
