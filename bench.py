@@ -33,7 +33,10 @@ from servicelake.session import get_session, shared_path  # noqa: E402
 from servicelake.sources.fixtures import FIXTURE_YEAR_CAP, fixture_targets, raw_requests  # noqa: E402
 
 
-def timed(build, runs):
+TIMINGS: list[tuple] = []
+
+
+def timed(build, runs, layer: str | None = None, query: str | None = None):
     """Median wall time of ``build()`` + ``collect()`` over ``runs`` runs.
 
     The plan is rebuilt for every run: re-executing one DataFrame object
@@ -42,10 +45,12 @@ def timed(build, runs):
     """
     build().collect()  # warm-up run (JIT, file listing), not timed
     times, rows = [], None
-    for _ in range(runs):
+    for i in range(runs):
         t0 = time.perf_counter()
         rows = len(build().collect())
         times.append(time.perf_counter() - t0)
+        if layer:
+            TIMINGS.append(benchmarks.timing_record(layer, query, i, times[-1], None, rows))
     return statistics.median(times), rows
 
 
@@ -96,7 +101,7 @@ def main() -> None:
         }
         for qname, build in plans.items():
             key = f"{qname}_{name}"
-            results[key], rows[key] = timed(build, runs)
+            results[key], rows[key] = timed(build, runs, name, qname)
 
     # ---- gold pipeline and merge operators over the raw layer -------------
     targets = fixture_targets(spark)
@@ -157,6 +162,16 @@ def main() -> None:
         bytes_c[name] = sizes.join(index.where(c_pred).select("file_path"), "file_path").agg(F.sum("length")).first()[0]
         bytes_c[f"{name}_with_minmax"] = sizes.join(candidates, "file_path").agg(F.sum("length")).first()[0]
 
+    # stage comparison with the library's own report operators (A7, R-8, S11)
+    timings = spark.createDataFrame(TIMINGS, benchmarks.TIMINGS_SCHEMA)
+    layout.write_metrics(timings, shared_path(spark, "bench", "metrics"))
+    medians = benchmarks.median_timings(timings)
+    comparison = benchmarks.stage_comparison(medians, list(layers), "raw_parquet")
+    speedups = {
+        f"{r['query']}_{r['storage_format']}": round(r["speedup"], 2)
+        for r in comparison.where(F.col("speedup").isNotNull()).collect()
+    }
+
     speedup_c = results["query_c_raw_parquet"] / results["query_c_zordered"] if results["query_c_zordered"] else None
     out = {
         "metric": "sum_of_median_query_seconds",
@@ -169,6 +184,7 @@ def main() -> None:
         # layouts skip files, but the rate is per row of the table).
         "throughput_rows_per_sec": {k: int(n_rows / v) for k, v in results.items() if v > 0},
         "query_c_speedup_raw_vs_zordered": round(speedup_c, 2) if speedup_c else None,
+        "speedup_vs_raw": speedups,
         "storage": storage,
         "query_c_files": files_c,
         "query_c_bytes": bytes_c,
