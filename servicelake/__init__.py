@@ -11,4 +11,5 @@ collects unbounded data to the driver.  Sub-packages:
 * ``streaming`` - Structured Streaming ingestion
 """
 
+__version__ = "0.1.0"
 __all__ = ["session"]

@@ -86,3 +86,9 @@ def test_incremental_vs_full(spark):
     runs = spark.createDataFrame([("full_refresh", 1000), ("incremental", 1221)], "mode string, bytes_scanned bigint")
     r = benchmarks.incremental_vs_full(runs).first()
     assert r.full_refresh_bytes == 1000 and abs(r.reduction_percentage - (-22.1)) < 1e-9
+
+
+def test_read_table_any_installed_format(spark, tmp_dir):
+    spark.range(5).withColumn("v", F.col("id") * 3).write.orc(f"{tmp_dir}/orc")
+    df = tables.read_table(spark, f"{tmp_dir}/orc", fmt="orc", columns=["v"], where=F.col("id") >= 3)
+    assert sorted(r.v for r in df.collect()) == [9, 12]
