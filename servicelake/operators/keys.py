@@ -52,6 +52,8 @@ def keyset_page(
     limit: int = 50_000,
 ) -> DataFrame:
     """The next ``limit`` rows in ``order`` strictly after ``after``."""
+    if limit < 1:
+        raise ValueError("page limit must be at least 1")
     rows = df if after is None else df.where(after_cursor(order, after))
     return rows.orderBy(*[F.asc(c) for c in order]).limit(limit)
 
@@ -64,6 +66,8 @@ def page_cursor(page: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def page_summary(df: DataFrame, ts: str, page_size: int) -> DataFrame:
     """I4: rows and pages per calendar year for a given page size."""
+    if page_size < 1:
+        raise ValueError("page size must be at least 1")
     agg = df.groupBy(F.year(ts).cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
     return agg.withColumn("pages", F.ceil(F.col("rows") / F.lit(page_size)).cast("bigint"))
 

@@ -72,3 +72,11 @@ def test_as_of_load(spark):
     got = {r.k: r.v for r in keys.as_of(df, "k", "load_id", 2, ["load_id"]).collect()}
     assert got == {1: "new"}
     assert F is not None
+
+
+def test_paging_rejects_empty_pages(spark):
+    df = spark.range(3)
+    with pytest.raises(ValueError):
+        keys.keyset_page(df, ["id"], None, 0)
+    with pytest.raises(ValueError):
+        keys.page_summary(df.select(F.current_timestamp().alias("ts")), "ts", 0)
