@@ -32,11 +32,6 @@ TARGETS_MAX_ROWS = 100_000
 PERCENTILE_DECIMALS = 6
 TREND_YEARS = 5
 
-STAGED_COLUMNS = (
-    "unique_key", "created_date", "closed_date", "borough", "complaint_type", "agency",
-    "status", "complaint_type_normalized", "resolution_days", "is_anomaly", "anomaly_reason",
-)
-
 PERF_KEYS = ("complaint_type", "responsible_agency", "calendar_year", "target_days")
 
 

@@ -178,7 +178,3 @@ def run_daily(
         changed, results,
     )
 
-
-def landing_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per load id in the landing table (append-only audit)."""
-    return spark.read.parquet(path).groupBy("load_id").agg(F.count(F.lit(1)).alias("rows"))

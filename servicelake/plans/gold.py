@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from servicelake.functions.clean import type_requests
 from servicelake.operators import sla
-from servicelake.session import materialize
-from servicelake.sources.fixtures import FIXTURE_YEAR_CAP, fixture_targets, raw_requests
+from servicelake.sources.fixtures import fixture_targets, raw_requests
 
 
 def fixture_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,11 +34,6 @@ def fixture_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sla.sla_performance(fixture_enriched(spark, sf_dir))
 
 
-def fixture_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trends over a checkpointed performance fact (one pass over requests)."""
-    return sla.sla_trends(materialize(fixture_performance(spark, sf_dir)), FIXTURE_YEAR_CAP)
-
-
 @dataclass
 class GoldTables:
     performance_path: str

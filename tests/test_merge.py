@@ -52,3 +52,10 @@ def test_changed_rows_catch_late_updates(spark):
     )
     got = {r.k: r.change_kind for r in merge.changed_rows(old, new, "k", ["created", "closed", "status"]).collect()}
     assert got == {1: "updated", 3: "inserted"}
+
+
+def test_full_refresh_overwrites(spark, tmp_dir):
+    path = f"{tmp_dir}/model"
+    merge.full_refresh(spark.range(5), path)
+    merge.full_refresh(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
