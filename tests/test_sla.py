@@ -112,3 +112,15 @@ def test_last_complete_year(spark):
     full = spark.createDataFrame([(dt.datetime(2025, 12, 31, 8),)], "created_date timestamp_ntz")
     assert partial.select(sla.last_complete_year(partial).alias("y")).first().y == 2025
     assert full.select(sla.last_complete_year(full).alias("y")).first().y == 2025
+
+
+def test_borough_compare_one_category(spark):
+    from servicelake.plans.gold import fixture_enriched
+
+    enriched = fixture_enriched(spark, "/root/testdata/sf0.001")
+    one = sla.borough_compare(enriched, "ECONOMY")
+    every = sla.borough_compare(enriched)
+    assert {r.complaint_type for r in one.collect()} == {"ECONOMY"}
+    key = ["complaint_type", "borough", "calendar_year"]
+    assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in every.where(F.col("complaint_type") == "ECONOMY").select(*one.columns).collect())
+    assert len(key) == 3
