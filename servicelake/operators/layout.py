@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from servicelake.operators.joins import bounded_broadcast
+
 MONTH_COL = "created_month"
 PREFIX_COL = "borough_truncated"
 PARTITION_COLS = (MONTH_COL, PREFIX_COL)
@@ -371,6 +373,52 @@ def compact(
     return before.unionByName(after).select("stage", "files", "bytes")
 
 
+def compact_partitions(
+    spark: SparkSession,
+    path: str,
+    scratch: str,
+    partition_cols: Sequence[str] = PARTITION_COLS,
+    min_files: int = 2,
+    fmt: str = "parquet",
+    max_partitions_broadcast: int = 100_000,
+) -> DataFrame:
+    """L5, partition-scoped: rewrite only partitions holding ``min_files`` or
+    more files, in place; returns a before/after ``(stage, files, bytes)``.
+
+    The fragmented partitions are found from file metadata (A9), their rows
+    are selected with a semi join on the partition columns (NULL-safe, so the
+    default partition is included; dynamic partition pruning keeps other
+    partitions unread), copied to ``scratch`` one file per partition, and
+    written back with dynamic partition overwrite -- only those partition
+    directories are replaced, however large the rest of the table is.
+    """
+    # Stats are taken eagerly: a lazy listing of files about to be replaced
+    # would be read after the rewrite.
+    b = file_stats(spark, path).first()
+    schema = "stage string, files bigint, bytes bigint"
+    fragmented = partition_file_counts(spark, path, partition_cols).where(F.col("files") >= min_files)
+    fragmented = fragmented.select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols])
+    if fragmented.isEmpty():
+        return spark.createDataFrame([("before", b["files"], b["bytes"]), ("after", b["files"], b["bytes"])], schema)
+    data = spark.read.format(fmt).load(path)
+    cond = None
+    for c in partition_cols:
+        eq = data[c].eqNullSafe(F.col(f"_p_{c}"))
+        cond = eq if cond is None else cond & eq
+    rows = data.join(bounded_broadcast(fragmented, max_partitions_broadcast), cond, "left_semi")
+    cluster_for_write(rows, partition_cols).write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(scratch)
+    (
+        spark.read.format(fmt).load(scratch)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .format(fmt)
+        .partitionBy(*partition_cols)
+        .save(path)
+    )
+    a = file_stats(spark, path).first()
+    return spark.createDataFrame([("before", b["files"], b["bytes"]), ("after", a["files"], a["bytes"])], schema)
+
+
 def storage_report(spark: SparkSession, layers: Sequence[tuple[str, str]]) -> DataFrame:
     """Files and size per layer, change vs the previous layer, total change
     vs the first layer.

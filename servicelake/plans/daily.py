@@ -3,8 +3,9 @@
 
 Work per run follows the increment, not the history: the append-only
 landing table is the ingest stream's sink and its rows carry the id of the
-run that ingested them; silver gets only those rows appended (and is
-compacted into a new version once appends leave too many small files),
+run that ingested them; silver gets only those rows appended (and once
+appends leave too many small files, the fragmented partitions alone are
+rewritten in place),
 and staging re-decides only the keys they touch (over those keys' full
 history) before merging them into the previous staging table -- a
 broadcast anti join when the touched key set is proven small, so the large
@@ -138,13 +139,12 @@ def run_daily(
     mark("silver_append")
 
     # 4. small-file branch: per-run appends add files to every touched
-    #    partition; past the threshold, compact into a new version
+    #    partition; past the threshold, compact in place -- only the
+    #    partitions holding several files are rewritten
     stats = layout.needs_compaction(layout.file_stats(spark, silver_path), cfg.max_files).first()
     compacted = bool(stats["needs_compaction"])
     if compacted:
-        new_silver = _version(f"{cfg.silver_path.rstrip('/')}_compacted")
-        layout.compact(spark, silver_path, new_silver, partition_cols=layout.PARTITION_COLS)
-        silver_path = new_silver
+        layout.compact_partitions(spark, silver_path, _version(f"{cfg.silver_path.rstrip('/')}_scratch"))
     mark("compaction")
     silver = spark.read.parquet(silver_path).drop(*layout.PARTITION_COLS, RUN_COL)
 

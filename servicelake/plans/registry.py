@@ -441,3 +441,14 @@ def failed_checks(spark, sf_dir):
 @register("compaction_needed")
 def compaction_needed(spark, sf_dir):
     return layout.needs_compaction(layout.file_stats(spark, _partitioned(spark, sf_dir)), max_files=500)
+
+
+@register("partition_compaction_report")
+def partition_compaction_report(spark, sf_dir):
+    # Two appends (loads 0-1, then 2-3) leave two files in most partitions;
+    # only those partitions are rewritten, in place.
+    typed = gold.fixture_typed(spark, sf_dir)
+    path = shared_path(spark, "layouts", "appended")
+    layout.write_partitioned(typed.where(F.col("load_id") <= 1), path, mode="append")
+    layout.write_partitioned(typed.where(F.col("load_id") >= 2), path, mode="append")
+    return layout.compact_partitions(spark, path, shared_path(spark, "layouts", "compaction_scratch"))

@@ -107,3 +107,23 @@ def test_coordinate_disagreement_counts_only_present_pairs(spark):
     child = spark.createDataFrame([(1, 1.0, 2.0), (2, 9.0, 9.0), (3, 5.0, 6.0)], "k int, lat double, lon double")
     r = verify.coordinate_disagreement(parent, child, "k", [("lat", "lat"), ("lon", "lon")]).first()
     assert (r.parent_rows, r.matched_rows, r.compared_rows, r.disagreements) == (4, 3, 2, 1)
+
+
+def test_partition_scoped_compaction_in_place(spark, tmp_dir):
+    typed = _typed(spark)
+    path = f"{tmp_dir}/silver"
+    # three appends: touched partitions end up with several files
+    for lo, hi in ((0, 1), (1, 2), (2, 4)):
+        layout.write_partitioned(typed.where((F.col("load_id") >= lo) & (F.col("load_id") < hi)), path, mode="append")
+    # a partition with a single file must not be rewritten
+    lonely = typed.limit(1).withColumn("created_date", F.lit("2030-01-05 00:00:00").cast("timestamp_ntz"))
+    layout.write_partitioned(lonely, path, mode="append")
+    single_before = sorted(layout.with_file_path(spark.read.parquet(path)).where(F.col("created_month") == "2030-01-01").select("file_path").distinct().collect())
+    rep = {r.stage: r for r in layout.compact_partitions(spark, path, f"{tmp_dir}/scratch").collect()}
+    assert rep["after"].files < rep["before"].files
+    back = spark.read.parquet(path)
+    assert layout.partition_file_counts(spark, path).agg(F.max("files")).first()[0] == 1
+    expected = typed.unionByName(lonely)
+    assert verify.content_difference(back.select(*typed.columns), expected).count() == 0
+    single_after = sorted(layout.with_file_path(spark.read.parquet(path)).where(F.col("created_month") == "2030-01-01").select("file_path").distinct().collect())
+    assert single_before == single_after

@@ -10,7 +10,7 @@ QUERIES = entry_mod.queries()
 WRITES = {
     "partition_rows", "partition_file_counts", "partitioned_bench_c", "zorder_content", "file_index",
     "skip_report", "storage_report", "compaction_report", "layer_parity", "ingest_available",
-    "reader_parity", "compaction_needed",
+    "reader_parity", "compaction_needed", "partition_compaction_report",
 }
 
 
