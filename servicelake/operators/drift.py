@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,6 +102,33 @@ def schema_snapshot(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, type_name string")
 
 
+def file_schema_snapshot(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    glob: str | None = None,
+    modified_after: str | None = None,
+) -> DataFrame | None:
+    """Snapshot of the schema the files under ``path`` actually carry.
+
+    For self-describing formats the schema lives in file footers:
+    ``mergeSchema`` reads every selected footer in a distributed job and no
+    row data, so the cost follows the number of files, not rows.
+    ``modified_after`` restricts it to files that arrived since then.
+    Returns None when no file matches.
+    """
+    reader = spark.read.format(fmt).option("mergeSchema", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    try:
+        df = reader.load(path)
+    except AnalysisException:
+        return None
+    return schema_snapshot(spark, df)
+
+
 def without_platform_keys(snapshot: DataFrame) -> DataFrame:
     """F8: drop ``:``-prefixed platform columns (apply to both sides)."""
     return snapshot.where(~F.col("column_name").startswith(PLATFORM_PREFIX))

@@ -54,3 +54,18 @@ def test_snapshots_from_schema_and_records(spark):
     rec = drift.records_as_json(df, keep=["k"])
     kinds = {r.column_name: r.type_name for r in drift.json_key_types(rec, "record", ["k"]).collect()}
     assert kinds == {"k": "int", "s": "str", "x": "float", "t": "str"}
+
+
+def test_file_schema_snapshot_reads_footers(spark, tmp_dir):
+    import time
+
+    spark.range(3).selectExpr("id", "cast(id as string) as s").write.parquet(f"{tmp_dir}/in")
+    snap = {r.column_name: r.type_name for r in drift.file_schema_snapshot(spark, f"{tmp_dir}/in").collect()}
+    assert snap == {"id": "bigint", "s": "string"}
+    time.sleep(1.1)
+    marker = spark.range(1).selectExpr("date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss\")").first()[0]
+    time.sleep(1.1)
+    spark.range(3).selectExpr("id", "cast(id as int) as s").write.mode("append").parquet(f"{tmp_dir}/in")
+    newer = drift.file_schema_snapshot(spark, f"{tmp_dir}/in", modified_after=marker)
+    assert {r.column_name: r.type_name for r in newer.collect()} == {"id": "bigint", "s": "int"}
+    assert drift.file_schema_snapshot(spark, f"{tmp_dir}/in", glob="*.nothing") is None
