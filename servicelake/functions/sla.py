@@ -70,7 +70,7 @@ def pct_change_label(before: str | Column, after: str | Column, label: str) -> C
     sign = F.when(pct >= 0, F.lit("-")).otherwise(F.lit("+"))
     return F.when(
         pct.isNotNull(),
-        F.concat(F.lit("("), sign, F.format_number(F.abs(pct), 1), F.lit(f"% vs {label})")),
+        F.concat(F.lit("("), sign, F.format_string("%.1f", F.abs(pct)), F.lit(f"% vs {label})")),
     )
 
 
