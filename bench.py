@@ -35,6 +35,7 @@ from servicelake.sources.fixtures import FIXTURE_YEAR_CAP, fixture_targets, raw_
 
 
 TIMINGS: list[tuple] = []
+ERRORS: dict[str, str] = {}
 
 
 def timed(build, runs, layer: str | None = None, query: str | None = None):
@@ -44,7 +45,11 @@ def timed(build, runs, layer: str | None = None, query: str | None = None):
     would reuse its shuffle files and skip the map stages.  One untimed
     warm-up run precedes the timed ones.
     """
-    build().collect()  # warm-up run (JIT, file listing), not timed
+    try:
+        build().collect()  # warm-up run (JIT, file listing), not timed
+    except Exception as exc:  # noqa: BLE001 - one failing item must not lose the JSON line
+        ERRORS[f"{layer or ''}:{query or build.__name__}"] = f"{type(exc).__name__}: {str(exc)[:200]}"
+        return float("nan"), 0
     times, rows = [], None
     for i in range(runs):
         t0 = time.perf_counter()
@@ -232,17 +237,22 @@ def main() -> None:
 
     pipeline_runs = daily_runs(spark, raw_table)
 
-    speedup_c = results["query_c_raw_parquet"] / results["query_c_zordered"] if results["query_c_zordered"] else None
+    speedup_c = (
+        results["query_c_raw_parquet"] / results["query_c_zordered"]
+        if results["query_c_zordered"] == results["query_c_zordered"] and results["query_c_zordered"]
+        else None
+    )
     out = {
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(results.values()), 3),
+        "value": round(sum(v for v in results.values() if v == v), 3),
         "unit": "sec",
-        "queries": {k: round(v, 3) for k, v in results.items()},
+        "queries": {k: (round(v, 3) if v == v else None) for k, v in results.items()},
+        "errors": ERRORS,
         "rows": rows,
         "input_rows": n_rows,
         # Every timed query reads all request rows of its layout (pruned
         # layouts skip files, but the rate is per row of the table).
-        "throughput_rows_per_sec": {k: int(n_rows / v) for k, v in results.items() if v > 0},
+        "throughput_rows_per_sec": {k: int(n_rows / v) for k, v in results.items() if v == v and v > 0},
         "query_c_speedup_raw_vs_zordered": round(speedup_c, 2) if speedup_c else None,
         "speedup_vs_raw": speedups,
         "daily_pipeline": pipeline_runs,
@@ -258,4 +268,11 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    except Exception as exc:  # noqa: BLE001 - always emit the one JSON line
+        sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+        print(json.dumps({
+            "metric": "sum_of_median_query_seconds", "value": None, "unit": "sec", "queries": {},
+            "sf": os.path.basename(sf_dir).replace("sf", ""), "error": f"{type(exc).__name__}: {str(exc)[:300]}",
+        }))
