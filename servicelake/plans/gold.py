@@ -55,3 +55,19 @@ def build_gold(
     perf = spark.read.format(fmt).load(perf_path)
     sla.sla_trends(perf, year_cap).write.mode("overwrite").format(fmt).save(trends_path)
     return GoldTables(perf_path, trends_path)
+
+
+def register_views(spark: SparkSession, staged: DataFrame, targets: DataFrame, year_cap: int) -> dict[str, DataFrame]:
+    """Expose every stage to ``spark.sql`` under the model names.
+
+    ``fct_sla_trends`` is defined over the *view* ``fct_sla_performance``;
+    register a stored performance table under that name (``build_gold``)
+    when both facts are queried repeatedly.
+    """
+    enriched = sla.enrich(staged, targets)
+    views = {"stg_requests": staged, "sla_targets": targets, "int_requests_enriched": enriched}
+    views["fct_sla_performance"] = sla.sla_performance(enriched)
+    views["fct_sla_trends"] = sla.sla_trends(views["fct_sla_performance"], year_cap)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return views

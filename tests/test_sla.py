@@ -125,3 +125,13 @@ def test_borough_compare_one_category(spark):
         return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
 
     assert rows(one) == rows(every.where(F.col("complaint_type") == "ECONOMY").select(*one.columns))
+
+
+def test_register_views_for_sql(spark):
+    from servicelake.plans.gold import fixture_staged, register_views
+    from servicelake.sources.fixtures import FIXTURE_YEAR_CAP, fixture_targets
+
+    register_views(spark, fixture_staged(spark, "/root/testdata/sf0.001"), fixture_targets(spark), FIXTURE_YEAR_CAP)
+    n = spark.sql("SELECT COUNT(*) FROM fct_sla_performance WHERE calendar_year <= 2000").first()[0]
+    assert n > 0
+    assert spark.sql("SELECT COUNT(*) FROM fct_sla_trends").first()[0] > 0
