@@ -36,6 +36,24 @@ from servicelake.sources.fixtures import FIXTURE_YEAR_CAP, fixture_targets, raw_
 
 TIMINGS: list[tuple] = []
 ERRORS: dict[str, str] = {}
+JOBS: dict[str, list[int]] = {}
+
+
+def _jobs_and_stages(sc, group: str) -> list[int]:
+    """Spark jobs and stages run under a job group (status tracker, no UI)."""
+    tracker = sc.statusTracker()
+    jobs = tracker.getJobIdsForGroup(group)
+    stages = 0
+    for j in jobs:
+        info = tracker.getJobInfo(j)
+        stages += len(info.stageIds) if info else 0
+    return [len(jobs), stages]
+
+
+def SparkContext_active():
+    from pyspark import SparkContext
+
+    return SparkContext._active_spark_context
 
 
 def timed(build, runs, layer: str | None = None, query: str | None = None):
@@ -51,12 +69,19 @@ def timed(build, runs, layer: str | None = None, query: str | None = None):
         ERRORS[f"{layer or ''}:{query or build.__name__}"] = f"{type(exc).__name__}: {str(exc)[:200]}"
         return float("nan"), 0
     times, rows = [], None
+    label = f"{query}_{layer}" if layer else (query or build.__name__)
+    sc = SparkContext_active()
     for i in range(runs):
+        if sc is not None and i == runs - 1:
+            sc.setJobGroup(f"bench-{label}", label)
         t0 = time.perf_counter()
         rows = len(build().collect())
         times.append(time.perf_counter() - t0)
         if layer:
             TIMINGS.append(benchmarks.timing_record(layer, query, i, times[-1], None, rows))
+    if sc is not None:
+        JOBS[label] = _jobs_and_stages(sc, f"bench-{label}")
+        sc.setJobGroup("bench-other", "other")
     return statistics.median(times), rows
 
 
@@ -201,7 +226,7 @@ def main() -> None:
         ),
     }
     for qname, build in pipeline.items():
-        results[qname], rows[qname] = timed(build, runs)
+        results[qname], rows[qname] = timed(build, runs, query=qname)
 
     # storage per layer and files Query C must open on each layer
     storage = {}
@@ -248,6 +273,7 @@ def main() -> None:
         "unit": "sec",
         "queries": {k: (round(v, 3) if v == v else None) for k, v in results.items()},
         "errors": ERRORS,
+        "jobs_stages_last_run": JOBS,
         "rows": rows,
         "input_rows": n_rows,
         # Every timed query reads all request rows of its layout (pruned
