@@ -55,7 +55,7 @@ def documents(docs: DataFrame) -> DataFrame:
 
 
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
-    """A text column's values as UTF-8 bytes, without decoding them."""
+    """A text column's values as UTF-8 bytes (None: null), without decoding them."""
     col = batch.column(column)
     kind = pa.large_binary() if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else pa.binary()
     return col.cast(kind).to_pylist()
@@ -67,7 +67,7 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
         if not batch.num_rows:
             continue
         texts = utf8(batch, column)
-        sizes = np.cumsum([len(t) for t in texts])
+        sizes = np.cumsum([len(t) if t else 0 for t in texts])
         first = 0
         while first < len(texts):
             base = sizes[first - 1] if first else 0

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from servicelake.llm import packing, token_files
+from servicelake.llm import decontamination, licenses, packing, sentence_dedup, token_files, toxicity
 from servicelake.llm.common import read_table, scratch
 
 
@@ -14,6 +15,26 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.training_rows(docs, read_table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = sentence_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_sentences", "n_removed", "removed", "text")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     token_files.write_tokens(read_table(spark, sf_dir, "documents"), path)
@@ -22,7 +43,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
+    "op3_licenses": op3_licenses,
+    "op4_decontamination": op4_decontamination,
     "op6_token_files": op6_token_files,
+    "op7_sentence_dedup": op7_sentence_dedup,
 }
 
 ORACLES: dict[str, str] = {}
