@@ -28,6 +28,8 @@ from servicelake.llm.common import chunks, documents
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 PREFIXES = (3, 4, 5)
 BATCH = 64
+#: Hashed features of fewer training texts keep a zero vector.
+MIN_DOCS = 3
 
 
 @dataclass
@@ -74,13 +76,34 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORDS).split()
 
 
+def _evidence(texts: list[np.ndarray], features: np.ndarray, labels: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each bucket: whether enough texts hold it (what hardly any holds says nothing of the next one), and the signed root of the likelihood ratio of its tie to the label, the embedding's first column to begin with."""
+    with_it = np.zeros((2, buckets))
+    for ids, label in zip(texts, labels, strict=True):
+        with_it[int(label), np.unique(features[ids])] += 1
+    totals = np.array([[(labels == 0).sum()], [(labels == 1).sum()]])
+    without = totals - with_it
+    share = with_it.sum(0) / totals.sum()
+    expected = np.stack([totals * share, totals * (1 - share)])
+    observed = np.stack([with_it, without])
+    g = 2 * (observed * np.log(np.maximum(observed, 1e-9) / np.maximum(expected, 1e-9))).sum((0, 1))
+    sign = np.sign(with_it[1] / totals[1] - with_it[0] / totals[0])
+    return with_it.sum(0) >= MIN_DOCS, (sign * np.sqrt(np.maximum(g, 0)) / 6).astype(np.float32)
+
+
 def _fit_network(texts: list[np.ndarray], features: np.ndarray, labels: np.ndarray, buckets: int, dim: int, n_filters: int, widths: tuple[int, ...], epochs: int, rate: float, seed: int) -> Model:
     """Adam over mini-batches; max pooling passes a gradient to one place of each filter only."""
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (buckets, dim)).astype(np.float32)
-    filters = {w: rng.normal(0, 1.0 / np.sqrt(w * dim), (w, dim, n_filters)).astype(np.float32) for w in widths}
+    known, evidence = _evidence(texts, features, labels, buckets)
+    emb[:, 0] = evidence
+    emb[~known] = 0
+    filters = {w: rng.normal(0, 0.5 / np.sqrt(w * dim), (w, dim, n_filters)).astype(np.float32) for w in widths}
+    for w in widths:  # half of the filters begin by reading the evidence at one of their places
+        filters[w][np.arange(n_filters // 2) % w, 0, np.arange(n_filters // 2)] = 1.0
     total = n_filters * len(widths)
-    bias, out, out_bias = np.zeros(total, np.float32), rng.normal(0, 0.3, total).astype(np.float32), np.float32(-1.0)
+    bias, out_bias = np.zeros(total, np.float32), np.float32(-1.0)
+    out = np.where(np.arange(total) % n_filters < n_filters // 2, 0.3, rng.normal(0, 0.1, total)).astype(np.float32)
     params = {"bias": bias, "out": out, **{f"w{w}": filters[w] for w in widths}}
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
     emb_m = np.zeros(buckets, np.float32)
@@ -116,10 +139,11 @@ def _fit_network(texts: list[np.ndarray], features: np.ndarray, labels: np.ndarr
                     if w not in places:
                         continue
                     top, own = places[w], back[j * n_filters : (j + 1) * n_filters]
-                    for k in range(w):
-                        grads[f"w{w}"][k] += (x[top + k] * own[:, None]).T
-                        rows.append(features[ids[top + k]])
-                        row_grads.append((filters[w][k] * own).T)
+                    for k in range(min(w, len(x))):
+                        inside = np.flatnonzero(top + k < len(x))  # the rest is padding
+                        grads[f"w{w}"][k][:, inside] += (x[top[inside] + k] * own[inside, None]).T
+                        rows.append(features[ids[top[inside] + k]])
+                        row_grads.append((filters[w][k][:, inside] * own[inside]).T)
             step += 1
             n = len(batch)
             for k, v in params.items():
@@ -134,7 +158,9 @@ def _fit_network(texts: list[np.ndarray], features: np.ndarray, labels: np.ndarr
             if rows:  # the embedding: one running square for each row touched
                 own_rows = np.concatenate(rows)
                 own_grads = np.repeat(np.concatenate(row_grads)[:, None, :], own_rows.shape[1], 1).reshape(-1, dim) / n
-                keys, inverse = np.unique(own_rows.ravel(), return_inverse=True)
+                flat = own_rows.ravel()
+                own_grads, flat = own_grads[known[flat]], flat[known[flat]]
+                keys, inverse = np.unique(flat, return_inverse=True)
                 summed = np.zeros((len(keys), dim), np.float32)
                 np.add.at(summed, inverse, own_grads)
                 emb_m[keys] += (summed**2).mean(1)
