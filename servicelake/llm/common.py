@@ -16,6 +16,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, once, so they need no path to it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent.parent
+    to = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(to, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(to))
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
@@ -116,3 +137,40 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + size] + np.uint64(k))
     return out if n > 1 else mix64(out)
+
+
+def bitmap(df: DataFrame, column: str, bits: int = 1 << 26) -> np.ndarray:
+    """A set of 64-bit values as ``bits`` bits, packed: a test of it errs to the side of membership only.
+
+    Its size (8 MB by default) does not follow the data.  Bits are put
+    together on the executors; the driver receives no more than the bitmap.
+    """
+    run = 1 << 15
+    places = df.select(F.pmod(F.col(column), F.lit(bits)).alias("b")).groupBy(F.floor(F.col("b") / run).cast("long").alias("k")).agg(F.collect_set(F.pmod("b", F.lit(run)).cast("int")).alias("at"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for at in batch.column("at").to_pylist():
+                own = np.zeros(run, np.uint8)
+                own[at] = 1
+                out.append(np.packbits(own).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(out, pa.binary())], names=["k", "blob"])
+
+    out = np.zeros(bits // 8, np.uint8)
+    for row in places.mapInArrow(pack, "k long, blob binary").toLocalIterator():
+        out[row["k"] * run // 8 : (row["k"] + 1) * run // 8] = np.frombuffer(row["blob"], np.uint8)
+    return out
+
+
+def in_bitmap(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which 64-bit values may be in the set."""
+    at = values.view(np.int64) & np.int64(len(packed) * 8 - 1)
+    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    """Arrays as an Arrow list column."""
+    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+    flat = np.concatenate(values) if values else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat).cast(kind))

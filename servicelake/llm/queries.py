@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicelake.llm import decontamination, licenses, packing, sentence_dedup, token_files, toxicity
-from servicelake.llm.common import read_table, scratch
+from servicelake.llm import backoff, decontamination, jaccard_join, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, vantage
+from servicelake.llm.common import read_table, scratch, ship
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,13 +42,47 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.catalogue(spark, path)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def op5_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op9_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return vantage.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_OWN: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
     "op3_licenses": op3_licenses,
     "op4_decontamination": op4_decontamination,
+    "op5_backoff": op5_backoff,
     "op6_token_files": op6_token_files,
     "op7_sentence_dedup": op7_sentence_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
+    "op9_vantage": op9_vantage,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
+QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}
 
 ORACLES: dict[str, str] = {}

@@ -93,16 +93,23 @@ class Encoder:
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else [], strict=True):
             out[i] = ids
         skip = set(whole)
-        cut = [None if i in skip else self._pieces(t) for i, t in enumerate(texts)]
         known = self.known
+        cut = [None if i in skip else self._pieces(t) for i, t in enumerate(texts)]
         heads = list({p[0] for p in cut if p} - known.keys())
         known.update(zip(heads, self._whole(heads) if heads else [], strict=True))
-        new = list({x for p in cut if p for x in p} - known.keys())
-        new = self._learn(new)
+        waiting, new = [], set()
         for i, pieces in enumerate(cut):
-            if pieces is not None:
+            if pieces is None:
+                continue
+            try:
                 out[i] = b"".join([known[x] for x in pieces])
-        self._forget([*heads, *new])
+            except KeyError:
+                new.update([x for x in pieces if x not in known])
+                waiting.append(i)
+        learnt = self._learn(list(new))
+        for i in waiting:
+            out[i] = b"".join([known[x] for x in cut[i]])
+        self._forget(heads + learnt)
         return out
 
 
