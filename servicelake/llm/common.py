@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,21 +83,24 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return col.cast(kind).to_pylist()
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of Arrow batches holding about ``max_bytes`` of text at most (one row at least)."""
+def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Slices of Arrow batches that hold about ``max_bytes`` of text at most (one row at least)."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts = utf8(batch, column)
-        sizes = np.cumsum([len(t) if t else 0 for t in texts])
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         first = 0
-        while first < len(texts):
-            base = sizes[first - 1] if first else 0
+        while first < batch.num_rows:
+            base = int(sizes[first - 1]) if first else 0
             last = max(first + 1, int(np.searchsorted(sizes, base + max_bytes, side="right")))
-            yield batch.slice(first, last - first), texts[first:last]
+            yield batch.slice(first, last - first)
             first = last
 
 
+def chunks(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Such slices, each with its texts as bytes."""
+    for batch in slices(batches, column, max_bytes):
+        yield batch, utf8(batch, column)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values (wrapping arithmetic)."""
     x = x.astype(np.uint64, copy=True)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelake.llm.common import chunks, documents
+from servicelake.llm.common import documents, slices
 from servicelake.llm.tokens import DEFAULT_TOKENIZER, encoder
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, capacity long, cost double"
@@ -95,8 +95,6 @@ def pack(
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         next_id = TaskContext.get().partitionId() << 36
@@ -116,11 +114,14 @@ def pack(
             for at in range(0, out.num_rows, 4096):
                 yield out.slice(at, 4096)
 
-        for rows, texts in chunks(batches, "text", 1 << 22):
-            for doc_id, blob in zip(rows.column("doc_id").to_pylist(), encode([t.decode() for t in texts]), strict=True):
+        for rows in slices(batches, "text", 1 << 24):
+            flat, ends = encode(rows.column("text"), end_id)
+            blob, at = memoryview(flat).cast("B"), 0
+            for doc_id, end in zip(rows.column("doc_id").to_pylist(), (4 * ends).tolist(), strict=True):
                 ids.append(doc_id)
-                held.append(blob + end)
-                tokens += len(blob) // 4 + 1
+                held.append(bytes(blob[at:end]))
+                tokens += (end - at) // 4
+                at = end
                 if tokens >= block_tokens or len(held) >= block_docs:
                     yield from flush()
         if held:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from servicelake.llm.common import chunks, documents
+from servicelake.llm.common import documents, slices, text_key
 from servicelake.llm.tokens import DEFAULT_TOKENIZER, encoder
 
 SCHEMA = "part long, doc_id long, start_in_part long, n_tokens long, ids array<int>"
@@ -40,25 +40,21 @@ def write_tokens(
     """Write (part, doc_id, start_in_part, n_tokens, ids) in ascending doc_id order, ``part`` numbering the ranges.
 
     Null or empty text is a document of the end id alone; null ids come first;
-    rows with the same id stand in the order of their text; other columns are
+    rows with the same id stand in the order of their text's hash; other columns are
     ignored; an empty table gives files without rows.
     """
-    order = ["doc_id", "text"]
-    rows = documents(docs)
+    order = ["doc_id", "text_key"]
+    rows = documents(docs).withColumn("text_key", text_key())
     ranged = (rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)).sortWithinPartitions(*order)
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         part, start = TaskContext.get().partitionId(), 0
-        for rows, texts in chunks(batches, "text", 1 << 22):
-            blobs = [x + end for x in encode([t.decode() for t in texts])]
-            sizes = np.array([len(x) // 4 for x in blobs], np.int64)
-            ends = np.cumsum(sizes)
-            offsets = np.concatenate([[0], ends]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(blobs), "<i4")))
+        for rows in slices(batches, "text", 1 << 24):
+            ids, ends = encode(rows.column("text"), end_id)
+            sizes = np.diff(ends, prepend=0)
+            column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.view("<i4")))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(sizes), part, np.int64)), rows.column("doc_id"), pa.array(start + ends - sizes), pa.array(sizes), ids],
+                [pa.array(np.full(len(sizes), part, np.int64)), rows.column("doc_id"), pa.array(start + ends - sizes), pa.array(sizes), column],
                 names=["part", "doc_id", "start_in_part", "n_tokens", "ids"],
             )
             start += int(ends[-1])

@@ -1,19 +1,21 @@
 """Token ids by the ``tokenizers`` library, with a memory of whole space-delimited pieces.
 
 A byte-level BPE of this kind never lets a token span the boundary before a
-single space that stands between two other characters, so a text without a
-space next to other white space may be encoded piece by piece, and pieces
-that recur need encoding once.  Any other text goes to the library whole.
+single space that stands between two other characters.  So the texts of a batch
+are split at spaces, each distinct piece of the batch is encoded once (or
+remembered from before), and the ids are put together by position.  A text with
+a space next to other white space, or at its end, goes to the library whole.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-_BESIDE_SPACE = re.compile(r"\s\s")
+_WHITE = r"[\t-\r\x1c-\x1f \x{85}\p{Z}]"
+_BESIDE_SPACE = f" {_WHITE}|{_WHITE} | $"
 _MARKS = ".,"
 _LOADED: dict[str, "Encoder"] = {}
 
@@ -40,22 +42,22 @@ class Encoder:
         self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)  # one character of a vocabulary entry stands for one byte
         for token, k in vocab.items():
             self.n_bytes[k] = len(token)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by the piece without its leading space
         self.most = most
         self.full = 0
         self.mark = {m: self._whole([m])[0] for m in _MARKS}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.lib.encode_batch_fast(texts, add_special_tokens=False)
+        found = self.lib.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces that begin with a space: end to end in a few texts, cut apart by their bytes."""
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each behind a space: end to end in texts of some thousand, cut apart by their bytes."""
         out: list[bytes] = []
-        for at in range(0, len(pieces), 2000):
-            part = pieces[at : at + 2000]
-            sizes = np.fromiter((len(p.encode()) for p in part), np.int64, len(part))
-            ids = np.asarray(self.lib.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            sizes = np.fromiter((len(w.encode()) for w in part), np.int64, len(part)) + 1
+            ids = np.asarray(self.lib.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = (4 * np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(sizes)) + 4).tolist()
             blob = ids.tobytes()
             out += [blob[x:y] for x, y in zip([0, *cuts[:-1]], cuts, strict=True)]
@@ -64,53 +66,61 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> list[str]:
         """Remember new pieces; a mark after a letter is a token run of its own, so the word before it is shared."""
         known = self.known
-        marked = [p for p in pieces if p[-1] in _MARKS and p[-2].isalpha()]
+        marked = [p for p in pieces if p[-1] in _MARKS and p[-2:-1].isalpha()]
         words = list({p[:-1] for p in marked}.union(pieces).difference(marked) - known.keys())
         known.update(zip(words, self._joined(words), strict=True))
-        for p in marked:
-            known[p] = known[p[:-1]] + self.mark[p[-1]]
+        known.update([(p, known[p[:-1]] + self.mark[p[-1]]) for p in marked])
         return words + marked
 
-    def _pieces(self, text: str) -> list[str]:
-        """Pieces that begin with their space; a first one that has none is encoded alone."""
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
-
     def _forget(self, new: list[str]) -> None:
         """Hold the memory's size: once full it keeps what it has, and begins anew now and then."""
         if len(self.known) > self.most:
             self.full += 1
             if self.full % 50:
-                for x in new:
-                    del self.known[x]
+                for piece in new:
+                    self.known.pop(piece, None)
             else:
                 self.known.clear()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if _BESIDE_SPACE.search(t) or any(s in t for s in self.special)]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else [], strict=True):
-            out[i] = ids
-        skip = set(whole)
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (no nulls) end to end, and where each text's end; ``end`` is put behind each text."""
+        whole = pc.match_substring_regex(texts, _BESIDE_SPACE)
+        for s in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, s))
+        apart = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        # a null is no piece: it stands for the first one of each text, and for the end
+        pieces = cut.values.dictionary_encode()
+        index = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct = pieces.dictionary.to_pylist()
         known = self.known
-        cut = [None if i in skip else self._pieces(t) for i, t in enumerate(texts)]
-        heads = list({p[0] for p in cut if p} - known.keys())
-        known.update(zip(heads, self._whole(heads) if heads else [], strict=True))
-        waiting, new = [], set()
-        for i, pieces in enumerate(cut):
-            if pieces is None:
-                continue
-            try:
-                out[i] = b"".join([known[x] for x in pieces])
-            except KeyError:
-                new.update([x for x in pieces if x not in known])
-                waiting.append(i)
-        learnt = self._learn(list(new))
-        for i in waiting:
-            out[i] = b"".join([known[x] for x in cut[i]])
-        self._forget(heads + learnt)
-        return out
+        held = [known.get(p) for p in distinct]
+        missing = [k for k, ids in enumerate(held) if ids is None and distinct[k]]
+        learnt = self._learn([distinct[k] for k in missing])
+        for k in missing:
+            held[k] = known[distinct[k]]
+        held = [b"" if ids is None else ids for ids in held]
+        firsts = [distinct[k] for k in index[offsets[:-1]]]
+        heads = dict.fromkeys(firsts)
+        heads.update(zip(heads, self._whole(list(heads)), strict=True))
+        head_ids = [heads[p] for p in firsts]
+        for k, ids in zip(apart.tolist(), self._whole([texts[k].as_py() for k in apart.tolist()]), strict=True):
+            head_ids[k] = ids
+        index[offsets[:-1]] = len(held) + np.arange(len(firsts))
+        held += head_ids
+        if end is not None:
+            index = np.insert(index, offsets[1:], len(held))
+            offsets = offsets + np.arange(len(offsets))
+            held.append(np.array([end], "<u4").tobytes())
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        flat = np.frombuffer(b"".join(held), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        many = sizes[index]
+        ends = np.cumsum(many)
+        at = np.repeat(starts[index] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)
+        self._forget(learnt)
+        return flat[at], np.concatenate([[0], ends])[offsets[1:]]
 
 
 def encoder(name: str) -> Encoder:

@@ -15,6 +15,7 @@ distinct word once, and a text's answers are sums of looked-up rows.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -57,19 +58,21 @@ class Vocabulary(dict):
     def __init__(self, buckets: int):
         super().__init__()
         self.buckets = buckets
-        self.features: list[tuple[int, ...]] = []
+        self.features = array("i")
 
     def __missing__(self, word: bytes) -> int:
         b = self.buckets
-        self.features.append((zlib.crc32(word) % b, *(zlib.crc32(word[:n], n) % b for n in PREFIXES)))
-        self[word] = k = len(self)
-        return k - 1
+        self.features.extend((zlib.crc32(word) % b, *(zlib.crc32(word[:n], n) % b for n in PREFIXES)))
+        k = self[word] = len(self)
+        return k
 
-    def __setitem__(self, word: bytes, k: int) -> None:
-        super().__setitem__(word, k)
+    def rows(self, first: int = 0) -> np.ndarray:
+        """The hashed features of the words from the ``first`` on."""
+        n = 1 + len(PREFIXES)
+        return np.frombuffer(self.features, np.int32, offset=4 * n * first).reshape(-1, n).copy() if len(self) > first else np.empty((0, n), np.int32)
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -198,12 +201,11 @@ class Scorer:
         self.done = 0
 
     def _answers(self) -> None:
-        n = len(self.words.features)
+        n = len(self.words)
         if n > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros((max(n - len(self.rows), len(self.rows)), self.rows.shape[1]), np.float32)])
         if n > self.done:
-            new = np.array(self.words.features[self.done : n], np.int64)
-            self.rows[self.done : n] = self.model.embedding[new].sum(1) @ self.stack
+            self.rows[self.done : n] = self.model.embedding[self.words.rows(self.done)].sum(1) @ self.stack
             self.done = n
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
@@ -271,7 +273,7 @@ def best_threshold(scores: np.ndarray, y: np.ndarray, otherwise: float) -> float
 
 def train(
     labelled: DataFrame,
-    max_train: int = 12_000,
+    max_train: int = 8_000,
     buckets: int = 1 << 15,
     dim: int = 12,
     n_filters: int = 8,
@@ -291,9 +293,13 @@ def train(
     answers with the labels' share.
     """
     rows = labelled.where("label is not null and text is not null").select("text", "lang", F.col("label").cast("int").alias("label"))
-    sample = rows.withColumn("h", F.xxhash64("text")).orderBy("h", "label", "lang").limit(max_train).collect()
-    texts, labels = [r["text"].encode() for r in sample], np.array([r["label"] for r in sample], np.float64)
-    langs = [r["lang"] for r in sample]
+    sample = rows.withColumn("h", F.xxhash64("text")).orderBy("h", "label", "lang").limit(max_train)
+    texts, labels, langs = [], [], []
+    for r in sample.toLocalIterator():
+        texts.append(r["text"].encode())
+        labels.append(float(r["label"]))
+        langs.append(r["lang"])
+    labels = np.array(labels, np.float64)
     empty = Model(buckets, np.zeros((buckets, dim), np.float32), {w: np.zeros((w, dim, n_filters), np.float32) for w in widths}, np.zeros(n_filters * len(widths), np.float32), np.zeros(n_filters * len(widths), np.float32), 0.0)
     if not len(labels) or labels.min() == labels.max():
         share = (labels.sum() + 0.5) / (len(labels) + 1.0)
@@ -306,7 +312,8 @@ def train(
         own = vocabulary.of(words_of(t))
         first = int(rng.integers(0, len(own) - max_words + 1)) if len(own) > max_words else 0
         ids.append(own[first : first + max_words])
-    features = np.array(vocabulary.features, np.int64).reshape(-1, 1 + len(PREFIXES))
+    features = vocabulary.rows()
+    del vocabulary
     held = np.arange(len(ids)) % 5 == 4
     fit = np.flatnonzero(~held)
     epochs = max(epochs, -(-min_steps * BATCH // len(fit)))
