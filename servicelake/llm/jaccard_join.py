@@ -12,12 +12,14 @@ buckets grow with the set's size class, so signatures stay in proportion to
 the prefix.  Which class a token is put in (a bitmap of fixed size, by counts
 of a first pass) cannot change the result, only the work.
 
-Equal sets are one node from the start.  Signatures that several nodes share
-give pairs with one node of the signature at a time, the one that shares most;
-pairs are held against a bound from parity bitmaps and then verified on whole
-sets.  What is linked needs no further pairs: rounds go on only for signatures
-whose nodes still lie in several components, and the last one takes all
-remaining pairs of those, in blocks, so no link between two components is lost.
+Equal sets are one node from the start.  First each signature that several
+nodes share pairs one of them, its centre (the node that shares most), with the
+others; pairs are held against a bound from parity bitmaps and then verified on
+whole sets.  What is linked needs no further pairs.  The nodes of signatures
+that still span several components are then compared with each other, in blocks
+of the nodes that have one centre: each block works through its pairs, by the
+bitmaps and then on whole sets, and gives a spanning set of the links it finds.
+So no link between two components is lost, and no group's pairs are written out.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -45,8 +48,7 @@ class Rule:
     num: int = 90
     den: int = 100
     frequent_from: int = 16
-    star_rounds: int = 2
-    block: int = 128
+    block: int = 256
 
     def needed(self, n: int) -> int:
         """ceil(t n): the fewest of a set's n tokens that a linked set holds."""
@@ -191,13 +193,17 @@ def _within_bound(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that link, on whole sets; texts are read again only of the nodes in pairs."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _sets_of(nodes: DataFrame, members: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """(node, tokens) of some nodes, written; texts are read again, but worked on only where a node's copy stands."""
     texts = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(texts, "text_key"))
-    sets = _whole_sets(docs, rule, wanted).join(nodes, "node", "left_semi")
-    sets = written(sets, "sets")
+    return written(_whole_sets(docs, rule, wanted).join(nodes, "node", "left_semi"), "sets")
+
+
+def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs that link, on whole sets."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets_of(nodes, members, docs, rule)
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b"))
 
@@ -206,65 +212,130 @@ def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Rule)
             keep = []
             for p, q in zip(batch.column("tokens_a").to_pylist(), batch.column("tokens_b").to_pylist(), strict=True):
                 x, y = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                keep.append(bool(rule.links(int((both[1:] == both[:-1]).sum()), len(x), len(y))))
+                keep.append(bool(rule.links(_shared(x, y), len(x), len(y))))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
-def _open(postings: DataFrame, found: DataFrame) -> DataFrame:
-    """Postings with their ``component``, of the signatures whose nodes lie in several."""
-    known = postings.join(found.withColumnRenamed("component", "known"), "node", "left").withColumn("component", F.coalesce("known", "node")).drop("known")
-    several = known.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")).where("least <> most")
-    return known.join(several.select("signature", "size"), "signature")
+def _star_pairs(postings: DataFrame, rule: Rule) -> DataFrame:
+    """Distinct pairs (a, b) of each signature's centre with its other nodes of fitting sizes."""
+    pairs = postings.where("node <> centre.node")
+    fit = F.least("n", "centre.n") * rule.den >= F.greatest("n", "centre.n") * rule.num
+    return pairs.where(fit).select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
 
 
-def _star_pairs(postings: DataFrame, rule: Rule, done: int) -> DataFrame:
-    """Distinct pairs (a, b) of each signature's centre with its nodes of other components and fitting sizes.
-
-    The centre is the node with most shared signatures; in later rounds one
-    picked by a hash that the round changes.
-    """
-    if done:
-        rank = F.xxhash64(F.lit(done), "node")
+def _open_groups(postings: DataFrame, found: DataFrame | None) -> DataFrame:
+    """(centre, node, n, component): the nodes of signatures of three nodes or more that span several components, by centre."""
+    if found is None:
+        known = postings.withColumn("component", F.col("node"))
     else:
-        rank = F.col("weight")
-    centre = postings.groupBy("signature").agg(F.max(F.struct(rank.alias("rank"), "node", "n", "component")).alias("c"))
-    pairs = postings.join(centre, "signature").where((F.col("node") != F.col("c.node")) & (F.col("component") != F.col("c.component")))
-    fit = F.least("n", "c.n") * rule.den >= F.greatest("n", "c.n") * rule.num
-    return pairs.where(fit).select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+        known = postings.join(found.withColumnRenamed("component", "known"), "node", "left").withColumn("component", F.coalesce("known", "node"))
+    several = known.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")).where("least <> most and size > 2")
+    return known.join(several, "signature").select(F.col("centre.node").alias("centre"), "node", "n", "component").distinct()
 
 
-def _block_pairs(postings: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """All pairs of open postings between components, within the size and parity bounds.
+def _dealt(groups: DataFrame, rule: Rule) -> DataFrame:
+    """Rows (centre, low, high, unit, node, n, component) of every pair of units of a group that can hold an open pair.
 
-    A signature's nodes are dealt into units of about ``block``, those of its
-    largest component apart from the others, and each pair of units that can
-    hold a pair is a group of its own, so no group grows with the signature.
+    A group's nodes are dealt into units of about ``block``, those of its
+    largest component apart from the others, so no pair of units grows with the group.
     """
-    sizes = postings.groupBy("signature", "component", "size").agg(F.count(F.lit(1)).alias("k"))
-    top = sizes.groupBy("signature").agg(F.max(F.struct("k", "component")).alias("t"))
-    rows = postings.join(top, "signature").join(nodes.select("node", "bits"), "node")
+    sizes = groups.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("k"))
+    top = sizes.groupBy("centre").agg(F.max(F.struct("k", "component")).alias("t"), F.sum("k").alias("size"))
     units = lambda k: F.greatest(F.ceil(k / rule.block), F.lit(1)).cast("int")
-    rows = rows.withColumns({"n_top": units(F.col("t.k")), "n_rest": units(F.col("size") - F.col("t.k")), "in_top": F.col("component") == F.col("t.component")})
+    rows = groups.join(top, "centre").withColumns({"n_top": units(F.col("t.k")), "n_rest": units(F.col("size") - F.col("t.k")), "in_top": F.col("component") == F.col("t.component")})
     spread = F.xxhash64("node")
     rows = rows.withColumn("unit", F.when(F.col("in_top"), F.pmod(spread, F.col("n_top"))).otherwise(F.col("n_top") + F.pmod(spread, F.col("n_rest"))).cast("int"))
     others = F.when(F.col("in_top"), F.sequence("n_top", F.col("n_top") + F.col("n_rest") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_top") + F.col("n_rest") - 1))
-    dealt = rows.select("signature", "node", "n", "component", "bits", "unit", F.explode(others).alias("other"))
-    dealt = dealt.withColumns({"low": F.least("unit", "other"), "high": F.greatest("unit", "other")}).drop("other")
+    dealt = rows.where("size > t.k").select("centre", "node", "n", "component", "unit", F.explode(others).alias("other"))
+    return dealt.withColumns({"low": F.least("unit", "other"), "high": F.greatest("unit", "other")}).drop("other")
+
+
+def close_pairs(n: np.ndarray, component: np.ndarray, unit: np.ndarray, bits: list[bytes], rule: Rule) -> np.ndarray:
+    """Index pairs (i, k, least distance) of two units (or one) in different components that sizes and bitmaps let link."""
+    low, high = unit.min(), unit.max()
+    found = [np.empty((0, 3), np.int64)]
+    length = np.array([len(b) for b in bits])
+    for size in np.unique(length):
+        # bitmaps at least this long, folded to its length; each pair is met where the shorter of its two stands
+        own = np.flatnonzero(length >= size)
+        folded = np.zeros((len(own), size), np.uint8)
+        for row, k in enumerate(own.tolist()):
+            b = np.frombuffer(bits[k], np.uint8)
+            folded[row] = np.bitwise_xor.reduce(b.reshape(-1, size), 0)
+        for row, i in enumerate(own.tolist()):
+            if length[i] != size:
+                continue
+            fit = (component[own] != component[i]) & (np.minimum(n[own], n[i]) * rule.den >= np.maximum(n[own], n[i]) * rule.num)
+            if low != high:
+                fit &= unit[own] != unit[i]
+            fit &= (length[own] > size) | (own > i)
+            rows = np.flatnonzero(fit)
+            if len(rows):
+                differ = np.bitwise_count(folded[rows] ^ folded[row]).sum(1).astype(np.int64)
+                both = n[own[rows]] + n[i]
+                keep = differ <= both - 2 * (-(-rule.num * both // (rule.num + rule.den)))
+                if keep.any():
+                    found.append(np.stack([np.full(keep.sum(), i), own[rows[keep]], differ[keep]], 1))
+    return np.concatenate(found)
+
+
+def spanning_links(component: np.ndarray, pairs: np.ndarray, sets: list[np.ndarray], rule: Rule) -> list[tuple[int, int]]:
+    """Links among the pairs that join what is not joined yet, nearest pairs first."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    links = []
+    for i, k, _ in pairs[np.argsort(pairs[:, 2], kind="stable")].tolist():
+        a, b = top(int(component[i])), top(int(component[k]))
+        if a != b and rule.links(_shared(sets[i], sets[k]), len(sets[i]), len(sets[k])):
+            parent[a] = b
+            links.append((i, k))
+    return links
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _remaining_links(groups: DataFrame, nodes: DataFrame, members: DataFrame, docs: DataFrame, rule: Rule, bucket_rows: int = 40_000) -> DataFrame:
+    """Links (a, b) between components among the nodes of each group, enough to join all that links join."""
+    dealt = written(_dealt(groups, rule).join(nodes.select("node", "bits"), "node"), "dealt")
+    buckets = max(1, -(-dealt.count() // bucket_rows))
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("centre", "low", "high"), F.lit(buckets)))
+    key = ["centre", "low", "high"]
+
+    def near(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, own in frame.groupby(key, sort=False):
+            columns = [own[c].to_numpy() for c in ("n", "component", "unit")]
+            pairs = close_pairs(*columns, own["bits"].tolist(), rule)
+            if len(pairs):
+                out.append(own.iloc[np.unique(pairs[:, :2])])
+        return pd.concat(out) if out else frame.iloc[:0]
 
-    def run(key, frame):
-        import pandas as pd
+    schema = "node long, centre long, n long, component long, unit int, low int, high int, bits binary"
+    near_rows = written(dealt.groupBy("bucket").applyInPandas(lambda frame: near(frame)[schema_names(schema)], schema), "near")
+    sets = _sets_of(near_rows.select("node").distinct(), members, docs, rule)
+
+    def verify(frame: pd.DataFrame) -> pd.DataFrame:
+        n, component, unit, node = (frame[c].to_numpy() for c in ("n", "component", "unit", "node"))
+        pairs = close_pairs(n, component, unit, frame["bits"].tolist(), rule)
+        links = spanning_links(component, pairs, [np.frombuffer(t, np.uint64) for t in frame["tokens"]], rule)
+        return pd.DataFrame([(node[i], node[k]) for i, k in links], columns=["a", "b"], dtype="int64")
+
+    return near_rows.join(sets, "node").groupBy(*key).applyInPandas(verify, "a long, b long")
 
-        node, n, comp, unit, bits = (frame[c].to_numpy() for c in ("node", "n", "component", "unit", "bits"))
-        out = []
-        for i in np.flatnonzero(unit == key[1]).tolist():
-            fit = (comp != comp[i]) & (unit == key[2]) & (np.minimum(n, n[i]) * rule.den >= np.maximum(n, n[i]) * rule.num)
-            out += [(min(node[i], node[k]), max(node[i], node[k])) for k in np.flatnonzero(fit).tolist() if apart(bits[i], bits[k]) <= rule.most_apart(int(n[i]), int(n[k]))]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("signature", "low", "high").applyInPandas(run, "a long, b long").distinct()
+def schema_names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def link_sets(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
@@ -279,31 +350,24 @@ def link_sets(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
     shared = postings.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("signature")
     postings = written(postings.join(shared, "signature").distinct(), "postings")
     weights = postings.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
-    postings = written(postings.join(weights, "node"), "postings")
-    members = members.drop("tokens")
-
-    found = links = tested = None
-    for done in range(rule.star_rounds + 1):
-        if found is None:
-            left = postings.withColumns({"component": F.col("node"), "size": F.lit(2)})
-        else:
-            left = written(_open(postings, found), "open")
-            if left.isEmpty():
-                break
-        pairs = _star_pairs(left, rule, done) if done < rule.star_rounds else _block_pairs(left, nodes, rule)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        close = pairs if done == rule.star_rounds else _within_bound(pairs, nodes, rule)
-        close = written(close, "close")
-        if not close.isEmpty():
-            new = written(_verified(close, members, rows, rule), "links")
-            links = new if links is None else links.unionByName(new)
+    weighted = postings.join(weights, "node")
+    centres = weighted.groupBy("signature").agg(F.max(F.struct("weight", "node", "n")).alias("centre"))
+    postings = written(weighted.drop("weight").join(centres, "signature"), "centred")
+
+    links = found = None
+    close = written(_within_bound(_star_pairs(postings, rule), nodes, rule), "close")
+    if not close.isEmpty():
+        links = written(_verified(close, members, rows, rule), "links")
+        found = written(components(links), "components")
+    groups = written(_open_groups(postings, found), "groups")
+    if not groups.isEmpty():
+        more = written(_remaining_links(groups, nodes, members, rows, rule), "links")
+        if not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
             found = written(components(links), "components")
-        elif found is None:
-            found = rows.sparkSession.createDataFrame([], "node long, component long")
-    return members, found
+    if found is None:
+        found = rows.sparkSession.createDataFrame([], "node long, component long")
+    return members.drop("tokens"), found
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:

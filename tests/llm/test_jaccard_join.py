@@ -34,7 +34,7 @@ def brute(rows, num, den):
     return sorted(((r[0], len(s), least.get(find(i)) if s else r[0]) for i, (r, s) in enumerate(zip(rows, sets))), key=str)
 
 
-@pytest.mark.parametrize("rule", [op.Rule(), op.Rule(frequent_from=1, star_rounds=0, block=4), op.Rule(num=60, frequent_from=2, star_rounds=1, block=3)])
+@pytest.mark.parametrize("rule", [op.Rule(), op.Rule(frequent_from=1, block=4), op.Rule(num=60, frequent_from=2, block=3)])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_matches_all_pairs(spark, rule, seed):
     rows = corpus(seed)
@@ -52,7 +52,7 @@ def test_near_copies_without_their_original(spark):
         for at in rng.choice(len(words), rng.integers(1, 4), replace=False):
             words[at] = f"x{k}{at}"
         rows.append((k, " ".join(words), "en", "s", 0))
-    for rule in (op.Rule(frequent_from=4, star_rounds=1, block=8), op.Rule(num=93, frequent_from=2, star_rounds=0, block=16)):
+    for rule in (op.Rule(frequent_from=4, block=8), op.Rule(num=93, frequent_from=2, block=16)):
         found = op.near_duplicates(frame(spark, rows), rule)
         assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, rule.num, rule.den)
 
