@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelake.llm.blocks import Block, gathered, make_blocks, pack, partition_of, read_block, text_bytes, unpack
+from servicelake.llm.blocks import Block, decode_keys, encode_keys, gathered, make_blocks, pack, partition_of, read_block, text_bytes, unpack
 from servicelake.llm.common import WordHashes, ngram_hashes
 
 SCHEMA = "doc_id long, n_words long, score double, mean_score double, n_unseen long, hits array<long>"
 #: Bytes of text for each hash partition: some four million n-grams.
 PART_BYTES = 16 << 20
+#: Bytes that tell n-grams of a partition apart.
+KEY_BYTES = 6
 
 
 def _words(block: Block, known: WordHashes) -> list[np.ndarray]:
@@ -42,18 +44,6 @@ def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(grams), return_counts=True)
 
 
-def _codes(hashes: np.ndarray) -> bytes:
-    """The lower 48 bits of each hash; with the partition they tell n-grams apart."""
-    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _uncoded(blob: bytes) -> np.ndarray:
-    six = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-    out = np.zeros((len(six), 8), np.uint8)
-    out[:, :6] = six
-    return out.view("<u8").ravel()
-
-
 def score_documents(docs: DataFrame, order: int = 3, alpha: float = 0.4, block_bytes: int = 8 << 20) -> DataFrame:
     """One row for each document: ``score`` (the sum of log scores), ``mean_score`` for each word, ``n_unseen`` words
     seen nowhere else, and ``hits``: the words whose longest n-gram seen elsewhere has 1, 2, ... words.
@@ -74,13 +64,13 @@ def score_documents(docs: DataFrame, order: int = 3, alpha: float = 0.4, block_b
                 words = _words(block, known)
                 keys, counts = _distinct(_grams(words, order))
                 cuts = np.searchsorted(partition_of(keys, parts), np.arange(parts + 1))
-                out = [(p, block.block, _codes(keys[a:b]), pack(counts[a:b].astype("<u4").tobytes()), sum(map(len, words)) if not p else 0) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+                out = [(p, block.block, encode_keys(keys[a:b], p, parts, KEY_BYTES), pack(counts[a:b].astype("<u4").tobytes()), sum(map(len, words)) if not p else 0) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
                 if out:
                     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["part", "block", "codes", "counts", "words"])
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        codes = [_uncoded(x) for x in frame["codes"]]
+        codes = [decode_keys(x, KEY_BYTES) for x in frame["codes"]]
         counts = np.concatenate([np.frombuffer(unpack(x), "<u4") for x in frame["counts"]]).astype(np.int64)
         flat = np.concatenate(codes)
         order_ = np.argsort(flat, kind="stable")

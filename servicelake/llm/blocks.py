@@ -95,3 +95,21 @@ def gathered(replies: DataFrame) -> DataFrame:
 def partition_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """The hash partition of mixed 64-bit values: by their upper 32 bits, so it ascends with them."""
     return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def encode_keys(hashes: np.ndarray, part: int, parts: int, size: int) -> bytes:
+    """Ascending mixed hashes of one partition by their ``size`` upper bytes beyond what the partition tells.
+
+    Steps from one to the next are small, so their upper bytes, stored together, take little.
+    """
+    base = np.uint64(-(-(part << 32) // parts) << 32)
+    down = np.uint64(max(0, 64 - 8 * size - (parts.bit_length() - 1)))
+    steps = np.diff((hashes - base) >> down, prepend=np.uint64(0)).astype("<u8")
+    return pack(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes())
+
+
+def decode_keys(blob: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(unpack(blob), np.uint8).reshape(size, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :size] = planes.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)

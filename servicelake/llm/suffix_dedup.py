@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelake.llm.blocks import Block, gathered, make_blocks, pack, partition_of, read_block, text_bytes, unpack
+from servicelake.llm.blocks import Block, decode_keys, encode_keys, gathered, make_blocks, pack, partition_of, read_block, text_bytes, unpack
 from servicelake.llm.common import mix64
 from servicelake.llm.suffix_sort import permuted_lcp, suffix_array
 
 SCHEMA = "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary"
 #: Bytes of text for each hash partition of minimizers (some two million), and for each shard of regions.
 PART_BYTES = 32 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 _PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * _BASE)
@@ -114,14 +114,26 @@ def regions_of(block: Block, rule: Rule) -> Regions:
     return Regions(*(np.concatenate(c) for c in zip(*found, strict=True)))
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """Powers of an odd number from 0 to n - 1; kept, for every block needs the same."""
+    held = _POWERS.get(int(base))
+    if held is None or len(held) < n:
+        with np.errstate(over="ignore"):
+            held = _POWERS[int(base)] = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, base)]), dtype=np.uint64)
+    return held[:n]
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
 class Stretches:
     """Hashes of stretches of a byte array by sums of powers; equal stretches have equal hashes."""
 
     def __init__(self, data: np.ndarray):
+        self.back = _powers(_INVERSE, len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
         with np.errstate(over="ignore"):
-            powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), _BASE)]), dtype=np.uint64)
-            self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), _INVERSE)]), dtype=np.uint64)
-            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(_VALUES[data] * powers[:-1], dtype=np.uint64)])
+            np.cumsum(_VALUES[data] * _powers(_BASE, len(data) + 1)[:-1], dtype=np.uint64, out=self.sums[1:])
 
     def of(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -230,7 +242,7 @@ def judge(strings: list[bytes], routes: np.ndarray, docs: np.ndarray, length: in
     return whole, [verdict[k] for k in own.tolist()]
 
 
-def remove_repeats(docs: DataFrame, rule: Rule = Rule(), block_bytes: int = 8 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, rule: Rule = Rule(), block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_bytes, removed, kept): each text's UTF-8 bytes without those that lie in a string of ``length`` bytes
     that also starts in a document with a smaller id; ``removed`` are the maximal stretches.
 
@@ -252,15 +264,15 @@ def remove_repeats(docs: DataFrame, rule: Rule = Rule(), block_bytes: int = 8 <<
                 cuts = np.searchsorted(partition_of(keys, parts), np.arange(parts + 1))
                 out = []
                 for p, a, b in zip(range(parts), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                    if b > a:  # codes: the lower 32 bits; the few keys of many regions with their number
+                    if b > a:  # the few keys of many regions go with their number
                         many = np.flatnonzero(counts[a:b] > 8)
-                        out.append((p, block.block, keys[a:b].astype("<u4").tobytes(), many.astype("<u4").tobytes(), counts[a:b][many].astype("<u4").tobytes()))
+                        out.append((p, block.block, encode_keys(keys[a:b], p, parts, 4), many.astype("<u4").tobytes(), counts[a:b][many].astype("<u4").tobytes()))
                 if out:
                     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["part", "block", "codes", "many", "counts"])
 
     def answer_keys(frame: pd.DataFrame) -> pd.DataFrame:
-        codes = [np.frombuffer(x, "<u4") for x in frame["codes"]]
+        codes = [decode_keys(x, 4).astype(np.uint32) for x in frame["codes"]]
         flat = np.concatenate(codes)
         ends = np.cumsum([len(c) for c in codes])
         weight = np.ones(len(flat), np.int64)

@@ -33,13 +33,14 @@ RESULT = "query_id long, vec_id long, score double"
 class Tree:
     """A vantage-point tree over distinct vectors; equal ones share a point and keep their ids, ascending."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, radius: float, leaf: int = 64, seed: int = 5):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, radius: float, leaf: int = 512, seed: int = 5):
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], vectors[order]
         self.points, inverse = np.unique(vectors, axis=0, return_inverse=True)
         inverse = inverse.ravel()
         by_point = np.argsort(inverse, kind="stable")
-        self.ids = np.split(ids[by_point], np.cumsum(np.bincount(inverse))[:-1])
+        self.repeat = np.bincount(inverse)
+        self.ids = np.split(ids[by_point], np.cumsum(self.repeat)[:-1])
         extra = np.sqrt(np.maximum(radius**2 - (self.points**2).sum(1), 0.0))
         self.lifted = np.concatenate([self.points, extra[:, None]], 1)
         self.radius, self.leaf = radius, leaf
@@ -61,8 +62,8 @@ class Tree:
         near, far = order[:half], order[half:]
         return v, (d[near].min(), d[near].max()), (d[far].min(), d[far].max()), self._build(rest[near]), self._build(rest[far])
 
-    def search(self, queries: np.ndarray, k: int, factor: float) -> list[np.ndarray]:
-        """For each query the points that hold its k best ids or tie with them, by an estimate of the scores.
+    def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, point), by query: the points that hold its k best ids or tie with them, by an estimate of the scores.
 
         Queries go down the tree together; at each node those are left whose
         bounds let the node hold one of their k best.
@@ -73,17 +74,14 @@ class Tree:
         slack = 1e-9 * (1.0 + base)
         # squared distance of the k-th best so far: of ids, so a point counts as often as it has ids
         best = np.full((n, k), np.inf)
-        seen: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(n)]
+        seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def visit(own: np.ndarray, who: np.ndarray) -> np.ndarray:
             square = np.maximum(base[who, None] - 2.0 * (queries[who] @ self.points[own].T), 0.0)
-            repeat = np.minimum([len(self.ids[p]) for p in own], k)
-            many = np.repeat(square, repeat, axis=1)
+            many = square if len(own) == self.repeat[own].sum() else np.repeat(square, np.minimum(self.repeat[own], k), axis=1)
             best[who] = np.partition(np.concatenate([best[who], many], 1), k - 1, axis=1)[:, :k]
-            for row, q in enumerate(who.tolist()):
-                kept = square[row] <= best[q, k - 1] + slack[q]
-                if kept.any():
-                    seen[q].append((own[kept], square[row][kept]))
+            row, column = np.nonzero(square <= (best[who, k - 1] + slack[who])[:, None])
+            seen.append((who[row], own[column], square[row, column]))
             return square
 
         stack = [(self.root, np.arange(n), np.zeros(n))]
@@ -108,22 +106,36 @@ class Tree:
                 if mask.any():
                     stack.append((second[0], who[mask], second[1][mask]))
                     stack.append((first[0], who[mask], first[1][mask]))
-        out = []
-        for q in range(n):
-            own = np.concatenate([p for p, _ in seen[q]]) if seen[q] else np.empty(0, np.int64)
-            square = np.concatenate([s for _, s in seen[q]]) if seen[q] else np.empty(0)
-            out.append(own[square <= best[q, k - 1] + slack[q]])
-        return out
+        who, own, square = (np.concatenate(c) for c in zip(*seen, strict=True))
+        kept = square <= best[who, k - 1] + slack[who]
+        order = np.argsort(who[kept], kind="stable")
+        return who[kept][order], own[kept][order]
 
 
-def inner_product(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Inner products summed component by component, in order: one rounding for one pair of vectors, wherever computed."""
+def inner_products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products row by row, summed component by component, in order: one rounding for one pair of vectors, wherever computed."""
     out = np.zeros(len(x))
     for j in range(x.shape[1]):
-        out = out + x[:, j] * q[j]
+        out = out + x[:, j] * q[:, j]
     return out
 
 
+def _best(tree: Tree, own: np.ndarray, scores: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the ``k`` best points, best first, ties to the smaller id, but for the query's own."""
+    many = tree.repeat[own]
+    if len(own) and (many > 1).any():
+        # as far as the score that holds the k-th id beside the query's own; of one point the least ids
+        last = scores[min(np.searchsorted(np.cumsum(many), k + 1), len(own) - 1)]
+        own, scores = own[scores >= last], scores[scores >= last]
+        held = [tree.ids[p][: k + 1] for p in own.tolist()]
+        ids, scores = np.concatenate(held), np.repeat(scores, [len(h) for h in held])
+    else:
+        ids = np.array([tree.ids[p][0] for p in own.tolist()], np.int64)
+    order = np.lexsort((ids, -scores))
+    order = order[ids[order] != query_id][:k]
+    return ids[order], scores[order]
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding as doubles) without vectors that are null, empty, zero, or hold null or non-finite components; rows without an id are left out."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -148,7 +160,7 @@ def nearest(
     factor: float = 1.0,
     shard_rows: int = 8192,
     block_rows: int = 2048,
-    leaf: int = 64,
+    leaf: int = 512,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's ``k`` nearest vectors by inner product, nearest first.
 
@@ -184,26 +196,17 @@ def nearest(
                 asked_ids, asked_points = np.frombuffer(row["query_ids"], "<i8"), np.frombuffer(row["query_vectors"], "<f8").reshape(-1, dim)
                 tree = Tree(ids, points, float(radius), leaf)
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for at in range(0, len(asked_ids), 256):
+                for at in range(0, len(asked_ids), 512):
                     # one more than k, for the query's own row may be among them
-                    found = tree.search(asked_points[at : at + 256], k + 1, factor)
-                    for q, own in zip(range(at, min(at + 256, len(asked_ids))), found, strict=True):
-                        score = inner_product(tree.points[own], asked_points[q])
-                        order = np.argsort(-score, kind="stable")
-                        held, scores = [], []
-                        taken, last = 0, None
-                        for p in order.tolist():
-                            if taken > k and score[p] != last:
-                                break
-                            many = tree.ids[own[p]]
-                            held.append(many[: k + 1])
-                            scores.append(np.full(len(held[-1]), score[p]))
-                            taken, last = taken + len(held[-1]), score[p]
-                        if held:
-                            some, values = np.concatenate(held), np.concatenate(scores)
-                            best = np.lexsort((some, -values))
-                            best = best[some[best] != asked_ids[q]][:k]
-                            out.append((np.full(len(best), asked_ids[q]), some[best], values[best]))
+                    some = asked_points[at : at + 512]
+                    who, own = tree.search(some, k + 1, factor)
+                    scores = inner_products(tree.points[own], some[who])
+                    order = np.lexsort((-scores, who))
+                    who, own, scores = who[order], own[order], scores[order]
+                    cuts = np.searchsorted(who, np.arange(len(some) + 1)).tolist()
+                    for q, a, b in zip(range(len(some)), cuts[:-1], cuts[1:], strict=True):
+                        best, values = _best(tree, own[a:b], scores[a:b], int(asked_ids[at + q]), k)
+                        out.append((np.full(len(best), asked_ids[at + q]), best, values))
                 if out:
                     columns = [np.concatenate(c) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
