@@ -382,3 +382,21 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     least = known.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     linked = known.where("n > 0").join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
     return linked.unionByName(known.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs``, all columns, of one document of each group: the smallest id (null after all), then text hash.
+
+    Rows without words are no group's and stay; of rows with equal id and text one stays.
+    """
+    own = docs.columns
+    members, found = link_sets(docs, rule)
+    known = members.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_key").alias("key"))
+    first = known.where("n > 0").groupBy("group").agg(F.min(rank).alias("first")).select("first.*")
+    kept = first.unionByName(known.where("n = 0").select(rank.alias("first")).select("first.*").distinct())
+    keys = ["no_id", "id", "key"]
+    names = [f"__{k}" for k in keys]
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.withColumns(dict(zip(names, [doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), text_key()], strict=True)))
+    return keyed.join(kept.toDF(*names), names, "left_semi").dropDuplicates(names).select(*own)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from servicelake.llm import backoff, decontamination, jaccard_join, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, vantage
 from servicelake.llm.common import read_table, scratch, ship
+from servicelake.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +46,9 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.score_documents(read_table(spark, sf_dir, "documents"))
+    scored = backoff.score_documents(read_table(spark, sf_dir, "documents"))
+    hits = [F.col("hits")[k].alias(f"hits_{k + 1}") for k in range(3)]
+    return scored.select("doc_id", "n_words", F.round("score", 6).alias("score"), "n_unseen", *hits)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,5 +89,3 @@ _OWN: dict[str, Query] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}
-
-ORACLES: dict[str, str] = {}
