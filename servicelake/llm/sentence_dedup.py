@@ -3,7 +3,7 @@
 Texts are cut into sentences (at ``.``, ``!``, ``?`` and line ends); a
 sentence of many words is cut on after words that their own hash picks, so a
 passage is cut alike wherever it stands.  Every run of ``span`` consecutive
-sentences is hashed, the hashes are joined globally, and the sentences of
+sentences (of more, if they have few words) is hashed, the hashes are joined globally, and the sentences of
 every span but a hash's first (smallest document, then place) are removed.
 
 The join works on hashes, ids and places.  A first pass finds the spans that
@@ -30,7 +30,10 @@ _LONG = 24
 _CUT = 12
 _ALONE = re.compile(rb"\s*\S+\s*|\s+")
 
-SPANS = "doc_id long, text_key long, place int, span long"
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+SPANS = "doc_id long, text_key long, place int, size int, span long"
 
 
 def sentences(text: bytes) -> list[bytes]:
@@ -53,50 +56,62 @@ def sentences(text: bytes) -> list[bytes]:
     return out
 
 
-def span_hashes(parts: list[bytes], span: int, min_words: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the first sentence, hash) of every run of ``span`` sentences with ``min_words`` words or more.
+def span_hashes(parts: list[bytes], span: int, min_words: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the first sentence, number of sentences, hash) of the runs of a text.
 
-    A sentence counts by its words, lower-cased (A-Z), whatever stands between them.
+    From every sentence on, and back from every sentence, the run of ``span``
+    sentences, or of as many more as it takes to have ``min_words`` words.  So
+    every sentence of a passage is in runs that lie in the passage, its ends
+    included.  A sentence counts by its words, lower-cased (A-Z), whatever
+    stands between them.
     """
-    if len(parts) < span:
-        return np.empty(0, np.int32), np.empty(0, np.int64)
+    n = len(parts)
+    if n < span:
+        return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
     words = [p.lower().split() for p in parts]
     sizes = np.array([len(w) for w in words], np.int64)
     flat = known.of([x for w in words for x in w])
     # a sentence's hash: its word hashes, each turned by its place, summed
     ends = np.cumsum(sizes)
-    turned = mix64(flat + (np.arange(len(flat)) - np.repeat(ends - sizes, sizes)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    turned = mix64(flat + (np.arange(len(flat)) - np.repeat(ends - sizes, sizes)).astype(np.uint64) * _ODD)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(turned, dtype=np.uint64)])
     own = mix64(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64))
-    n = len(parts) - span + 1
-    out, total = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-    for k in range(span):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n])
-        total += sizes[k : k + n]
-    keep = np.flatnonzero(total >= min_words)
-    return keep.astype(np.int32), out[keep].view(np.int64)
+    # a run's: the sentences' hashes times powers, summed, and turned back to its start
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _ODD)]), dtype=np.uint64)
+        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _ODD_INVERSE)]), dtype=np.uint64)
+        chain = np.concatenate([[np.uint64(0)], np.cumsum(own * powers[:-1], dtype=np.uint64)])
+    before = np.concatenate([[0], ends])
+    at = np.arange(n + 1)
+    stop = np.maximum(at + span, np.searchsorted(before, before + min_words))
+    start = np.minimum(at - span, np.searchsorted(before, before - min_words, side="right") - 1)
+    runs = np.unique(np.concatenate([np.stack([at, stop], 1)[stop <= n], np.stack([start, at], 1)[start >= 0]]), axis=0)
+    first, last = runs[:, 0], runs[:, 1]
+    with np.errstate(over="ignore"):
+        out = mix64((chain[last] - chain[first]) * back[first] + (last - first).astype(np.uint64))
+    return first.astype(np.int32), (last - first).astype(np.int32), out.view(np.int64)
 
 
 def find_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataFrame:
-    """(doc_id, text_key, place) of every span that is not the first of its words; ``place`` counts sentences from 0."""
+    """(doc_id, text_key, place, size) of every span that is not the first of its words; ``place`` counts sentences from 0."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     keyed = rows.withColumn("text_key", text_key())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch, texts in chunks(batches, "text", 1 << 22):
-            places, spans = zip(*(span_hashes(sentences(t), span, min_words, known) for t in texts), strict=True)
+            places, many, spans = zip(*(span_hashes(sentences(t), span, min_words, known) for t in texts), strict=True)
             sizes = [len(x) for x in places]
             of = np.repeat(np.arange(len(texts)), sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(of)), batch.column("text_key").take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.concatenate(spans))],
-                names=["doc_id", "text_key", "place", "span"],
+                [batch.column("doc_id").take(pa.array(of)), batch.column("text_key").take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.concatenate(many)), pa.array(np.concatenate(spans))],
+                names=["doc_id", "text_key", "place", "size", "span"],
             )
 
     spans = written(keyed.mapInArrow(run, SPANS), "spans")
     at = F.struct("doc_id", "text_key", "place")
     first = spans.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").select("span", "first")
-    return spans.join(first, "span").where(at != F.col("first")).select("doc_id", "text_key", "place")
+    return spans.join(first, "span").where(at != F.col("first")).select("doc_id", "text_key", "place", "size")
 
 
 def remove_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataFrame:
@@ -108,7 +123,7 @@ def remove_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataF
     Ties cannot stand: a place is one document's own.  Extra columns are
     kept; those with the three names are replaced.
     """
-    places = find_repeats(docs, span, min_words).select("doc_id", "text_key", F.explode(F.sequence("place", F.col("place") + (span - 1))).alias("place"))
+    places = find_repeats(docs, span, min_words).select("doc_id", "text_key", F.explode(F.sequence("place", F.col("place") + F.col("size") - 1)).alias("place"))
     gone = places.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("place")).alias("removed"))
     own = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "removed")]
     left = docs.select(*own).withColumns({"__id": F.col("doc_id").cast("long"), "__key": text_key()})

@@ -314,7 +314,8 @@ def train(
     fit = np.flatnonzero(~held)
     epochs = max(epochs, -(-min_steps * BATCH // len(fit)))
     model = _fit_network([ids[k] for k in fit], features, labels[fit], buckets, dim, n_filters, tuple(widths), epochs, rate, seed)
-    own = np.flatnonzero(held) if len(np.unique(labels[held])) == 2 else np.arange(len(ids))
+    enough = min(labels[held].sum(), (1 - labels[held]).sum()) >= 10
+    own = np.flatnonzero(held) if enough else np.arange(len(ids))  # few rows: those of the fit calibrate too
     scorer = Scorer(model)
     z, y = scorer.logits([texts[k] for k in own]), labels[own]
     model.scale, model.shift = _calibrate(z, y)
