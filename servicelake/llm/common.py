@@ -162,7 +162,7 @@ def bitmap(df: DataFrame, column: str, bits: int = 1 << 26) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(out, pa.binary())], names=["k", "blob"])
 
     out = np.zeros(bits // 8, np.uint8)
-    for row in places.mapInArrow(pack, "k long, blob binary").toLocalIterator():
+    for row in places.mapInArrow(pack, "k long, blob binary").collect():
         out[row["k"] * run // 8 : (row["k"] + 1) * run // 8] = np.frombuffer(row["blob"], np.uint8)
     return out
 

@@ -33,7 +33,7 @@ SCHEMA = "doc_id long, n_bytes long, removed array<struct<start: long, end: long
 #: Bytes of text for each hash partition of minimizers (some two million), and for each shard of regions.
 PART_BYTES = 32 << 20
 SHARD_BYTES = 4 << 20
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -107,7 +107,8 @@ def regions_of(block: Block, rule: Rule) -> Regions:
             at = np.arange(len(doc)) + np.repeat(begin[many] - (np.cumsum(sizes[many]) - sizes[many]), sizes[many])
             value = minima[at]
             cut = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])]))
-            found.append((doc[cut], at[cut] + base, np.diff(np.append(cut, len(at))), value[cut]))
+            # least values are small ones: mixed again they spread over the partitions
+            found.append((doc[cut], at[cut] + base, np.diff(np.append(cut, len(at))), mix64(value[cut] ^ _BASE)))
         first = last
     if not found:
         return Regions(*(np.empty(0, np.int64) for _ in range(3)), np.empty(0, np.uint64))

@@ -88,5 +88,6 @@ def test_empty_table_and_components(spark):
     assert op.near_duplicates(frame(spark, [])).count() == 0
     assert op.near_duplicates(frame(spark, [(7, None, None, None, None)])).collect() == [(7, 0, 7)]
     links = spark.createDataFrame([(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
-    found = {r["node"]: r["component"] for r in components(links).collect()}
-    assert found == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
+    for task_links in (500_000, 7):
+        found = {r["node"]: r["component"] for r in components(links.repartition(5), task_links).collect()}
+        assert found == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
