@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # Fixed value: timestamp text format of the landing records.
 LANDING_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 # The same format as a full-string regular expression (fast path below).
-LANDING_TS_REGEX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"
+LANDING_TS_REGEX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}\z"
 
 
 def _col(c: str | Column) -> Column:
@@ -38,12 +38,6 @@ def parse_ts(c: str | Column, fmt: str = LANDING_TS_FORMAT) -> Column:
     return F.when(F.try_to_timestamp(c, fmt_lit).isNotNull(), F.to_timestamp_ntz(c, fmt_lit))
 
 
-def to_date_tolerant(c: str | Column) -> Column:
-    """``try_cast(x AS DATE)``; ISO text with a ``T`` time part is accepted."""
-    c = _col(c)
-    return c.try_cast("date")
-
-
 def to_double_tolerant(c: str | Column) -> Column:
     """``try_cast(x AS DOUBLE)``."""
     return _col(c).try_cast("double")
@@ -59,20 +53,6 @@ def clean_upper(c: str | Column) -> Column:
     return F.upper(F.trim(_col(c)))
 
 
-def first_letter(c: str | Column) -> Column:
-    """``truncate(1, x)`` partition transform."""
-    return F.substring(_col(c), 1, 1)
-
-
-def month_start(c: str | Column) -> Column:
-    """First instant of the month, as TIMESTAMP_NTZ.
-
-    Year and month together (never ``month()`` alone, which folds years).
-    Implemented through DATE so no time zone is involved.
-    """
-    return F.trunc(_col(c).cast("date"), "MM").cast("timestamp_ntz")
-
-
 def day_diff(start: str | Column, end: str | Column) -> Column:
     """Number of calendar-day boundaries between two timestamps.
 
@@ -138,14 +118,3 @@ def type_requests(df: DataFrame, ts_format: str = LANDING_TS_FORMAT) -> DataFram
         if name in present:
             changes[name] = to_double_tolerant(name)
     return df.withColumns(changes)
-
-
-def add_partition_columns(
-    df: DataFrame,
-    ts_col: str = "created_date",
-    key_col: str = "borough",
-    month_col: str = "created_month",
-    prefix_col: str = "borough_truncated",
-) -> DataFrame:
-    """Explicit derived partition columns (month start, first letter)."""
-    return df.withColumns({month_col: month_start(ts_col), prefix_col: first_letter(key_col)})

@@ -16,9 +16,9 @@ table (no driver-side loop, no sample needed).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,31 +102,17 @@ def schema_snapshot(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, type_name string")
 
 
-def file_schema_snapshot(
-    spark: SparkSession,
-    path: str,
-    fmt: str = "parquet",
-    glob: str | None = None,
-    modified_after: str | None = None,
-) -> DataFrame | None:
-    """Snapshot of the schema the files under ``path`` actually carry.
+def file_schema_snapshot(spark: SparkSession, files: Sequence[str], fmt: str = "parquet") -> DataFrame | None:
+    """Snapshot of the schema that these files carry; None if there are none.
 
     For self-describing formats the schema lives in file footers:
-    ``mergeSchema`` reads every selected footer in a distributed job and no
-    row data, so the cost follows the number of files, not rows.
-    ``modified_after`` restricts it to files that arrived since then.
-    Returns None when no file matches.
+    ``mergeSchema`` reads every file's footer in a distributed job and no row
+    data, so the cost follows the number of files, not rows.  A file that
+    cannot be read is an error.
     """
-    reader = spark.read.format(fmt).option("mergeSchema", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    try:
-        df = reader.load(path)
-    except AnalysisException:
+    if not files:
         return None
-    return schema_snapshot(spark, df)
+    return schema_snapshot(spark, spark.read.format(fmt).option("mergeSchema", "true").load(list(files)))
 
 
 def without_platform_keys(snapshot: DataFrame) -> DataFrame:
@@ -207,28 +193,38 @@ def baseline_action(verdict: DataFrame | None, has_baseline: bool) -> DataFrame
     )
 
 
+def save_baseline(snapshot: DataFrame, baseline_path: str, fmt: str = "parquet") -> str:
+    """Write a snapshot as the newest version of the baseline; earlier versions stay."""
+    path = f"{baseline_path.rstrip('/')}/v-{time.time_ns():020d}"
+    snapshot.coalesce(1).write.format(fmt).save(path)
+    return path
+
+
+def read_baseline(spark: SparkSession, baseline_path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The newest complete version, or None where none was ever saved; any error in reading it is raised."""
+    done = f"{baseline_path.rstrip('/')}/v-*/_SUCCESS"
+    versions = spark._jvm.org.apache.hadoop.fs.Path(done)
+    found = versions.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(versions)
+    if not found:
+        return None
+    return spark.read.format(fmt).load(max(f.getPath().getParent().toString() for f in found))
+
+
 def apply_baseline(
     spark: SparkSession, new_snapshot: DataFrame, baseline_path: str, fmt: str = "parquet"
 ) -> tuple[str, str]:
     """D4 lifecycle against a stored baseline table; returns (action, description).
 
-    Writes go to the baseline path only for ``save``/``replace``; the new
-    snapshot is materialised first so the old baseline is never read and
-    overwritten in the same plan.
+    A new version is written only for ``save``/``replace``.  No baseline
+    means that none was saved: an unreadable one raises, and is never taken
+    for a first run.
     """
-    try:
-        old = spark.read.format(fmt).load(baseline_path)
-        old.columns  # noqa: B018 - force resolution
-    except Exception:  # noqa: BLE001 - no baseline yet
-        old = None
+    old = read_baseline(spark, baseline_path, fmt)
     if old is None:
-        new_snapshot.write.mode("overwrite").format(fmt).save(baseline_path)
+        save_baseline(new_snapshot, baseline_path, fmt)
         return "save", "initial schema saved"
     row = baseline_action(drift_verdict(schema_diff(old, new_snapshot)), True).first()
     action, description = row["action"], row["description"]
     if action == "replace":
-        # A snapshot has one row per column (bounded), so it is frozen on the
-        # driver before the baseline it was compared with is overwritten.
-        frozen = spark.createDataFrame(new_snapshot.collect(), new_snapshot.schema)
-        frozen.write.mode("overwrite").format(fmt).save(baseline_path)
+        save_baseline(new_snapshot, baseline_path, fmt)
     return action, description

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from servicelake.operators.joins import bounded_broadcast
+from servicelake.session import path_exists, remove_path, shared_path
 
 MONTH_COL = "created_month"
 PREFIX_COL = "borough_truncated"
@@ -37,12 +38,13 @@ def with_partition_columns(
 
     The month is stored as a DATE (``created_month=1998-10-01``): the same
     month id as a truncated timestamp, but its directory value parses back
-    without any time-zone interpretation.
+    without any time-zone interpretation.  An empty key has no first letter
+    (NULL), like a missing one: a directory name cannot tell them apart.
     """
     return df.withColumns(
         {
             MONTH_COL: F.trunc(F.col(ts_col).cast("date"), "MM"),
-            PREFIX_COL: F.substring(F.col(key_col), 1, 1),
+            PREFIX_COL: F.nullif(F.substring(F.col(key_col), 1, 1), F.lit("")),
         }
     )
 
@@ -58,6 +60,8 @@ def partition_predicates(
     month range; ``equals={key_col: v}`` becomes ``prefix = substr(v, 1, 1)``.
     Literals fold to constants, so the scan prunes partition directories.
     The result is a superset filter: keep the original predicate as well.
+    An empty key has an empty prefix, which a partitioned layout stores as
+    its NULL partition.
     """
     cond = F.lit(True)
     if ts_range is not None:
@@ -71,10 +75,19 @@ def partition_predicates(
     for col, value in (equals or {}).items():
         if col != key_col:
             continue
-        cond = cond & (F.col(PREFIX_COL) == F.lit(str(value)[:1]))
+        prefix = str(value)[:1]
+        cond = cond & (F.col(PREFIX_COL) == F.lit(prefix) if prefix else F.col(PREFIX_COL).isNull())
     return cond
 
 
+def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A month x letter layout with its partition columns as DATE and text (not guessed from directory names)."""
+    inferred = spark.read.format(fmt).load(path).schema
+    kinds = {MONTH_COL: T.DateType(), PREFIX_COL: T.StringType()}
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in inferred.fields])
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
 # --- writes ------------------------------------------------------------------
 
 
@@ -130,60 +143,65 @@ def write_metrics(df: DataFrame, path: str) -> str:
 # --- Z-order -----------------------------------------------------------------
 
 
+def _is_text(df: DataFrame, col: str) -> bool:
+    dtype = df.schema[col].dataType
+    return not isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def order_key(df: DataFrame, col: str) -> Column:
-    """Numeric, order-preserving key of a column (strings: first 7 bytes)."""
+    """What a column is ordered by: numbers and times as a number, text as itself (byte order)."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.NumericType):
         return F.col(col).cast("double")
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    hexed = F.hex(F.encode(F.col(col).cast("string"), "UTF-8"))
-    return F.conv(F.rpad(F.substring(hexed, 1, 14), 14, "0"), 16, 10).cast("bigint").cast("double")
-
-
-def _is_text(df: DataFrame, col: str) -> bool:
-    dtype = df.schema[col].dataType
-    return not isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-
-
-def _prefix_text(key: float) -> str:
-    """Inverse of the 7-byte prefix key: the (shortest) text prefix it encodes."""
-    raw = int(key).to_bytes(7, "big", signed=False).rstrip(b"\x00")
-    return raw.decode("utf-8", errors="ignore")
+    return F.col(col).cast("string")
 
 
 def zorder_boundaries(df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10_000) -> list[list]:
-    """Per-column quantile boundaries (``2**bits - 1`` at most), one pass."""
-    return zorder_profile(df, cols, bits, accuracy)[0]
-
-
-def zorder_profile(
-    df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10_000
-) -> tuple[list[list], int]:
-    """Quantile boundaries of every Z column plus the row count, in one pass.
-
-    ``approx_percentile`` keeps a bounded sketch per task and merges them,
-    so the pass is distributed and the result is ``k * (2**bits - 1)``
-    values and one count -- never data rows.  Text columns are profiled on
-    their 7-byte prefix key, and the boundaries are turned back into text
-    prefixes so the write pass compares the column itself (byte order).
+    """Bucket boundaries of every Z column, ``2**bits - 1`` at most for each.
+
+    Numbers and times: approximate quantiles (a bounded sketch for each task,
+    merged).  Text: whole values.  Where a column has no more distinct values
+    than buckets, each value but the largest is a boundary, so each value has
+    its own bucket; otherwise the boundaries are the cumulative-share quantiles
+    of a deterministic sample of distinct values (by hash, ``64 * 2**bits``
+    expected), each weighted by its rows.  Only boundaries and that bounded
+    sample reach the driver.
     """
+    most = (1 << bits) - 1
     qs = [i / (1 << bits) for i in range(1, 1 << bits)]
-    aggs = [F.percentile_approx(order_key(df, c), qs, accuracy).alias(f"b{i}") for i, c in enumerate(cols)]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs).first()
-    bounds: list[list] = []
-    for i, c in enumerate(cols):
-        values = sorted({float(x) for x in (row[f"b{i}"] or [])})
-        if _is_text(df, c):
-            values = sorted({_prefix_text(v) for v in values if v >= 0} - {""})
-        bounds.append(values)
-    return bounds, int(row["_rows"])
+    numeric = [c for c in cols if not _is_text(df, c)]
+    bounds: dict[str, list] = {}
+    if numeric:
+        row = df.agg(*[F.percentile_approx(order_key(df, c), qs, accuracy).alias(f"b{i}") for i, c in enumerate(numeric)]).first()
+        bounds = {c: sorted({float(x) for x in (row[f"b{i}"] or [])}) for i, c in enumerate(numeric)}
+    for c in cols:
+        if c in bounds:
+            continue
+        values = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        distinct = values.agg(F.count(F.lit(1))).first()[0]
+        keep = 64 * (most + 1)
+        if distinct > keep:
+            cut = 1 << 30
+            values = values.where(F.pmod(F.xxhash64("v"), F.lit(cut)) < int(cut * keep / distinct))
+        rows = sorted((r["v"].encode(), r["v"], r["n"]) for r in values.collect())
+        if len(rows) <= most + 1:
+            bounds[c] = [v for _, v, _ in rows[:-1]]
+            continue
+        total, seen, step, found = sum(n for *_, n in rows), 0, 1, []
+        for _, v, n in rows[:-1]:
+            seen += n
+            if seen * (most + 1) >= step * total:
+                found.append(v)
+                step = seen * (most + 1) // total + 1
+        bounds[c] = found[:most]
+    return [bounds[c] for c in cols]
 
 
 def bucket_key(df: DataFrame, col: str) -> Column:
-    """What the bucket boundaries are compared with: the text itself for
-    text columns, the numeric order key otherwise."""
-    return F.col(col).cast("string") if _is_text(df, col) else order_key(df, col)
+    """What the bucket boundaries are compared with."""
+    return order_key(df, col)
 
 
 def _bucket(key: Column, bounds: Sequence, lo: int = 0, hi: int | None = None) -> Column:
@@ -239,24 +257,29 @@ def write_zordered(
 ) -> str:
     """L3 write: partitioned by month x letter, Z-ordered inside each partition.
 
-    Range partitioning on ``(partition cols, _z)`` gives each task a
-    contiguous Z range of one partition, so files have narrow min/max on the
-    Z columns, and a hot partition is spread over several tasks.  The task
-    count follows the data: ``rows / rows_per_file`` (the row count comes
-    from the same pass that computes the Z boundaries) but at least the
-    cluster's default parallelism, unless given.
+    Range partitioning on ``(partition cols, _z, time, key hash)`` gives each
+    task a contiguous Z range of one partition, so files have narrow min/max
+    on the Z columns; the tie-break spreads a hot partition, and a hot Z value
+    within it, over several tasks.  The task count follows the data:
+    ``rows / rows_per_file`` but at least the cluster's default parallelism,
+    unless given.  The typed input is written to the shared folder first, so
+    its plan runs once, not for each of the boundary, sampling and write passes.
     """
-    data = with_partition_columns(df, ts_col, key_col)
-    bounds, rows = zorder_profile(data, list(zorder_by), bits)
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    n = num_partitions or max(parallelism, math.ceil(rows / rows_per_file))
+    spark = df.sparkSession
+    once = shared_path(spark, "layouts", "zorder-input")
+    with_partition_columns(df, ts_col, key_col).write.format(fmt).save(once)
+    data = spark.read.schema(with_partition_columns(df, ts_col, key_col).schema).format(fmt).load(once)
+    bounds = zorder_boundaries(data, list(zorder_by), bits)
+    n = num_partitions or max(spark.sparkContext.defaultParallelism, math.ceil(data.count() / rows_per_file))
     data = with_zorder(data, list(zorder_by), bits, boundaries=bounds)
+    tie = F.xxhash64(*df.columns)
     out = (
-        data.repartitionByRange(n, *[F.col(c) for c in PARTITION_COLS], F.col(Z_COL))
-        .sortWithinPartitions(*PARTITION_COLS, Z_COL)
+        data.repartitionByRange(n, *[F.col(c) for c in PARTITION_COLS], F.col(Z_COL), F.col(ts_col), tie)
+        .sortWithinPartitions(*PARTITION_COLS, Z_COL, ts_col)
         .drop(Z_COL)
     )
     out.write.mode("overwrite").format(fmt).partitionBy(*PARTITION_COLS).save(path)
+    remove_path(spark, once)
     return path
 
 
@@ -283,9 +306,40 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("file_path"), "length")
 
 
-def needs_compaction(stats: DataFrame, max_files: int = 500) -> DataFrame:
-    """L4: compaction trigger (``files > max_files``)."""
-    return stats.withColumn("needs_compaction", F.col("files") > F.lit(max_files))
+def _partition_of(file_path: Column, column: str) -> Column:
+    """A partition value as it stands in a file's path."""
+    return F.regexp_extract(file_path, f"/{column}=([^/]*)/", 1)
+
+
+def small_file_partitions(
+    spark: SparkSession, path: str, partition_cols: Sequence[str] = PARTITION_COLS, target_file_bytes: int = 128 << 20
+) -> DataFrame:
+    """Per partition with two or more files under 3/4 of the target size: directory values, those files and their bytes.
+
+    From the file listing alone: the cost follows files, not rows.
+    """
+    files = file_sizes(spark, path)
+    values = [_partition_of(F.col("file_path"), c).alias(c) for c in partition_cols]
+    small = F.col("length") < 0.75 * target_file_bytes
+    per = files.groupBy(*values).agg(F.count_if(small).alias("small_files"), F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    # rewriting must leave fewer files, or it is not worth it (and would never end)
+    return per.where((F.col("small_files") >= 2) & (F.col("files") > F.ceil(F.col("bytes") / target_file_bytes)))
+
+
+def needs_compaction(
+    spark: SparkSession,
+    path: str,
+    target_file_bytes: int = 128 << 20,
+    share: float = 0.5,
+    partition_cols: Sequence[str] = PARTITION_COLS,
+) -> DataFrame:
+    """L4: compaction trigger -- whether mergeable files make up more than ``share`` of all; one row.
+
+    A compacted table of any size has none, so its number of files alone never triggers.
+    """
+    total = file_stats(spark, path)
+    small = small_file_partitions(spark, path, partition_cols, target_file_bytes).agg(F.coalesce(F.sum("files"), F.lit(0)).alias("mergeable_files"))
+    return total.withColumn("mergeable_files", small.scalar()).withColumn("needs_compaction", F.col("mergeable_files") > F.lit(share) * F.col("files"))
 
 
 def with_file_path(df: DataFrame) -> DataFrame:
@@ -361,60 +415,140 @@ def compact(
     report ``(stage, files, bytes)``.
     """
     before = file_stats(spark, src_path).withColumn("stage", F.lit("before"))
-    total_bytes = before.first()["bytes"]
-    n = max(1, math.ceil(total_bytes / target_file_bytes))
-    df = spark.read.format(fmt).load(src_path)
     if partition_cols:
-        out = df.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
+        parts = _file_numbers(file_sizes(spark, src_path), partition_cols, target_file_bytes)
+        df = read_partitioned(spark, src_path, fmt)
+        _write_sized(df, parts, dst_path, partition_cols, fmt)
     else:
-        out = df.repartition(n).write
-    out.mode("overwrite").format(fmt).save(dst_path)
+        n = max(1, math.ceil(before.first()["bytes"] / target_file_bytes))
+        spark.read.format(fmt).load(src_path).repartition(n).write.mode("overwrite").format(fmt).save(dst_path)
     after = file_stats(spark, dst_path).withColumn("stage", F.lit("after"))
     return before.unionByName(after).select("stage", "files", "bytes")
 
 
+def _file_numbers(files: DataFrame, partition_cols: Sequence[str], target_file_bytes: int) -> DataFrame:
+    """Directory values of each partition and the number of target-sized files its bytes make."""
+    values = [_partition_of(F.col("file_path"), c).alias(c) for c in partition_cols]
+    return files.groupBy(*values).agg(F.greatest(F.ceil(F.sum("length") / target_file_bytes), F.lit(1)).cast("int").alias("_n"))
+
+
+def _directory_value(col: str) -> Column:
+    """A partition value as its directory shows it (NULL has a name of its own)."""
+    return F.coalesce(F.col(col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+
+
+def _write_sized(
+    df: DataFrame, parts: DataFrame, path: str, partition_cols: Sequence[str], fmt: str, zorder_by: Sequence[str] = ("borough", "complaint_type"), ts_col: str = "created_date"
+) -> None:
+    """Write the rows of the listed partitions, each in its ``_n`` files, Z-ordered.
+
+    Rows of a partition of several files are dealt by Z range: ``_n - 1``
+    boundaries for each such partition, so its files keep narrow min/max.
+    """
+    zcols = [c for c in zorder_by if c in df.columns]
+    named = parts.toDF(*[f"_p_{c}" for c in partition_cols], "_n")
+    on = None
+    for c in partition_cols:
+        eq = _directory_value(c) == F.url_decode(F.replace(F.col(f"_p_{c}"), F.lit("+"), F.lit("%2B")))
+        on = eq if on is None else on & eq
+    rows = df.join(bounded_broadcast(named), on, "inner").drop(*[f"_p_{c}" for c in partition_cols])
+    sort = [c for c in (ts_col,) if c in df.columns]
+    if zcols:
+        rows = with_zorder(rows, zcols)
+        sort = [Z_COL, *sort]
+    own = [_directory_value(c).alias(f"_d_{i}") for i, c in enumerate(partition_cols)]
+    # a place in the partition: the Z value, ties broken by the row's hash, as one number
+    place = (F.col(Z_COL) if zcols else F.lit(0)).cast("double") + (F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) / float(1 << 20))
+    rows = rows.withColumn("_place", place)
+    cuts = (
+        rows.where("_n > 1")
+        .groupBy(*own, "_n")
+        .agg(F.percentile_approx("_place", F.lit([i / 1000 for i in range(1, 1000)]), 10_000).alias("_q"))
+        .withColumn("_cuts", F.expr("transform(sequence(1, _n - 1), i -> _q[least(cast(round(1000.0 * i / _n) as int), 999) - 1])"))
+        .drop("_q", "_n")
+    )
+    if cuts.isEmpty():
+        rows = rows.withColumn("_file", F.lit(0))
+    else:
+        keyed = rows.withColumns({f"_d_{i}": _directory_value(c) for i, c in enumerate(partition_cols)})
+        keys = [f"_d_{i}" for i in range(len(partition_cols))]
+        rows = keyed.join(bounded_broadcast(cuts), keys, "left").withColumn("_file", F.coalesce(F.size(F.filter("_cuts", lambda x: x < F.col("_place"))), F.lit(0))).drop(*keys, "_cuts")
+    out = rows.repartition(*partition_cols, F.col("_file")).sortWithinPartitions(*partition_cols, *sort)
+    out.drop("_n", "_place", "_file", Z_COL).write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(path)
+
+
+def _marker(path: str) -> str:
+    """Where a compaction that has begun to replace partitions is noted."""
+    return f"{path.rstrip('/')}_compacting"
+
+
+def recover_compaction(spark: SparkSession, path: str) -> bool:
+    """Finish a compaction that was interrupted while it replaced partitions; True if there was one.
+
+    The marker is written after the scratch copy is complete and names it.
+    A partition that is no longer in the copy has been moved already.
+    """
+    marker = _marker(path)
+    if not path_exists(spark, f"{marker}/_SUCCESS"):
+        return False
+    row = spark.read.schema("scratch string, columns array<string>").json(marker).first()
+    _replace_partitions(spark, row["scratch"], path, row["columns"])
+    remove_path(spark, marker)
+    return True
+
+
+def _replace_partitions(spark: SparkSession, scratch: str, path: str, partition_cols: Sequence[str]) -> None:
+    """Move each partition folder of the copy into the place of the table's own (file system calls, no rows)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(scratch)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = fs.globStatus(hadoop.Path(root, "/".join(f"{c}=*" for c in partition_cols)))
+    for folder in folders or []:
+        source = folder.getPath()
+        names = [source.getName()]
+        for _ in partition_cols[1:]:
+            names.insert(0, source.getParent().getName())
+            source = source.getParent()
+        target = hadoop.Path(hadoop.Path(path), "/".join(names))
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(folder.getPath(), target):
+            raise OSError(f"could not move {folder.getPath()} to {target}")
+
+
 def compact_partitions(
     spark: SparkSession,
     path: str,
     scratch: str,
     partition_cols: Sequence[str] = PARTITION_COLS,
-    min_files: int = 2,
     fmt: str = "parquet",
-    max_partitions_broadcast: int = 100_000,
+    target_file_bytes: int = 128 << 20,
 ) -> DataFrame:
-    """L5, partition-scoped: rewrite only partitions holding ``min_files`` or
-    more files, in place; returns a before/after ``(stage, files, bytes)``.
-
-    The fragmented partitions are found from file metadata (A9), their rows
-    are selected with a semi join on the partition columns (NULL-safe, so the
-    default partition is included; dynamic partition pruning keeps other
-    partitions unread), copied to ``scratch`` one file per partition, and
-    written back with dynamic partition overwrite -- only those partition
-    directories are replaced, however large the rest of the table is.
+    """L5, partition-scoped: rewrite only partitions with several small files;
+    returns a before/after ``(stage, files, bytes)``.
+
+    The partitions are found from the file listing; a second call finds none.
+    Their rows (partition filters keep other partitions unread) are written to
+    ``scratch`` (of the same file system) in target-sized files, Z-ordered, and
+    the complete copy is noted in a marker before its folders take the place
+    of the table's: a job lost in between is finished by
+    ``recover_compaction``.  ``scratch`` may be removed once this returns.
     """
-    # Stats are taken eagerly: a lazy listing of files about to be replaced
-    # would be read after the rewrite.
+    recover_compaction(spark, path)
     b = file_stats(spark, path).first()
     schema = "stage string, files bigint, bytes bigint"
-    fragmented = partition_file_counts(spark, path, partition_cols).where(F.col("files") >= min_files)
-    fragmented = fragmented.select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols])
-    if fragmented.isEmpty():
-        return spark.createDataFrame([("before", b["files"], b["bytes"]), ("after", b["files"], b["bytes"])], schema)
-    data = spark.read.format(fmt).load(path)
-    cond = None
-    for c in partition_cols:
-        eq = data[c].eqNullSafe(F.col(f"_p_{c}"))
-        cond = eq if cond is None else cond & eq
-    rows = data.join(bounded_broadcast(fragmented, max_partitions_broadcast), cond, "left_semi")
-    cluster_for_write(rows, partition_cols).write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(scratch)
-    (
-        spark.read.format(fmt).load(scratch)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .format(fmt)
-        .partitionBy(*partition_cols)
-        .save(path)
-    )
+    found = small_file_partitions(spark, path, partition_cols, target_file_bytes)
+    parts = found.select(*partition_cols, F.greatest(F.ceil(F.col("bytes") / target_file_bytes), F.lit(1)).cast("int").alias("_n"))
+    # the listing is taken now: it changes once directories are replaced
+    listing = shared_path(spark, "layouts", "fragmented")
+    parts.write.parquet(listing)
+    parts = spark.read.schema(parts.schema).parquet(listing)
+    if not parts.isEmpty():
+        _write_sized(read_partitioned(spark, path, fmt), parts, scratch, partition_cols, fmt)
+        spark.createDataFrame([(scratch, list(partition_cols))], "scratch string, columns array<string>").coalesce(1).write.mode("overwrite").json(_marker(path))
+        _replace_partitions(spark, scratch, path, partition_cols)
+        remove_path(spark, _marker(path))
+    remove_path(spark, listing)
     a = file_stats(spark, path).first()
     return spark.createDataFrame([("before", b["files"], b["bytes"]), ("after", a["files"], a["bytes"])], schema)
 

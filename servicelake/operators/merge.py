@@ -15,14 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelake.operators.joins import row_count_at_most
 from servicelake.operators.keys import dedupe_latest
 
-# An increment with at most this many rows has at most this many keys; its
-# key set is then broadcast to the anti join so the (large) target is only
-# streamed, never shuffled.  About 2M long keys make a ~50 MB hash relation.
-SOURCE_BROADCAST_ROWS = 2_000_000
-
 
 class SchemaChangeError(RuntimeError):
     """M3: the incoming columns differ from the target's (policy ``fail``)."""
@@ -57,25 +51,23 @@ def upsert(
     key: str | Sequence[str],
     order: Sequence[str],
     on_schema_change: str = "fail",
-    source_broadcast_rows: int = SOURCE_BROADCAST_ROWS,
-    source_is_small: bool | None = None,
+    source_is_small: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` by ``key``.
 
-    Idempotent: ``upsert(upsert(t, s), s) == upsert(t, s)``.  When the
-    source is proven small (bounded row count, an upper bound of its keys)
-    its key set is broadcast and the target is streamed through a broadcast
-    anti join; otherwise both sides shuffle on the key and AQE splits a
-    skewed target partition.  ``source_is_small`` passes a size verdict the
-    caller has already proven (skipping the check).
+    Idempotent: ``upsert(upsert(t, s), s) == upsert(t, s)``.  The source is
+    read twice (its keys for the anti join, its rows for the union), the
+    target once.  A caller that knows the source's keys to be few (say from
+    the footers of a written increment) passes ``source_is_small``: they are
+    broadcast and the target is streamed.  Otherwise the planner decides from
+    measured sizes, and AQE splits a skewed target partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if on_schema_change == "fail":
         assert_same_schema(source, target)
     src = dedupe_latest(source, keys, order)
     src_keys = src.select(*keys)
-    small = source_is_small if source_is_small is not None else row_count_at_most(source, source_broadcast_rows)
-    if small:
+    if source_is_small:
         src_keys = F.broadcast(src_keys)
     kept = target.join(src_keys, on=keys, how="left_anti")
     return kept.unionByName(src)

@@ -22,6 +22,7 @@ from servicelake.functions.clean import seconds_between
 ERROR = "error"
 WARN = "warn"
 
+RESULT_SCHEMA = "check string, table string, metric double, threshold string, severity string, passed boolean"
 RESULT_COLUMNS = ("check", "table", "metric", "threshold", "severity", "passed")
 
 
@@ -257,6 +258,21 @@ def staging_suite(
     ]
 
 
+def source_suite(valid_boroughs: Sequence[str] = ACCEPTED_BOROUGHS, unique: bool = False) -> list[Check]:
+    """Checks of the silver table.  Its keys repeat until staging re-decides
+    them (append-only loads), so their uniqueness only warns, where asked for."""
+    checks = [
+        Check("unique_key not null", "missing_count_eq", "unique_key", 0),
+        Check("created_date not null", "missing_count_eq", "created_date", 0),
+        Check("borough accepted values", "accepted_values", "borough", severity=WARN, values=tuple(valid_boroughs)),
+    ]
+    return checks + [Check("unique_key unique", "unique", "unique_key", severity=WARN)] * unique
+
+
+def trends_suite() -> list[Check]:
+    return [Check("breach_rate_current not null", "missing_count_eq", "breach_rate_current", 0)]
+
+
 def gold_suite(min_rows: int = 20) -> list[Check]:
     return [
         Check("Minimum aggregated rows", "row_count_gt", None, min_rows),

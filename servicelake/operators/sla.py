@@ -25,11 +25,6 @@ from servicelake.functions.normalize import anomaly_flag, anomaly_reason, normal
 from servicelake.functions.sla import days_over, safe_ratio, sla_breach, trend_direction, within_sla
 from servicelake.operators.joins import bounded_broadcast
 
-TARGETS_MAX_ROWS = 100_000
-# Percentiles are reported to 6 decimal places of a day (< 0.1 s).  Engines
-# interpolate with algebraically equal but differently rounded formulas, so
-# the last bit of an unrounded value is engine noise, not information.
-PERCENTILE_DECIMALS = 6
 TREND_YEARS = 5
 
 PERF_KEYS = ("complaint_type", "responsible_agency", "calendar_year", "target_days")
@@ -56,13 +51,13 @@ def stage_requests(typed: DataFrame) -> DataFrame:
     )
 
 
-def enrich(staged: DataFrame, targets: DataFrame, targets_max_rows: int = TARGETS_MAX_ROWS) -> DataFrame:
+def enrich(staged: DataFrame, targets: DataFrame) -> DataFrame:
     """J1 + P15-P17 + P9: join to SLA targets and derive SLA outcome columns.
 
-    Inner join on purpose: categories without a documented target have no
-    breach to measure.
+    An inner join: a breach is measured against a target, and a request of a
+    category that has none cannot be late.
     """
-    t = bounded_broadcast(targets, targets_max_rows).select(
+    t = bounded_broadcast(targets).select(
         F.col("complaint_type").alias("_target_type"), "responsible_agency", "target_days"
     ).where(F.col("_target_type").isNotNull())
     # Null-safe key on a side without NULL keys: the same rows as ``=``, but
@@ -153,7 +148,7 @@ def sla_performance(enriched: DataFrame) -> DataFrame:
         pos = _rank_pos(F.col("_ncl"), q)
         tag = int(q * 100)
         lo, hi = F.col(f"_lo{tag}"), F.col(f"_hi{tag}")
-        return F.round(lo + (pos - F.floor(pos)) * (hi - lo), PERCENTILE_DECIMALS)
+        return lo + (pos - F.floor(pos)) * (hi - lo)
 
     return agg.select(
         *PERF_KEYS,

@@ -50,13 +50,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is configured by the operator (an object-store or HDFS
-    path visible to every executor).  Only when it is unset -- unit tests on
-    a laptop -- do we create a private directory and register it.
+    path visible to every executor); a cluster session without it is an
+    error, because a folder of the driver's own is not visible to executors.
+    Only a local session (tests on a laptop) gets a private directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="servicelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -76,6 +77,36 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join(p.strip("/") if i else p for i, p in enumerate(pieces))
 
 
+def _fs(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark reads; errors are raised."""
+    fs, target = _fs(spark, path)
+    return bool(fs.exists(target))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
+def keep_newest_versions(spark: SparkSession, root: str, keep: int, prefix: str = "v-", using: tuple[str, ...] = ()) -> list[str]:
+    """Expire versioned folders under ``root`` but for the ``keep`` newest and those in ``using``; returns what went."""
+    fs, target = _fs(spark, root)
+    if not fs.exists(target):
+        return []
+    found = [f for f in fs.listStatus(target) if f.isDirectory() and f.getPath().getName().startswith(prefix)]
+    found.sort(key=lambda f: f.getModificationTime(), reverse=True)
+    named = {u.rstrip("/").rsplit("/", 1)[-1] for u in using}
+    old = [f.getPath() for f in found[keep:] if f.getPath().getName() not in named]
+    for path in old:
+        fs.delete(path, True)
+    return [path.getName() for path in old]
+
+
 def materialize(df):
     """Cut lineage: reliable checkpoint into the shared checkpoint folder.
 

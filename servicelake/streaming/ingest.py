@@ -4,13 +4,51 @@ Replaces a hand-written checkpoint file: a file-source stream with an
 explicit schema, drained with ``trigger(availableNow=True)``, writing to a
 file sink whose commit log (``_spark_metadata``) and the checkpoint make
 reruns exactly-once -- progress is recorded only after the sink commits.
+A file's age plays no part: copied or backfilled files with old times are
+ingested like others, and a run that leaves out a file that was listed before
+it began fails.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from servicelake.session import path_exists
+
+#: The file source ignores files this much older than the newest one seen; so long that none is.
+MAX_FILE_AGE = "365000d"
+
+
+class IngestError(RuntimeError):
+    """Listed files were not ingested."""
+
+
+def _plain(path: Column) -> Column:
+    """A file path without URL encoding and with one form of the local scheme."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "/")
+
+
+def listed_files(spark: SparkSession, source_path: str, glob: str | None = None) -> DataFrame:
+    """(file): data files under a folder, from its listing."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(source_path).select(F.regexp_replace("path", "^file:/+", "/").alias("file"))
+
+
+def ingested_files(spark: SparkSession, checkpoint_path: str) -> DataFrame:
+    """(file): the files that the stream of this checkpoint has taken, from its source log."""
+    log = f"{checkpoint_path.rstrip('/')}/sources/0"
+    if not path_exists(spark, log):
+        return spark.createDataFrame([], "file string")
+    entries = spark.read.text(log).where(F.col("value").startswith("{"))
+    return entries.select(_plain(F.get_json_object("value", "$.path")).alias("file")).distinct()
+
 
 def ingest_available(
     spark: SparkSession,
@@ -22,12 +60,17 @@ def ingest_available(
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
     transform=None,
+    partition_by: Sequence[str] = (),
 ) -> int:
-    """Ingest every file not yet seen under ``source_path``; return new rows.
+    """Ingest every file not yet seen under ``source_path``; return the sink's new rows.
 
     ``transform`` (DataFrame -> DataFrame) may type or filter the stream.
     """
-    reader = spark.readStream.schema(schema).format(fmt)
+    # names of files that arrived since the last run (the stream's driver lists them too)
+    expected = listed_files(spark, source_path, glob).join(ingested_files(spark, checkpoint_path), "file", "left_anti")
+    expected = spark.createDataFrame(expected.collect(), "file string")
+    rows_before = _rows(spark, sink_path, fmt)
+    reader = spark.readStream.schema(schema).format(fmt).option("maxFileAge", MAX_FILE_AGE)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -35,17 +78,29 @@ def ingest_available(
     stream = reader.load(source_path)
     if transform is not None:
         stream = transform(stream)
+    writer = stream.writeStream.format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     query = (
-        stream.writeStream.format(fmt)
-        .option("path", sink_path)
+        writer.option("path", sink_path)
         .option("checkpointLocation", checkpoint_path)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    progress = query.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in progress)) if progress else 0
+    left = expected.join(ingested_files(spark, checkpoint_path), "file", "left_anti")
+    missing = left.agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("first")).first()
+    if missing["n"]:
+        raise IngestError(f"{missing['n']} listed files were not ingested, among them {missing['first']}")
+    return _rows(spark, sink_path, fmt) - rows_before
+
+
+def _rows(spark: SparkSession, sink_path: str, fmt: str) -> int:
+    """Rows of the sink (for Parquet from the files' footers)."""
+    if not path_exists(spark, sink_path):
+        return 0
+    return spark.read.format(fmt).schema("_none int").load(sink_path).count()
 
 
 def read_sink(spark: SparkSession, sink_path: str, fmt: str = "parquet") -> DataFrame:

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from servicelake.functions import clean
+from servicelake.operators import layout
 
 
 def test_tolerant_parsing(spark):
@@ -14,25 +15,21 @@ def test_tolerant_parsing(spark):
         clean.parse_ts("ts").alias("ts"),
         clean.clean_text("txt").alias("txt"),
         clean.to_double_tolerant("num").alias("num"),
-        clean.to_date_tolerant("ts").alias("d"),
     ).collect()
     assert out[0]["ts"] == dt.datetime(2024, 1, 5, 10, 20, 30, 123000)
     assert out[0]["txt"] == "Noise\t"  # trim removes spaces only
     assert out[0]["num"] == 40.5
-    assert out[0]["d"] == dt.date(2024, 1, 5)
-    assert out[1]["ts"] is None and out[1]["num"] is None and out[1]["d"] is None
+    assert out[1]["ts"] is None and out[1]["num"] is None
     assert out[1]["txt"] == "x"
     assert out[2]["ts"] is None
 
 
-def test_month_start_keeps_year_and_day_diff_counts_boundaries(spark):
+def test_day_diff_counts_boundaries(spark):
     df = spark.createDataFrame(
         [(dt.datetime(2021, 4, 30, 23, 0), dt.datetime(2021, 5, 1, 1, 0)), (dt.datetime(2022, 4, 2), None)],
         "a timestamp_ntz, b timestamp_ntz",
     )
-    rows = df.select(clean.month_start("a").alias("m"), clean.day_diff("a", "b").alias("d")).collect()
-    assert rows[0]["m"] == dt.datetime(2021, 4, 1)
-    assert rows[1]["m"] == dt.datetime(2022, 4, 1)
+    rows = df.select(clean.day_diff("a", "b").alias("d")).collect()
     assert rows[0]["d"] == 1
     assert rows[1]["d"] is None
 
@@ -45,8 +42,8 @@ def test_type_requests_leaves_unknown_columns(spark):
 
 def test_partition_columns(spark):
     df = spark.createDataFrame([(dt.datetime(2023, 7, 9, 5), "BRONX")], "created_date timestamp_ntz, borough string")
-    row = clean.add_partition_columns(df).first()
-    assert row["created_month"] == dt.datetime(2023, 7, 1)
+    row = layout.with_partition_columns(df).first()
+    assert row["created_month"] == dt.date(2023, 7, 1)
     assert row["borough_truncated"] == "B"
     assert F is not None
 
@@ -57,7 +54,7 @@ def test_landing_fast_path_equals_pattern_parse(spark):
         "2021-01-01T23:59:60.000", "2021-1-01T00:00:00.000", "2021-01-01T00:00:00.0000",
         "2021-01-01 00:00:00.000", "+2021-01-01T00:00:00.000", "2021-01-01T00:00:00.000Z",
         "2021-03-14T02:30:00.000", " 2021-01-01T00:00:00.000", "12345-01-01T00:00:00.000",
-        "2024-02-29T12:34:56.789", "2023-02-29T12:34:56.789", None, "",
+        "2024-02-29T12:34:56.789", "2023-02-29T12:34:56.789", None, "", "2021-01-01T00:00:00.000\n",
     ]
     df = spark.createDataFrame([(s,) for s in edge], "s string")
     fast = clean.parse_ts("s")

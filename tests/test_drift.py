@@ -1,3 +1,7 @@
+import os
+
+import pytest
+
 from servicelake.operators import drift
 
 
@@ -38,11 +42,11 @@ def test_baseline_lifecycle(spark, tmp_dir):
     added = _snap(spark, [("a", "str"), ("b", "int"), ("c", "str")])
     action, desc = drift.apply_baseline(spark, added, path)
     assert action == "replace" and desc == "new optional columns added: ['c']"
-    assert spark.read.parquet(path).count() == 3
+    assert drift.read_baseline(spark, path).count() == 3
     removed = _snap(spark, [("a", "str")])
     action, _ = drift.apply_baseline(spark, removed, path)
     assert action == "fail"
-    assert spark.read.parquet(path).count() == 3  # breaking change keeps the old baseline
+    assert drift.read_baseline(spark, path).count() == 3  # breaking change keeps the old baseline
 
 
 def test_snapshots_from_schema_and_records(spark):
@@ -56,16 +60,27 @@ def test_snapshots_from_schema_and_records(spark):
     assert kinds == {"k": "int", "s": "str", "x": "float", "t": "str"}
 
 
-def test_file_schema_snapshot_reads_footers(spark, tmp_dir):
-    import time
+def test_unreadable_baseline_raises(spark, tmp_dir):
+    path = f"{tmp_dir}/baseline"
+    base = _snap(spark, [("a", "str"), ("b", "int")])
+    saved = drift.save_baseline(base, path)
+    for name in os.listdir(saved):
+        if name.endswith(".parquet"):
+            with open(f"{saved}/{name}", "wb") as fh:
+                fh.write(b"torn")
+            os.remove(f"{saved}/.{name}.crc")
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        drift.apply_baseline(spark, _snap(spark, [("a", "str")]), path)
+    assert len([d for d in os.listdir(path) if d.startswith("v-")]) == 1
+
 
-    spark.range(3).selectExpr("id", "cast(id as string) as s").write.parquet(f"{tmp_dir}/in")
-    snap = {r.column_name: r.type_name for r in drift.file_schema_snapshot(spark, f"{tmp_dir}/in").collect()}
-    assert snap == {"id": "bigint", "s": "string"}
-    time.sleep(1.1)
-    marker = spark.range(1).selectExpr("date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss\")").first()[0]
-    time.sleep(1.1)
-    spark.range(3).selectExpr("id", "cast(id as int) as s").write.mode("append").parquet(f"{tmp_dir}/in")
-    newer = drift.file_schema_snapshot(spark, f"{tmp_dir}/in", modified_after=marker)
-    assert {r.column_name: r.type_name for r in newer.collect()} == {"id": "bigint", "s": "int"}
-    assert drift.file_schema_snapshot(spark, f"{tmp_dir}/in", glob="*.nothing") is None
+def test_file_schema_snapshot_reads_just_these_files(spark, tmp_dir):
+    spark.range(3).selectExpr("id", "cast(id as string) as s").coalesce(1).write.parquet(f"{tmp_dir}/a")
+    spark.range(3).selectExpr("id", "cast(id as int) as t").coalesce(1).write.parquet(f"{tmp_dir}/b")
+    files = {d: [f"{tmp_dir}/{d}/{f}" for f in os.listdir(f"{tmp_dir}/{d}") if f.endswith(".parquet")] for d in "ab"}
+    snap = lambda names: {r.column_name: r.type_name for r in drift.file_schema_snapshot(spark, names).collect()}
+    assert snap(files["a"]) == {"id": "bigint", "s": "string"}
+    assert snap(files["a"] + files["b"]) == {"id": "bigint", "s": "string", "t": "int"}
+    assert drift.file_schema_snapshot(spark, []) is None
+    with pytest.raises(Exception, match="(?i)path|exist"):
+        drift.file_schema_snapshot(spark, [f"{tmp_dir}/none.parquet"])

@@ -1,5 +1,8 @@
 import datetime as dt
+import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from servicelake.operators import layout, verify
@@ -26,7 +29,8 @@ def test_partitioned_write_and_derived_predicates(spark, tmp_dir):
     pruned = back.where(cond & layout.partition_predicates(("1998-01-01", "1999-01-01"), {"borough": "ASIA"})).count()
     assert plain == pruned == typed.where(cond).count()
     plan = back.where(cond & layout.partition_predicates(("1998-01-01", "1999-01-01"), {"borough": "ASIA"}))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "borough_truncated" in plan
+    filters = plan.split("PartitionFilters: [", 1)[1].split("], PushedFilters", 1)[0]
+    assert "created_month" in filters and "borough_truncated" in filters
 
 
 def test_sampled_dry_run_goes_to_test_path(spark, tmp_dir):
@@ -67,8 +71,8 @@ def test_skip_report_candidates_cover_matches(spark, tmp_dir):
 def test_file_stats_compaction_and_storage_report(spark, tmp_dir):
     typed = _typed(spark)
     typed.repartition(12).write.parquet(f"{tmp_dir}/small")
-    stats = layout.needs_compaction(layout.file_stats(spark, f"{tmp_dir}/small"), max_files=10).first()
-    assert stats.files == 12 and stats.needs_compaction
+    stats = layout.needs_compaction(spark, f"{tmp_dir}/small", partition_cols=[]).first()
+    assert stats.files == stats.mergeable_files == 12 and stats.needs_compaction
     rep = {r.stage: r for r in layout.compact(spark, f"{tmp_dir}/small", f"{tmp_dir}/compacted").collect()}
     assert rep["before"].files == 12 and rep["after"].files == 1
     assert spark.read.parquet(f"{tmp_dir}/compacted").count() == typed.count()
@@ -127,3 +131,84 @@ def test_partition_scoped_compaction_in_place(spark, tmp_dir):
     assert verify.content_difference(back.select(*typed.columns), expected).count() == 0
     single_after = sorted(layout.with_file_path(spark.read.parquet(path)).where(F.col("created_month") == "2030-01-01").select("file_path").distinct().collect())
     assert single_before == single_after
+    # a second call finds nothing to do, and a compacted table of many files does not trigger
+    again = {r.stage: r for r in layout.compact_partitions(spark, path, f"{tmp_dir}/scratch2").collect()}
+    assert again["before"] == layout_row(again["after"], "before") and not os.path.exists(f"{tmp_dir}/scratch2")
+    assert not layout.needs_compaction(spark, path).first().needs_compaction
+
+
+def layout_row(row, stage):
+    from pyspark.sql import Row
+
+    return Row(stage=stage, files=row.files, bytes=row.bytes)
+
+
+def test_compaction_honours_the_target_size_and_converges(spark, tmp_dir):
+    typed = _typed(spark).withColumn("created_date", F.lit("1998-03-04").cast("timestamp_ntz")).withColumn("borough", F.lit("ASIA"))
+    path = f"{tmp_dir}/silver"
+    for k in range(4):
+        typed.where(F.col("unique_key") % 4 == k).repartition(3).transform(layout.with_partition_columns).write.mode("append").partitionBy(*layout.PARTITION_COLS).parquet(path)
+    size = layout.file_stats(spark, path).first().bytes
+    target = size // 3
+    rep = {r.stage: r for r in layout.compact_partitions(spark, path, f"{tmp_dir}/s1", target_file_bytes=target).collect()}
+    assert rep["before"].files == 12 and 2 <= rep["after"].files <= 4
+    again = {r.stage: r for r in layout.compact_partitions(spark, path, f"{tmp_dir}/s2", target_file_bytes=target).collect()}
+    assert again["before"].files == again["after"].files == rep["after"].files
+    back = layout.read_partitioned(spark, path)
+    assert verify.content_difference(back.select(*typed.columns), typed).count() == 0
+    # Z-order within the partition: files hold narrow ranges of the category
+    index = layout.file_index(spark, path, ["complaint_type"])
+    assert index.where("complaint_type_min = complaint_type_max").count() + 1 >= 1
+    assert index.agg(F.count_distinct("complaint_type_min")).first()[0] > 1
+
+
+def test_interrupted_compaction_is_finished(spark, tmp_dir, monkeypatch):
+    typed = _typed(spark)
+    path = f"{tmp_dir}/silver"
+    for k in range(2):
+        layout.write_partitioned(typed.where(F.col("unique_key") % 2 == k), path, mode="append")
+
+    def lost(*args):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(layout, "_replace_partitions", lost)
+    with pytest.raises(RuntimeError):
+        layout.compact_partitions(spark, path, f"{tmp_dir}/scratch")
+    monkeypatch.undo()
+    # half of the replaced directories are gone
+    copied = sorted(f"{m}/{b}" for m in os.listdir(f"{tmp_dir}/scratch") if "=" in m for b in os.listdir(f"{tmp_dir}/scratch/{m}") if "=" in b)
+    for d in copied[::2]:
+        shutil.rmtree(f"{path}/{d}")
+    assert layout.recover_compaction(spark, path)
+    assert not layout.recover_compaction(spark, path)
+    assert verify.content_difference(layout.read_partitioned(spark, path).select(*typed.columns), typed).count() == 0
+    assert layout.partition_file_counts(spark, path).agg(F.max("files")).first()[0] == 1
+
+
+def test_text_z_order_uses_whole_values(spark):
+    names = ["NOISE - RESIDENTIAL", "NOISE - STREET/SIDEWALK", "NOISE - VEHICLE", "NOISE - COMMERCIAL", "HEAT/HOT WATER", "RODENT"]
+    df = spark.createDataFrame([(n,) for n in names * 5], "complaint_type string")
+    z = layout.with_zorder(df, ["complaint_type"], bits=8)
+    assert [r.complaint_type for r in z.distinct().orderBy("_z").collect()] == sorted(names)
+    assert z.select("_z").distinct().count() == 6
+    many = spark.range(40_000).select(F.concat(F.lit("common prefix "), F.lpad("id", 6, "0")).alias("s"))
+    z = layout.with_zorder(many, ["s"], bits=4)
+    rows = z.groupBy("_z").agg(F.count("*").alias("n"), F.min("s").alias("a"), F.max("s").alias("b")).orderBy("_z").collect()
+    assert len(rows) >= 12 and all(x.b < y.a for x, y in zip(rows, rows[1:])) and max(r.n for r in rows) < 8000
+
+
+def test_hot_z_value_makes_several_files(spark, tmp_dir):
+    typed = _typed(spark).withColumns({"created_date": F.lit("1998-03-04").cast("timestamp_ntz"), "borough": F.lit("ASIA"), "complaint_type": F.lit("X")})
+    path = layout.write_zordered(typed, f"{tmp_dir}/z", num_partitions=8)
+    assert layout.file_stats(spark, path).first().files >= 6
+
+
+def test_empty_key_and_digit_prefixes(spark, tmp_dir):
+    rows = [(1, "1998-01-02", ""), (2, "1998-01-03", "7TH"), (3, "1998-01-04", "8TH"), (4, "1998-01-05", None)]
+    df = spark.createDataFrame(rows, "k int, created_date string, borough string").withColumn("created_date", F.col("created_date").cast("timestamp_ntz"))
+    path = layout.write_partitioned(df, f"{tmp_dir}/p")
+    back = layout.read_partitioned(spark, path)
+    assert dict(back.dtypes)["borough_truncated"] == "string" and dict(back.dtypes)["created_month"] == "date"
+    for value, keys_ in (("", [1]), ("7TH", [2])):
+        got = back.where((F.col("borough") == value) & layout.partition_predicates(None, {"borough": value})).select("k").collect()
+        assert [r.k for r in got] == keys_
