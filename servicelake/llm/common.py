@@ -115,7 +115,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word bytes -> 64-bit hash, remembered up to a fixed number of words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         super().__init__()
         self.most = most
 

@@ -1,6 +1,7 @@
 """Operator 6: token ids as Parquet list columns.
 
-Documents are range-partitioned and sorted by ``doc_id``; each task encodes
+Documents are dealt to ranges of ``doc_id`` (by quantiles of the id column alone,
+so no text is read for them) and sorted; each task encodes
 its range in order and Spark's Parquet writer lays it out: format version 2
 with dictionary pages for the ids (delta-packed where a dictionary does not
 pay) and delta-packed metadata, row groups and pages of a set size, and page
@@ -27,6 +28,22 @@ from servicelake.llm.tokens import DEFAULT_TOKENIZER, encoder
 SCHEMA = "part long, doc_id long, start_in_part long, n_tokens long, ids array<int>"
 
 
+def _bounds(rows: DataFrame, parts: int) -> list[int]:
+    """Quantiles of the ids that cut them into ``parts`` ranges: a bounded sketch over the id column alone."""
+    cuts = [k / parts for k in range(1, parts)]
+    found = rows.agg(F.percentile_approx("doc_id", cuts, 10_000)).first()[0] if cuts else None
+    return sorted(set(found or []))
+
+
+def _part(key: Column, bounds: list[int], low: int = 0, high: int | None = None) -> Column:
+    """The number of bounds below the key, by halving; a null key comes first."""
+    high = len(bounds) if high is None else high
+    if low >= high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(F.lit(bounds[middle]) < key, _part(key, bounds, middle + 1, high)).otherwise(_part(key, bounds, low, middle))
+
+
 def write_tokens(
     docs: DataFrame,
     path: str,
@@ -43,9 +60,10 @@ def write_tokens(
     rows with the same id stand in the order of their text's hash; other columns are
     ignored; an empty table gives files without rows.
     """
-    order = ["doc_id", "text_key"]
-    rows = documents(docs).withColumn("text_key", text_key())
-    ranged = (rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)).sortWithinPartitions(*order)
+    rows = documents(docs)
+    n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.withColumns({"text_key": text_key(), "part": _part(F.col("doc_id"), _bounds(rows, n))})
+    ranged = ranged.repartitionById(n, "part").drop("part").sortWithinPartitions("doc_id", "text_key")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         part, start = TaskContext.get().partitionId(), 0
@@ -60,7 +78,7 @@ def write_tokens(
             start += int(ends[-1])
 
     options = {
-        "compression": "zstd", "parquet.writer.version": "v2", "parquet.enable.dictionary": "true",
+        "compression": "snappy", "parquet.writer.version": "v2", "parquet.enable.dictionary": "true",
         "parquet.block.size": str(row_group_bytes), "parquet.page.size": str(page_bytes), "parquet.page.row.count.limit": str(page_rows),
     }
     ranged.mapInArrow(run, SCHEMA).write.options(**options).parquet(path)

@@ -187,7 +187,7 @@ def _convolve(x: np.ndarray, filters: np.ndarray) -> np.ndarray:
 class Scorer:
     """Applies a model; keeps the filters' answers to the words seen, up to ``most`` words."""
 
-    def __init__(self, model: Model, most: int = 200_000):
+    def __init__(self, model: Model, most: int = 120_000):
         self.model, self.most = model, most
         self.widths = model.widths()
         # columns: for each width and place in the filter, its filters
