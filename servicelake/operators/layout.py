@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -322,8 +322,8 @@ def small_file_partitions(
     values = [_partition_of(F.col("file_path"), c).alias(c) for c in partition_cols]
     small = F.col("length") < 0.75 * target_file_bytes
     per = files.groupBy(*values).agg(F.count_if(small).alias("small_files"), F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    # rewriting must leave fewer files, or it is not worth it (and would never end)
-    return per.where((F.col("small_files") >= 2) & (F.col("files") > F.ceil(F.col("bytes") / target_file_bytes)))
+    # rewriting must halve the files at least, or it is not worth it (and might never end)
+    return per.where((F.col("small_files") >= 2) & (F.col("files") >= 2 * F.ceil(F.col("bytes") / target_file_bytes)))
 
 
 def needs_compaction(
@@ -446,7 +446,11 @@ def _write_sized(
     boundaries for each such partition, so its files keep narrow min/max.
     """
     zcols = [c for c in zorder_by if c in df.columns]
-    named = parts.toDF(*[f"_p_{c}" for c in partition_cols], "_n")
+    # files are numbered through all partitions (a list of folders), and each is one task's
+    earlier = Window.orderBy(*partition_cols).rowsBetween(Window.unboundedPreceding, -1)
+    named = parts.select(*partition_cols, "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    named = named.toDF(*[f"_p_{c}" for c in partition_cols], "_n", "_first")
+    total = parts.agg(F.sum("_n")).first()[0]
     on = None
     for c in partition_cols:
         eq = _directory_value(c) == F.url_decode(F.replace(F.col(f"_p_{c}"), F.lit("+"), F.lit("%2B")))
@@ -473,8 +477,9 @@ def _write_sized(
         keyed = rows.withColumns({f"_d_{i}": _directory_value(c) for i, c in enumerate(partition_cols)})
         keys = [f"_d_{i}" for i in range(len(partition_cols))]
         rows = keyed.join(bounded_broadcast(cuts), keys, "left").withColumn("_file", F.coalesce(F.size(F.filter("_cuts", lambda x: x < F.col("_place"))), F.lit(0))).drop(*keys, "_cuts")
-    out = rows.repartition(*partition_cols, F.col("_file")).sortWithinPartitions(*partition_cols, *sort)
-    out.drop("_n", "_place", "_file", Z_COL).write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(path)
+    out = rows.withColumn("_file", (F.col("_first") + F.col("_file")).cast("int")).repartitionById(int(total), "_file")
+    out = out.sortWithinPartitions(*partition_cols, *sort)
+    out.drop("_n", "_first", "_place", "_file", Z_COL).write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(path)
 
 
 def _marker(path: str) -> str:

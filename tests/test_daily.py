@@ -95,6 +95,7 @@ def _lost(*args, **kwargs):
 def test_rows_of_a_failed_run_are_taken_up(spark, tmp_dir, monkeypatch, where, first_run):
     raw = raw_requests(spark, SF_SMALL).where("unique_key % 10 < 3").cache()
     cfg = _cfg(tmp_dir, raw.schema)
+    cfg.gold_checks = cfg.trends_checks = []  # so few rows leave groups without a closed request
     previous = None
     if not first_run:
         _arrive(raw, tmp_dir, 0)
@@ -125,6 +126,7 @@ def test_old_file_with_a_lacking_column_is_gated(spark, tmp_dir):
     raw = raw_requests(spark, SF_SMALL)
     cfg = _cfg(tmp_dir, raw.schema)
     _arrive(raw, tmp_dir, 0)
+    cfg.gold_checks = cfg.trends_checks = []
     first = run_daily(spark, cfg, fixture_targets(spark))
     before = set(os.listdir(cfg.incoming_path))
     raw.where("load_id = 1").drop("borough").coalesce(1).write.mode("append").parquet(cfg.incoming_path)
@@ -140,6 +142,7 @@ def test_old_versions_are_expired(spark, tmp_dir):
     raw = raw_requests(spark, SF_SMALL).where("unique_key % 10 < 2").cache()
     cfg = _cfg(tmp_dir, raw.schema)
     cfg.keep_versions = 2
+    cfg.gold_checks = cfg.trends_checks = []
     previous = None
     for load in range(4):
         _arrive(raw, tmp_dir, load)
@@ -155,7 +158,7 @@ def test_backfill_lands_a_range_once(spark, tmp_dir):
     with pytest.raises(ValueError):
         run_backfill(spark, cfg, fixture_targets(spark), raw, "1999-01-01", "1999-01-01")
     cfg.staging_checks = cfg.staging_checks[1:3]
-    cfg.gold_checks = []
+    cfg.gold_checks = cfg.trends_checks = []
     report = run_backfill(spark, cfg, fixture_targets(spark), raw, "1998-01-01", "1999-01-01")
     within = raw.where("created_date >= '1998-01-01' and created_date < '1999-01-01'")
     full = _rebuilt(within)
