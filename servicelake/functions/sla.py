@@ -58,20 +58,20 @@ def trend_direction(current: str | Column, earliest: str | Column) -> Column:
     )
 
 
-def pct_reduction(before: str | Column, after: str | Column) -> Column:
-    """P20: ``(before - after) / before * 100``; positive means smaller."""
-    before, after = _c(before), _c(after)
-    return F.try_divide((before - after).cast("double"), before.cast("double")) * F.lit(100.0)
-
-
-def pct_change_label(before: str | Column, after: str | Column, label: str) -> Column:
-    """P20: ``'-x.x% vs label'`` for a reduction, ``'+x.x% vs label'`` for growth."""
-    pct = pct_reduction(before, after)
-    sign = F.when(pct >= 0, F.lit("-")).otherwise(F.lit("+"))
-    return F.when(
-        pct.isNotNull(),
-        F.concat(F.lit("("), sign, F.format_string("%.1f", F.abs(pct)), F.lit(f"% vs {label})")),
-    )
+def relative_saving(old: str | Column, new: str | Column) -> Column:
+    """P20: the share of ``old`` that ``new`` saves, in percent (negative: it takes more; NULL for nothing to compare)."""
+    old, new = _c(old).cast("double"), _c(new).cast("double")
+    return F.lit(100.0) - F.try_divide(new, old) * F.lit(100.0)
+
+
+def change_note(old: str | Column, new: str | Column, against: str) -> Column:
+    """P20 as text: the signed change of size against a named stage.
+
+    Fixed value: the form of the text, ``(-12.3% vs stage)``; no change shows a minus.
+    """
+    change = F.negate(relative_saving(old, new))
+    shown = F.format_string("%.1f", F.abs(change))
+    return F.concat(F.lit("("), F.when(change > 0, "+").when(change.isNotNull(), "-"), shown, F.lit(f"% vs {against})"))
 
 
 def speedup(baseline: str | Column, current: str | Column) -> Column:

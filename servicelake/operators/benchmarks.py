@@ -109,6 +109,7 @@ def stage_comparison(medians: DataFrame, layouts: list[str], baseline: str) -> D
         "stage",
         "storage_format",
         "median_seconds",
+        # The texts of a report's cells.
         F.when(F.col("median_seconds").isNull(), F.lit("PENDING"))
         .otherwise(F.format_string("%.2fs", F.col("median_seconds")))
         .alias("time_label"),
@@ -134,13 +135,13 @@ def incremental_vs_full(run_metrics: DataFrame) -> DataFrame:
     ``run_metrics`` has ``mode`` (``full_refresh``/``incremental``) and
     ``bytes_scanned`` columns, one row per run.
     """
-    from servicelake.functions.sla import pct_reduction
+    from servicelake.functions.sla import relative_saving
 
     agg = run_metrics.agg(
         F.sum(F.when(F.col("mode") == "full_refresh", F.col("bytes_scanned"))).alias("full_refresh_bytes"),
         F.sum(F.when(F.col("mode") == "incremental", F.col("bytes_scanned"))).alias("incremental_bytes"),
     )
-    return agg.withColumn("reduction_percentage", F.coalesce(pct_reduction("full_refresh_bytes", "incremental_bytes"), F.lit(0.0)))
+    return agg.withColumn("reduction_percentage", F.coalesce(relative_saving("full_refresh_bytes", "incremental_bytes"), F.lit(0.0)))
 
 
 def timing_record(storage_format: str, query: str, run: int, seconds: float, files: int | None, rows: int | None) -> tuple:

@@ -142,6 +142,7 @@ def _py_list(col: str) -> Column:
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
+# The wording of a verdict's description below.
 def drift_verdict(diff: DataFrame) -> DataFrame:
     """D3: one row -- ``is_breaking`` (removal or retype) and a description.
 

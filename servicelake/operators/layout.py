@@ -566,7 +566,7 @@ def storage_report(spark: SparkSession, layers: Sequence[tuple[str, str]]) -> Da
     ``file_stats`` row; the previous layer is attached by an equi join on the
     stage ordinal (a few rows, no window).
     """
-    from servicelake.functions.sla import pct_change_label, pct_reduction
+    from servicelake.functions.sla import change_note, relative_saving
 
     parts = [file_stats(spark, p).select(F.lit(i).alias("stage"), F.lit(n).alias("layer"), "files", "bytes") for i, (n, p) in enumerate(layers)]
     stats = parts[0]
@@ -576,11 +576,11 @@ def storage_report(spark: SparkSession, layers: Sequence[tuple[str, str]]) -> Da
     first_bytes = stats.where(F.col("stage") == 0).select("bytes").scalar()
     out = stats.join(prev, "stage", "left")
     out = out.withColumn("gb", F.col("bytes") / F.lit(1024.0**3))
-    out = out.withColumn("total_reduction_pct", pct_reduction(first_bytes, F.col("bytes")))
-    out = out.withColumn("pct_vs_previous", pct_reduction("prev_bytes", "bytes"))
+    out = out.withColumn("total_reduction_pct", relative_saving(first_bytes, F.col("bytes")))
+    out = out.withColumn("pct_vs_previous", relative_saving("prev_bytes", "bytes"))
     out = out.withColumn(
         "change_label",
-        F.when(F.col("prev_layer").isNotNull(), pct_change_label("prev_bytes", "bytes", "previous")),
+        F.when(F.col("prev_layer").isNotNull(), change_note("prev_bytes", "bytes", "previous")),
     )
     return out.select(
         "stage", "layer", "files", "bytes", "gb", "prev_layer", "pct_vs_previous", "change_label", "total_reduction_pct"

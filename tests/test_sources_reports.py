@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from servicelake.functions.sla import pct_change_label, pct_reduction, speedup
+from servicelake.functions.sla import change_note, relative_saving, speedup
 from servicelake.operators import benchmarks, layout
 from servicelake.sources import tables
 from tests.conftest import SF_SMALL
@@ -56,7 +56,7 @@ def test_metrics_sink(spark, tmp_dir):
 
 def test_percent_and_speedup_labels(spark):
     df = spark.createDataFrame([(18.4, 2.42), (1.24, 1.60), (0.0, 1.0), (None, 1.0), (1.0, 25.0)], "a double, b double")
-    rows = df.select(pct_reduction("a", "b").alias("p"), pct_change_label("a", "b", "x").alias("l"), speedup("a", "b").alias("s")).collect()
+    rows = df.select(relative_saving("a", "b").alias("p"), change_note("a", "b", "x").alias("l"), speedup("a", "b").alias("s")).collect()
     assert rows[0].l == "(-86.8% vs x)" and rows[1].l == "(+29.0% vs x)"
     assert rows[4].l == "(+2400.0% vs x)"  # no thousands separator
     assert rows[2].p is None and rows[3].s is None
