@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelake.llm.common import chunks, documents, written
+from servicelake.llm.common import chunks, documents, release, written
 
 SCHEMA = "block long, ids binary, missing binary, sizes binary, payload binary"
 
@@ -49,6 +49,7 @@ class Block:
 
 
 def read_block(row: dict) -> Block:
+    release()  # what the block before took
     return Block(row["block"], np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["missing"], np.bool_), np.frombuffer(row["sizes"], "<i8"), unpack(row["payload"]))
 
 

@@ -83,6 +83,16 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return col.cast(kind).to_pylist()
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks and stages."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; other systems do without
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches that hold about ``max_bytes`` of text at most (one row at least)."""
     for batch in batches:
@@ -93,6 +103,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
             last = max(first + 1, int(np.searchsorted(sizes, base + max_bytes, side="right")))
             yield batch.slice(first, last - first)
             first = last
+            release()
 
 
 def chunks(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -114,7 +114,7 @@ def pack(
             for at in range(0, out.num_rows, 4096):
                 yield out.slice(at, 4096)
 
-        for rows in slices(batches, "text", 1 << 24):
+        for rows in slices(batches, "text", 1 << 23):
             flat, ends = encode(rows.column("text"), end_id)
             blob, at = memoryview(flat).cast("B"), 0
             for doc_id, end in zip(rows.column("doc_id").to_pylist(), (4 * ends).tolist(), strict=True):

@@ -67,7 +67,7 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         part, start = TaskContext.get().partitionId(), 0
-        for rows in slices(batches, "text", 1 << 24):
+        for rows in slices(batches, "text", 1 << 23):
             ids, ends = encode(rows.column("text"), end_id)
             sizes = np.diff(ends, prepend=0)
             column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.view("<i4")))
