@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from servicelake.functions.sla import days_over, safe_ratio, sla_breach, trend_direction, within_sla
@@ -57,8 +58,8 @@ def test_performance_asymmetry_and_percentiles(spark):
     assert p.sla_breach_count == 3  # 8, 13, 21 > 7; the anomaly is not counted
     assert p.sla_breach_rate == 3 / 8  # denominator includes the anomalous closed row
     assert p.avg_resolution_days == np.mean(days)
-    assert p.p50_resolution_days == round(float(np.percentile(days, 50)), 6)
-    assert p.p90_resolution_days == round(float(np.percentile(days, 90)), 6)
+    assert p.p50_resolution_days == pytest.approx(float(np.percentile(days, 50)), abs=1e-9)
+    assert p.p90_resolution_days == pytest.approx(float(np.percentile(days, 90)), abs=1e-9)
 
 
 def test_zero_closed_group_has_null_rate(spark):
