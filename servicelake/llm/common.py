@@ -60,7 +60,16 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Remove a table that ``written`` made, once all that is made of it has been written in turn."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_key() -> Column:

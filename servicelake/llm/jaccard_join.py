@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelake.llm.common import WordHashes, bitmap, chunks, documents, in_bitmap, lists, mix64, ngram_hashes, text_key, written
+from servicelake.llm.common import WordHashes, bitmap, chunks, documents, forget, in_bitmap, lists, mix64, ngram_hashes, text_key, written
 from servicelake.llm.graph import components
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -341,18 +341,22 @@ def schema_names(schema: str) -> list[str]:
 def link_sets(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     """(members, components): (doc_id, text_key, n, node) of every document, and (node, component) of every linked node."""
     rows = documents(docs).withColumn("text_key", text_key())
-    members = written(_sets(rows, rule), "members")
-    counts = members.where("n > 0").groupBy("node").agg(F.first("tokens").alias("tokens")).select(F.explode("tokens").alias("token")).groupBy("token").count()
+    prefixes = written(_sets(rows, rule), "prefixes")
+    members = written(prefixes.drop("tokens"), "members")
+    counts = prefixes.where("n > 0").groupBy("node").agg(F.first("tokens").alias("tokens")).select(F.explode("tokens").alias("token")).groupBy("token").count()
     frequent = rows.sparkSession.sparkContext.broadcast(bitmap(counts.where(F.col("count") > rule.frequent_from), "token"))
+    forget(prefixes)
     signed = written(_signed(rows, rule, frequent), "signed")
-    nodes = signed.select("node", "n", "bits").dropDuplicates(["node"])
+    nodes = written(signed.select("node", "n", "bits").dropDuplicates(["node"]), "nodes")
     postings = signed.select(F.explode("signatures").alias("signature"), "node", "n")
     shared = postings.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("signature")
     postings = written(postings.join(shared, "signature").distinct(), "postings")
+    forget(signed)
     weights = postings.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
     weighted = postings.join(weights, "node")
     centres = weighted.groupBy("signature").agg(F.max(F.struct("weight", "node", "n")).alias("centre"))
-    postings = written(weighted.drop("weight").join(centres, "signature"), "centred")
+    plain, postings = postings, written(weighted.drop("weight").join(centres, "signature"), "centred")
+    forget(plain)
 
     links = found = None
     close = written(_within_bound(_star_pairs(postings, rule), nodes, rule), "close")
@@ -367,7 +371,7 @@ def link_sets(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFram
             found = written(components(links), "components")
     if found is None:
         found = rows.sparkSession.createDataFrame([], "node long, component long")
-    return members.drop("tokens"), found
+    return members, found
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
