@@ -30,7 +30,7 @@ def tokenizer_path(name: str) -> str:
 
 
 class Encoder:
-    def __init__(self, name: str, most: int = 300_000):
+    def __init__(self, name: str, most: int = 500_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
