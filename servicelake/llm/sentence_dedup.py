@@ -1,114 +1,227 @@
 """Operator 7: substring deduplication by sliding sentence spans.
 
 Texts are cut into sentences (at ``.``, ``!``, ``?`` and line ends); a
-sentence of many words is cut on after words that their own hash picks, so a
-passage is cut alike wherever it stands.  Every run of ``span`` consecutive
-sentences (of more, if they have few words) is hashed, the hashes are joined globally, and the sentences of
-every span but a hash's first (smallest document, then place) are removed.
-
-The join works on hashes, ids and places.  A first pass finds the spans that
-recur and where each one's first stands, with partial sums before the shuffle,
-so a span that a third of all documents hold is one row of each task.
+sentence of more than ``_WINDOW`` words is cut on after the words whose hash is
+the least of a window of ``_WINDOW`` words (the last such word, if several are), so a
+passage is cut alike wherever it stands, but for ``_WINDOW`` words at either
+end, and no piece is longer.  Every run of ``span`` consecutive pieces (of
+more, if they have few words) is hashed, the hashes are joined globally, and the pieces of
+every run but a hash's first (smallest document, then place) are removed.
+
+A passage of 51 words in mid-sentence shares 32 words at least that are cut
+alike, and the runs in them cover all of these.
+
+Most runs stand once.  So a chunk of documents first asks each hash partition
+which of its distinct hashes other chunks have too: some bytes for each, and a
+run that a third of all documents hold is one entry of a chunk.  Only runs that
+recur become rows; where each one's first stands is found with partial sums
+before the shuffle.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from servicelake.llm.common import WordHashes, chunks, mix64, text_key, utf8, written
+from servicelake.llm.blocks import decode_keys, encode_keys, gathered, pack, partition_of, unpack
+from servicelake.llm.common import WordHashes, chunks, forget, mix64, text_key, utf8, written
 
-_SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?\n]+[ \t]*)?")
-_LONG = 24
-_CUT = 12
-_ALONE = re.compile(rb"\s*\S+\s*|\s+")
+#: A word with the space about it; with a stop, the last of its sentence.
+_TOKEN = re.compile(rb"[^\S\n]*[^\s.!?]*(?:[.!?\n]+[ \t]*|[^\S\n]+)?")
+_WINDOW = 10
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
+#: Low bits of a token's value: whether it ends a sentence, and how many words it has.
+_FLAGS = 4
+_HASH = np.uint64((1 << 64) - (1 << _FLAGS))
+_HALF, _LOW = np.uint64(32), np.uint64((1 << 32) - 1)
+
 SPANS = "doc_id long, text_key long, place int, size int, span long"
+CHUNKS = "block long, n long, doc_id array<long>, text_key array<long>, runs binary, spans binary"
+#: Runs for each hash partition, and bytes that tell those of a partition apart (beyond them, rows do).
+PART_RUNS = 1 << 19
+KEY_BYTES = 4
+
+
+class Tokens(WordHashes):
+    """Token bytes -> hash of its words, lower-cased (A-Z), with flags in the low bits."""
+
+    def __init__(self, most: int = 250_000):
+        super().__init__(most)
+        import xxhash
+
+        self.digest = xxhash.xxh3_64_intdigest
+
+    def __missing__(self, token: bytes) -> int:
+        word = token.strip()
+        many, ends = 1 if word else 0, word.endswith((b".", b"!", b"?"))
+        if b"\n" in token:  # the one space that may stand within
+            words = word.split()
+            word, many, ends = b" ".join(words), min(len(words), 7), True
+        value = self.digest(word.lower()) >> _FLAGS << _FLAGS | many << 1 | ends
+        if len(self) >= self.most:
+            self.clear()
+        self[token] = value
+        return value
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """For each window, the place of the last of its least hashes (their upper halves)."""
+    least = (hashes >> _HALF << _HALF) + np.arange(len(hashes))[::-1].astype(np.uint64)
+    wide = 1
+    while wide < _WINDOW:
+        more = min(wide, _WINDOW - wide)
+        least = np.minimum(least[:-more], least[more:])
+        wide += more
+    return len(hashes) - 1 - (least & _LOW).astype(np.int64)
+
+
+def cut(text: bytes, known: Tokens) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The tokens of a text, their values, and how many tokens end with each piece."""
+    tokens = _TOKEN.findall(text)
+    if tokens and not tokens[-1]:
+        tokens.pop()
+    values = known.of(tokens)
+    n = len(tokens)
+    is_end = values & np.uint64(1) == 1
+    if n:
+        is_end[-1] = True
+    ends = np.flatnonzero(is_end) + 1
+    if n > _WINDOW and np.diff(ends, prepend=0).max() > _WINDOW:
+        # windows that lie in one sentence, of those that are longer than a window
+        first = np.concatenate([[0], ends[:-1]])
+        of = np.repeat(np.arange(len(ends)), ends - first)
+        long = ends - first > _WINDOW
+        whole = (of[: n - _WINDOW + 1] == of[_WINDOW - 1 :]) & long[of[: n - _WINDOW + 1]]
+        is_end[_least(values)[whole]] = True
+        ends = np.flatnonzero(is_end) + 1
+    return tokens, values, ends
+
 
+def sentences(text: bytes, known: Tokens | None = None) -> list[bytes]:
+    """The pieces of a text; together they are the text."""
+    tokens, _, ends = cut(text, Tokens() if known is None else known)
+    ends = ends.tolist()
+    return [b"".join(tokens[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
-def sentences(text: bytes) -> list[bytes]:
-    """The sentences of a text; together they are the text."""
-    out = []
-    for s in _SENTENCE.findall(text):
-        if not s:
-            continue
-        if s.count(b" ") < _LONG:
-            out.append(s)
-            continue
-        piece = b""
-        for word in _ALONE.findall(s):
-            piece += word
-            if zlib.crc32(word.strip().lower()) % _CUT == 0:
-                out.append(piece)
-                piece = b""
-        if piece:
-            out.append(piece)
-    return out
-
-
-def span_hashes(parts: list[bytes], span: int, min_words: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of the first sentence, number of sentences, hash) of the runs of a text.
-
-    From every sentence on, and back from every sentence, the run of ``span``
-    sentences, or of as many more as it takes to have ``min_words`` words.  So
-    every sentence of a passage is in runs that lie in the passage, its ends
-    included.  A sentence counts by its words, lower-cased (A-Z), whatever
+
+def span_hashes(text: bytes, span: int, min_words: int, known: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the first piece, number of pieces, hash) of the runs of a text.
+
+    From every piece on, and back from every piece, the run of ``span``
+    pieces, or of as many more as it takes to have ``min_words`` words.  So
+    every piece of a passage is in runs that lie in the passage, its ends
+    included.  A piece counts by its words, lower-cased (A-Z), whatever
     stands between them.
     """
-    n = len(parts)
+    _, values, ends = cut(text, known)
+    n = len(ends)
     if n < span:
         return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
-    words = [p.lower().split() for p in parts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    flat = known.of([x for w in words for x in w])
-    # a sentence's hash: its word hashes, each turned by its place, summed
-    ends = np.cumsum(sizes)
-    turned = mix64(flat + (np.arange(len(flat)) - np.repeat(ends - sizes, sizes)).astype(np.uint64) * _ODD)
+    counts = ((values >> np.uint64(1)) & np.uint64(7)).astype(np.int64)
+    flat = values[counts > 0] & _HASH
+    starts = np.concatenate([[0], ends])
+    words = np.concatenate([[0], np.cumsum(counts)])[starts]
+    ends = np.concatenate([[0], np.cumsum(counts > 0)])[starts]
+    sizes = np.diff(ends)
+    # a piece's hash: its token hashes, each turned by its place, summed
+    turned = mix64(flat + (np.arange(len(flat)) - np.repeat(ends[:-1], sizes)).astype(np.uint64) * _ODD)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(turned, dtype=np.uint64)])
-    own = mix64(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64))
-    # a run's: the sentences' hashes times powers, summed, and turned back to its start
+    own = mix64(sums[ends[1:]] - sums[ends[:-1]] + sizes.astype(np.uint64))
+    # a run's: the pieces' hashes times powers, summed, and turned back to its start
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _ODD)]), dtype=np.uint64)
         back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _ODD_INVERSE)]), dtype=np.uint64)
         chain = np.concatenate([[np.uint64(0)], np.cumsum(own * powers[:-1], dtype=np.uint64)])
-    before = np.concatenate([[0], ends])
     at = np.arange(n + 1)
-    stop = np.maximum(at + span, np.searchsorted(before, before + min_words))
-    start = np.minimum(at - span, np.searchsorted(before, before - min_words, side="right") - 1)
-    runs = np.unique(np.concatenate([np.stack([at, stop], 1)[stop <= n], np.stack([start, at], 1)[start >= 0]]), axis=0)
-    first, last = runs[:, 0], runs[:, 1]
+    stop = np.maximum(at + span, np.searchsorted(words, words + min_words))
+    start = np.minimum(at - span, np.searchsorted(words, words - min_words, side="right") - 1)
+    runs = np.unique(np.concatenate([(at * (n + 1) + stop)[stop <= n], (start * (n + 1) + at)[start >= 0]]))
+    first, last = runs // (n + 1), runs % (n + 1)
     with np.errstate(over="ignore"):
         out = mix64((chain[last] - chain[first]) * back[first] + (last - first).astype(np.uint64))
     return first.astype(np.int32), (last - first).astype(np.int32), out.view(np.int64)
 
 
+def _asked(parts: int):
+    """Each chunk's distinct hashes to their partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, spans in zip(batch.column("block").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                keys = np.unique(np.frombuffer(spans, "<u8"))
+                cuts = np.searchsorted(partition_of(keys, parts), np.arange(parts + 1)).tolist()
+                out = [(p, block, encode_keys(keys[a:b], p, parts, KEY_BYTES)) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.binary()], strict=True)], names=["part", "block", "codes"])
+
+    return run
+
+
+def _answer(frame: pd.DataFrame) -> pd.DataFrame:
+    """One bit for each hash asked for: whether another of this partition's chunks, or a neighbour that looks like it, has it."""
+    codes = [decode_keys(x, KEY_BYTES) for x in frame["codes"]]
+    flat = np.concatenate(codes)
+    order = np.argsort(flat, kind="stable")
+    same = flat[order][1:] == flat[order][:-1]
+    many = np.empty(len(flat), bool)
+    many[order] = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    ends = np.cumsum([len(c) for c in codes]).tolist()
+    replies = [np.packbits(many[e - len(c) : e]).tobytes() + len(c).to_bytes(4, "little") for c, e in zip(codes, ends, strict=True)]
+    return pd.DataFrame({"block": frame["block"], "part": frame["part"], "answer": replies})
+
+
+def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs whose hash another chunk has, or the chunk has twice."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            spans = np.frombuffer(batch.column("spans")[k].as_py(), "<u8")
+            keys, index, counts = np.unique(spans, return_inverse=True, return_counts=True)
+            given = sorted((r["part"], r["answer"]) for r in batch.column("replies")[k].as_py() or [])
+            many = np.concatenate([np.unpackbits(np.frombuffer(a[:-4], np.uint8), count=int.from_bytes(a[-4:], "little")) for _, a in given] or [np.empty(0, np.uint8)])
+            at = np.flatnonzero((many.astype(bool) | (counts > 1))[index])
+            docs = batch.column("doc_id")[k].values
+            runs = np.frombuffer(unpack(batch.column("runs")[k].as_py()), "<i4")
+            of = pa.array(np.repeat(np.arange(len(docs)), runs[: len(docs)])[at])
+            place, size = runs[len(docs) :].reshape(2, -1)
+            place = (np.cumsum(place, dtype=np.int64)[at]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([docs.take(of), batch.column("text_key")[k].values.take(of), pa.array(place), pa.array(size[at]), pa.array(spans[at].view(np.int64))], names=["doc_id", "text_key", "place", "size", "span"])
+
+
 def find_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataFrame:
-    """(doc_id, text_key, place, size) of every span that is not the first of its words; ``place`` counts sentences from 0."""
+    """(doc_id, text_key, place, size) of every run that is not the first of its words; ``place`` counts pieces from 0."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     keyed = rows.withColumn("text_key", text_key())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = Tokens()
+        block = TaskContext.get().partitionId() << 32
         for batch, texts in chunks(batches, "text", 1 << 22):
-            places, many, spans = zip(*(span_hashes(sentences(t), span, min_words, known) for t in texts), strict=True)
-            sizes = [len(x) for x in places]
-            of = np.repeat(np.arange(len(texts)), sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(of)), batch.column("text_key").take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.concatenate(many)), pa.array(np.concatenate(spans))],
-                names=["doc_id", "text_key", "place", "size", "span"],
-            )
-
-    spans = written(keyed.mapInArrow(run, SPANS), "spans")
+            places, many, spans = zip(*(span_hashes(t, span, min_words, known) for t in texts), strict=True)
+            sizes = np.array([len(x) for x in places], np.int32)
+            steps = np.diff(np.concatenate(places), prepend=np.int32(0))  # small, so they take little
+            runs = pack(np.concatenate([sizes, steps, *many]).astype("<i4").tobytes())
+            own = np.array([0, len(texts)], np.int32)
+            columns = [pa.ListArray.from_arrays(own, batch.column(c)) for c in ("doc_id", "text_key")]
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([int(sizes.sum())]), *columns, pa.array([runs]), pa.array([np.concatenate(spans).astype("<i8").tobytes()])], names=["block", "n", "doc_id", "text_key", "runs", "spans"])
+            block += 1
+
+    held = written(keyed.mapInArrow(run, CHUNKS), "runs", codec="uncompressed")
+    parts = max(1, -(-(held.agg(F.sum("n")).first()[0] or 0) // PART_RUNS))
+    asked = held.select("block", "spans").mapInArrow(_asked(parts), "part long, block long, codes binary")
+    replies = gathered(asked.groupBy("part").applyInPandas(_answer, "block long, part long, answer binary"))
+    spans = written(held.join(replies, "block", "left").mapInArrow(_recurring, SPANS), "spans")
+    forget(held)
     at = F.struct("doc_id", "text_key", "place")
     first = spans.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").select("span", "first")
     return spans.join(first, "span").where(at != F.col("first")).select("doc_id", "text_key", "place", "size")
@@ -134,10 +247,11 @@ def remove_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataF
     at = own.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Tokens()
         for batch in batches:
             out, sizes, lost = [], [], []
             for text, removed in zip(utf8(batch, "text"), batch.column("removed").to_pylist(), strict=True):
-                parts = [] if text is None else sentences(text)
+                parts = [] if text is None else sentences(text, known)
                 drop = set(removed or ())
                 out.append(None if text is None else b"".join(p for k, p in enumerate(parts) if k not in drop).decode())
                 sizes.append(len(parts))

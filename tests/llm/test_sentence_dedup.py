@@ -76,3 +76,24 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     found = sorted((str(r["doc_id"]), r["n_removed"]) for r in op.remove_repeats(frame(spark, rows)).collect())
     assert found == [("5", 3), ("5", 3), ("9", 3), ("None", 0)]
     assert op.remove_repeats(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("stops", [True, False])
+def test_every_shared_window_of_51_words_is_lost_but_for_its_ends(spark, stops):
+    """Random passages of 51 words and more in mid-sentence, against a search of all windows."""
+    rng = random.Random(11)
+    plain = lambda n: prose(rng, n) if stops else prose(rng, n).replace(".", "").replace(",", "").replace("\n", "")
+    passages = [plain(rng.randint(51, 80)) for _ in range(30)]
+    rows = [(k, f"{plain(rng.randint(5, 60))} aa {passages[k % 30]} bb {plain(rng.randint(5, 60))}" if k < 90 else plain(100), "en", "s", 0) for k in range(110)]
+    found = {r["doc_id"]: set(r["removed"]) for r in op.remove_repeats(frame(spark, rows)).collect()}
+    seen, shared = set(), 0
+    for k, text, *_ in rows:
+        lost = [i in found[k] for i, p in enumerate(op.sentences(text.encode())) for _ in p.split()]
+        words = text.lower().split()
+        windows = [tuple(words[i : i + 51]) for i in range(len(words) - 50)]
+        again = [i for i, w in enumerate(windows) if w in seen]
+        seen.update(windows)
+        shared += len(again)
+        assert all(sum(lost[i : i + 51]) >= 51 - 2 * 10 for i in again)
+        assert again or not any(lost)
+    assert shared >= 60
