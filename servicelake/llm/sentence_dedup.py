@@ -9,7 +9,9 @@ more, if they have few words) is hashed, the hashes are joined globally, and the
 every run but a hash's first (smallest document, then place) are removed.
 
 A passage of 51 words in mid-sentence shares 32 words at least that are cut
-alike, and the runs in them cover all of these.
+alike, and the runs in them cover all of these.  In scripts without spaces a
+character is what a word is elsewhere, and counts half of one; full-width stops
+end sentences.  Windows bound the pieces of any text, whatever stands in it.
 
 Most runs stand once.  So a chunk of documents first asks each hash partition
 which of its distinct hashes other chunks have too: some bytes for each, and a
@@ -38,10 +40,23 @@ from servicelake.llm.common import WordHashes, chunks, forget, mix64, text_key,
 _TOKEN = re.compile(rb"[^\S\n]*[^\s.!?]*(?:[.!?\n]+[ \t]*|[^\S\n]+)?")
 _WINDOW = 10
 
+#: Characters of scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han), each a token that counts half a word.
+_CHAR = rb"(?:\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|[\xe3-\xe9][\x80-\xbf]{2}|\xf0[\xa0-\xbf][\x80-\xbf]{2})"
+_WIDE_STOP = rb"(?:\xe3\x80\x82|\xef\xbc[\x81\x8e\x9f]|\xef\xbd\xa1)"
+_UNSPACED = re.compile(_CHAR)
+_WIDE_LEAD = re.compile(rb"[\xe0\xe1\xe3-\xe9\xef\xf0]")
+_STOPS = re.compile(rb"(?:[.!?\n]|%b)" % _WIDE_STOP)
+_WIDE_TOKEN = re.compile(rb"[^\S\n]*(?:(?!%b)%b|(?:(?!%b|%b)[^\s.!?])*)(?:(?:[.!?\n]|%b)+[ \t]*|[^\S\n]+)?" % (_WIDE_STOP, _CHAR, _CHAR, _WIDE_STOP, _WIDE_STOP))
+
+#: A stretch without spaces of more bytes than 50 words is cut into characters, each of which counts a sixth of a word.
+_STRETCH = 306
+_CHARACTER = re.compile(rb"\s*[\x00-\x7f\xc0-\xff][\x80-\xbf]*")
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
-#: Low bits of a token's value: whether it ends a sentence, and how many words it has.
+#: Low bits of a token's value: whether it ends a sentence, and how many words it counts (in sixths, by these three bits).
+_SIXTHS = np.array([0, 6, 12, 18, 24, 30, 3, 1])
 _FLAGS = 4
 _HASH = np.uint64((1 << 64) - (1 << _FLAGS))
 _HALF, _LOW = np.uint64(32), np.uint64((1 << 32) - 1)
@@ -54,20 +69,32 @@ KEY_BYTES = 4
 
 
 class Tokens(WordHashes):
-    """Token bytes -> hash of its words, lower-cased (A-Z), with flags in the low bits."""
+    """Token bytes -> hash of its words, lower-cased (A-Z), with flags in the low bits.  A character of a long stretch is asked for as text."""
 
     def __init__(self, most: int = 250_000):
         super().__init__(most)
         import xxhash
 
         self.digest = xxhash.xxh3_64_intdigest
+        self.raised = self.lowered = np.ones(1, np.uint64)
+
+    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """``_ODD`` to the powers 0 to ``n`` at least, and its inverse."""
+        if len(self.raised) <= n:
+            self.raised, self.lowered = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(2 * n, x)]), dtype=np.uint64) for x in (_ODD, _ODD_INVERSE))
+        return self.raised, self.lowered
 
-    def __missing__(self, token: bytes) -> int:
+    def __missing__(self, token: bytes | str) -> int:
+        if isinstance(token, str):
+            return self.digest(token.lower().encode()) >> _FLAGS << _FLAGS | 7 << 1
         word = token.strip()
         many, ends = 1 if word else 0, word.endswith((b".", b"!", b"?"))
+        if not word.isascii():
+            many = 6 if _UNSPACED.match(word) else many
+            ends = _STOPS.search(word) is not None
         if b"\n" in token:  # the one space that may stand within
             words = word.split()
-            word, many, ends = b" ".join(words), min(len(words), 7), True
+            word, many, ends = b" ".join(words), min(len(words), 5) if many < 6 else many, True
         value = self.digest(word.lower()) >> _FLAGS << _FLAGS | many << 1 | ends
         if len(self) >= self.most:
             self.clear()
@@ -86,23 +113,44 @@ def _least(hashes: np.ndarray) -> np.ndarray:
     return len(hashes) - 1 - (least & _LOW).astype(np.int64)
 
 
+def _characters(tokens: list[bytes]) -> tuple[list[bytes], list[bytes | str]]:
+    """The tokens, those of long stretches character by character, and what to ask ``Tokens`` for."""
+    out: list[bytes] = []
+    asked: list[bytes | str] = []
+    for token in tokens:
+        body = token.rstrip(b".!? \t\n\r\f\v")
+        if len(body.lstrip()) > _STRETCH:
+            out += (own := _CHARACTER.findall(body))
+            asked += [c.strip().decode() for c in own]
+            token = token[len(body) :]
+        if token:
+            out.append(token)
+            asked.append(token)
+    return out, asked
+
+
 def cut(text: bytes, known: Tokens) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The tokens of a text, their values, and how many tokens end with each piece."""
-    tokens = _TOKEN.findall(text)
+    wide = not text.isascii() and _WIDE_LEAD.search(text)
+    tokens = (_WIDE_TOKEN if wide else _TOKEN).findall(text)
     if tokens and not tokens[-1]:
         tokens.pop()
-    values = known.of(tokens)
+    if tokens and len(max(tokens, key=len)) > _STRETCH:
+        tokens, asked = _characters(tokens)
+        values = known.of(asked)
+    else:
+        values = known.of(tokens)
     n = len(tokens)
     is_end = values & np.uint64(1) == 1
     if n:
         is_end[-1] = True
     ends = np.flatnonzero(is_end) + 1
-    if n > _WINDOW and np.diff(ends, prepend=0).max() > _WINDOW:
+    if n > _WINDOW:
         # windows that lie in one sentence, of those that are longer than a window
-        first = np.concatenate([[0], ends[:-1]])
-        of = np.repeat(np.arange(len(ends)), ends - first)
-        long = ends - first > _WINDOW
-        whole = (of[: n - _WINDOW + 1] == of[_WINDOW - 1 :]) & long[of[: n - _WINDOW + 1]]
+        sizes = ends.copy()
+        sizes[1:] -= ends[:-1]
+        before = np.cumsum(is_end)
+        whole = (before[_WINDOW - 1 :] - is_end[_WINDOW - 1 :] == before[: n - _WINDOW + 1] - is_end[: n - _WINDOW + 1]) & np.repeat(sizes > _WINDOW, sizes)[: n - _WINDOW + 1]
         is_end[_least(values)[whole]] = True
         ends = np.flatnonzero(is_end) + 1
     return tokens, values, ends
@@ -119,16 +167,19 @@ def span_hashes(text: bytes, span: int, min_words: int, known: Tokens) -> tuple[
     """(place of the first piece, number of pieces, hash) of the runs of a text.
 
     From every piece on, and back from every piece, the run of ``span``
-    pieces, or of as many more as it takes to have ``min_words`` words.  So
+    pieces, or of as many more as it takes to have ``min_words`` words; of a
+    text of fewer pieces but so many words, all of it.  So
     every piece of a passage is in runs that lie in the passage, its ends
     included.  A piece counts by its words, lower-cased (A-Z), whatever
     stands between them.
     """
     _, values, ends = cut(text, known)
     n = len(ends)
-    if n < span:
+    counts = _SIXTHS[((values >> np.uint64(1)) & np.uint64(7)).astype(np.int64)]
+    if 0 < n < span and counts.sum() >= 6 * min_words:
+        span = n  # a whole text of few pieces
+    if n < span or not n:
         return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
-    counts = ((values >> np.uint64(1)) & np.uint64(7)).astype(np.int64)
     flat = values[counts > 0] & _HASH
     starts = np.concatenate([[0], ends])
     words = np.concatenate([[0], np.cumsum(counts)])[starts]
@@ -140,12 +191,11 @@ def span_hashes(text: bytes, span: int, min_words: int, known: Tokens) -> tuple[
     own = mix64(sums[ends[1:]] - sums[ends[:-1]] + sizes.astype(np.uint64))
     # a run's: the pieces' hashes times powers, summed, and turned back to its start
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _ODD)]), dtype=np.uint64)
-        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _ODD_INVERSE)]), dtype=np.uint64)
-        chain = np.concatenate([[np.uint64(0)], np.cumsum(own * powers[:-1], dtype=np.uint64)])
+        powers, back = known.powers(n)
+        chain = np.concatenate([[np.uint64(0)], np.cumsum(own * powers[:n], dtype=np.uint64)])
     at = np.arange(n + 1)
-    stop = np.maximum(at + span, np.searchsorted(words, words + min_words))
-    start = np.minimum(at - span, np.searchsorted(words, words - min_words, side="right") - 1)
+    stop = np.maximum(at + span, np.searchsorted(words, words + 6 * min_words))
+    start = np.minimum(at - span, np.searchsorted(words, words - 6 * min_words, side="right") - 1)
     runs = np.unique(np.concatenate([(at * (n + 1) + stop)[stop <= n], (start * (n + 1) + at)[start >= 0]]))
     first, last = runs // (n + 1), runs % (n + 1)
     with np.errstate(over="ignore"):
@@ -244,20 +294,23 @@ def remove_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataF
     both = left.join(right, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__key") == F.col("__gone_key")), "left").select(*own, "removed")
     schema = docs.select(*own).schema.add("n_sentences", "long").add("n_removed", "long").add("removed", ArrayType(IntegerType()))
     names = schema.fieldNames()
-    at = own.index("text")
+    text_at = own.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Tokens()
         for batch in batches:
             out, sizes, lost = [], [], []
             for text, removed in zip(utf8(batch, "text"), batch.column("removed").to_pylist(), strict=True):
-                parts = [] if text is None else sentences(text, known)
+                tokens, _, ends = ([], None, []) if text is None else cut(text, known)
                 drop = set(removed or ())
-                out.append(None if text is None else b"".join(p for k, p in enumerate(parts) if k not in drop).decode())
-                sizes.append(len(parts))
+                if drop:
+                    at = [0, *ends.tolist()]
+                    text = b"".join(t for k in range(len(ends)) if k not in drop for t in tokens[at[k] : at[k + 1]])
+                out.append(text)
+                sizes.append(len(ends))
                 lost.append(sorted(drop))
             columns = [batch.column(k) for k in range(len(own))]
-            columns[at] = pa.array(out, pa.string())
+            columns[text_at] = pa.array(out, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array([len(x) for x in lost], pa.int64()), pa.array(lost, pa.list_(pa.int32()))], names=names)
 
     return both.mapInArrow(run, schema)

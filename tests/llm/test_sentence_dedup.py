@@ -97,3 +97,31 @@ def test_every_shared_window_of_51_words_is_lost_but_for_its_ends(spark, stops):
         assert all(sum(lost[i : i + 51]) >= 51 - 2 * 10 for i in again)
         assert again or not any(lost)
     assert shared >= 60
+
+
+def test_pieces_are_bounded_and_copies_of_any_text_go(spark):
+    """Few distinct words, no stops, scripts without spaces, long stretches, short texts: a copy within other text is found."""
+    rng = random.Random(12)
+    han = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(120))
+    texts = {
+        "two words": " ".join(rng.choice(["zora", "zote"]) for _ in range(120)),
+        "one word": "zora " * 120,
+        "han": han,
+        "han with stops": "。".join(han[::-1][i : i + 15] for i in range(0, 120, 15)),
+        "thai": "".join(chr(rng.randint(0x0E01, 0x0E2E)) for _ in range(120)),
+        "stretch": "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(900)),
+        "two sentences": "Zora zote zoli zoso zodu zora. Zoli zote zodu zoso zora zoli.",
+    }
+    rows = []
+    for k, text in enumerate(texts.values()):
+        assert max(len(p.split()) for p in op.sentences(text.encode())) <= 10
+        for copy in range(2):
+            around = text if k == len(texts) - 1 else f"{prose(rng, 20)} aa {text} bb {prose(rng, 20)}"
+            rows.append((2 * k + copy, around, "en", "s", 0))
+    assert max(len(p.decode()) for p in op.sentences(han.encode())) <= 10
+    found = {r["doc_id"]: r for r in op.remove_repeats(frame(spark, rows)).collect()}
+    for k, (kind, text) in enumerate(texts.items()):
+        later = found[2 * k + 1]
+        assert len(rows[2 * k + 1][1]) - len(later["text"]) >= 0.6 * len(text), kind
+        if kind not in ("one word", "two words"):  # these repeat themselves
+            assert found[2 * k]["n_removed"] == 0, kind
