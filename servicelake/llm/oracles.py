@@ -93,4 +93,18 @@ kept AS (
 SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(left_over)) AS kept_sha256 FROM kept
 """
 
-ORACLES: dict[str, str] = {"op5_backoff": OP5, "op8_jaccard_join": OP8, "op9_vantage": OP9, "op10_suffix_dedup": OP10}
+OP11 = f"""
+WITH rules(host, path, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+),
+rest AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (SELECT row_number() OVER () AS k, page_id, translate(regexp_extract(r, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fits AS (
+    SELECT p.k, r.host || r.path AS rule, r.verdict FROM parts p JOIN rules r
+    ON (p.host = r.host OR p.host LIKE '%.' || r.host) AND starts_with(p.path, r.path)
+),
+best AS (SELECT k, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fits GROUP BY k)
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict FROM parts p LEFT JOIN best b USING (k)
+"""
+
+ORACLES: dict[str, str] = {"op5_backoff": OP5, "op8_jaccard_join": OP8, "op9_vantage": OP9, "op10_suffix_dedup": OP10, "op11_url_rules": OP11}

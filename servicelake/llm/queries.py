@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicelake.llm import backoff, decontamination, jaccard_join, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, vantage
+from servicelake.llm import backoff, decontamination, jaccard_join, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, url_rules, vantage
 from servicelake.llm.common import read_table, scratch, ship
 from servicelake.llm.oracles import ORACLES
 
@@ -64,6 +64,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
 
 
+#: The rules by which pages are judged.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge_urls(pages, url_rules.rule_rows(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -87,5 +102,6 @@ _OWN: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_vantage": op9_vantage,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_url_rules": op11_url_rules,
 }
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}
