@@ -107,4 +107,83 @@ best AS (SELECT k, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(
 SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict FROM parts p LEFT JOIN best b USING (k)
 """
 
-ORACLES: dict[str, str] = {"op5_backoff": OP5, "op8_jaccard_join": OP8, "op9_vantage": OP9, "op10_suffix_dedup": OP10, "op11_url_rules": OP11}
+#: crc32 bit by bit; edits by a table with one row for each conversation and turn, strings copied whole.
+OP12 = r"""
+WITH RECURSIVE named AS (
+    SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+),
+coded AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)
+    )) % 20 AS kind FROM named
+),
+damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+           unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM coded
+),
+placed AS (
+    SELECT dense_rank() OVER (ORDER BY conv_id) AS c, conv_id, turn, role, text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+    FROM damaged
+),
+faults AS (
+    SELECT *, left(role, 1) AS initial, CASE
+        WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before
+    FROM placed
+),
+counts AS (
+    SELECT c, any_value(conv_id) AS conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY c
+),
+steps AS (
+    SELECT c, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': ''} AS n, {'c': 1000000000::BIGINT, 'a': ''} AS s, {'c': 1000000000::BIGINT, 'a': ''} AS u, {'c': 1000000000::BIGINT, 'a': ''} AS a FROM counts
+    UNION ALL
+    SELECT c, i,
+           {'c': n.c + 3, 'a': n.a || 'D'},
+           list_sort([{'c': s.c + 3, 'a': s.a || 'D'}, CASE WHEN NOT gone AND initial = 's' THEN {'c': n.c + cut, 'a': n.a || 'K'} ELSE {'c': 1000000000::BIGINT, 'a': ''} END])[1],
+           list_sort([{'c': u.c + 3, 'a': u.a || 'D'}, CASE WHEN gone THEN {'c': 1000000000::BIGINT, 'a': ''} ELSE
+               list_sort(list_transform([n, s, a], lambda z: {'c': z.c + cut + CASE initial WHEN 'u' THEN 0 ELSE 2 END, 'a': z.a || CASE initial WHEN 'u' THEN 'K' ELSE 'R' END}))[1] END])[1],
+           list_sort([{'c': a.c + 3, 'a': a.a || 'D'}, CASE WHEN gone THEN {'c': 1000000000::BIGINT, 'a': ''} ELSE
+               {'c': u.c + cut + CASE initial WHEN 'a' THEN 0 ELSE 2 END, 'a': u.a || CASE initial WHEN 'a' THEN 'K' ELSE 'R' END} END])[1]
+    FROM (
+        SELECT c, i, n, s, u, list_sort([a, {'c': u.c + 2, 'a': u.a || 'I'}])[1] AS a, initial, gone, cut
+        FROM (
+            SELECT t.c, r.i, t.n, t.s, list_sort([t.u, {'c': t.n.c + 2, 'a': t.n.a || 'I'}, {'c': t.s.c + 2, 'a': t.s.a || 'I'}, {'c': t.a.c + 2, 'a': t.a.a || 'I'}])[1] AS u, t.a,
+                   r.initial, r.fault IN ('blank', 'duplicate') AS gone, CASE r.fault WHEN 'truncated' THEN 1 ELSE 0 END AS cut
+            FROM steps t JOIN faults r ON r.c = t.c AND r.i = t.i + 1
+        )
+    )
+),
+chosen AS (
+    SELECT t.c, list_sort([t.n, t.a, {'c': t.u.c + 2, 'a': t.u.a || 'I'}, {'c': t.s.c + 4, 'a': t.s.a || 'II'}])[1] AS best
+    FROM steps t JOIN counts k ON k.c = t.c AND k.n = t.i
+),
+letters AS (SELECT c, best.a AS audit, unnest(range(1, length(best.a) + 1)) AS p FROM chosen),
+edits AS (
+    SELECT c, p, substr(audit, p, 1) AS edit, p - (length(substr(audit, 1, p)) - length(replace(substr(audit, 1, p), 'I', ''))) AS i,
+           length(replace(substr(audit, 1, p), 'D', '')) AS place
+    FROM letters
+),
+lines AS (
+    SELECT e.*, r.role, r.text, max(CASE WHEN edit = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.c) AS system
+    FROM edits e LEFT JOIN faults r ON r.c = e.c AND r.i = e.i
+),
+repaired AS (
+    SELECT c, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS digest
+    FROM lines WHERE edit <> 'D' GROUP BY c
+)
+SELECT o.conv_id, coalesce(k.gaps, 0) AS gaps, coalesce(k.blank, 0) AS blank, coalesce(k.duplicate, 0) AS duplicate, coalesce(k.truncated, 0) AS truncated,
+       coalesce(k.illegal, 0) AS illegal, coalesce(x.best.c, 0) AS cost, coalesce(x.best.a, '') AS audit, coalesce(r.digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts k ON k.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN chosen x ON x.c = k.c LEFT JOIN repaired r ON r.c = k.c
+"""
+
+ORACLES: dict[str, str] = {"op5_backoff": OP5, "op8_jaccard_join": OP8, "op9_vantage": OP9, "op10_suffix_dedup": OP10, "op11_url_rules": OP11, "op12_conversation_repair": OP12}

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicelake.llm import backoff, decontamination, jaccard_join, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, url_rules, vantage
+from servicelake.llm import backoff, conversation_repair, decontamination, jaccard_join, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, url_rules, vantage
 from servicelake.llm.common import read_table, scratch, ship
 from servicelake.llm.oracles import ORACLES
 
@@ -79,6 +79,11 @@ def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, url_rules.rule_rows(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.digest(conversations, conversation_repair.repair(*conversation_repair.damaged(conversations)))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -103,5 +108,6 @@ _OWN: dict[str, Query] = {
     "op9_vantage": op9_vantage,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_url_rules": op11_url_rules,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}
