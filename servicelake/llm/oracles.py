@@ -186,4 +186,33 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts k ON k.conv
 LEFT JOIN chosen x ON x.c = k.c LEFT JOIN repaired r ON r.c = k.c
 """
 
-ORACLES: dict[str, str] = {"op5_backoff": OP5, "op8_jaccard_join": OP8, "op9_vantage": OP9, "op10_suffix_dedup": OP10, "op11_url_rules": OP11, "op12_conversation_repair": OP12}
+OP13 = f"""
+WITH numbered AS (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+),
+size AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM numbered WHERE len(w) > 0),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark
+),
+uses AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM numbered) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM uses, size GROUP BY term, docs),
+scored AS (
+    SELECT a.item_id, n.doc_id, sum(x.weight * ((1000000000 * u.tf) // (1000 * u.tf + 20 * (100 - 50 + (50 * len(n.w) * s.docs) // s.terms))))::BIGINT AS score
+    FROM asked a JOIN uses u USING (term) JOIN weights x USING (term) JOIN numbered n USING (d), size s
+    GROUP BY a.item_id, n.d, n.doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_backoff": OP5,
+    "op8_jaccard_join": OP8,
+    "op9_vantage": OP9,
+    "op10_suffix_dedup": OP10,
+    "op11_url_rules": OP11,
+    "op12_conversation_repair": OP12,
+    "op13_lexical_search": OP13,
+}

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servicelake.llm import backoff, conversation_repair, decontamination, jaccard_join, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, url_rules, vantage
+from servicelake.llm import backoff, conversation_repair, decontamination, jaccard_join, lexical_search, licenses, packing, sentence_dedup, suffix_dedup, token_files, toxicity, url_rules, vantage
 from servicelake.llm.common import read_table, scratch, ship
 from servicelake.llm.oracles import ORACLES
 
@@ -84,6 +84,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digest(conversations, conversation_repair.repair(*conversation_repair.damaged(conversations)))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -109,5 +113,6 @@ _OWN: dict[str, Query] = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_url_rules": op11_url_rules,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_lexical_search": op13_lexical_search,
 }
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}
