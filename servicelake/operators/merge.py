@@ -11,13 +11,19 @@ failed job never leaves a half-overwritten table it was reading from.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from servicelake.operators.keys import dedupe_latest
 
 
+def _null_safe(keys: Sequence[str], prefix: str) -> Column:
+    """Equality of each key with the other side's, named with a prefix; NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 class SchemaChangeError(RuntimeError):
     """M3: the incoming columns differ from the target's (policy ``fail``)."""
 
@@ -60,16 +66,17 @@ def upsert(
     target once.  A caller that knows the source's keys to be few (say from
     the footers of a written increment) passes ``source_is_small``: they are
     broadcast and the target is streamed.  Otherwise the planner decides from
-    measured sizes, and AQE splits a skewed target partition.
+    measured sizes, and AQE splits a skewed target partition.  A NULL key is a
+    key like others.  (``operators.keyed`` merges a stored table in place.)
     """
     keys = [key] if isinstance(key, str) else list(key)
     if on_schema_change == "fail":
         assert_same_schema(source, target)
     src = dedupe_latest(source, keys, order)
-    src_keys = src.select(*keys)
+    src_keys = src.select(*[F.col(k).alias(f"_src_{k}") for k in keys])
     if source_is_small:
         src_keys = F.broadcast(src_keys)
-    kept = target.join(src_keys, on=keys, how="left_anti")
+    kept = target.join(src_keys, on=_null_safe(keys, "_src_"), how="left_anti")
     return kept.unionByName(src)
 
 
@@ -85,8 +92,8 @@ def changed_rows(
     which a created-date high-water mark never revisits.  NULL-safe.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    prev = old.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in compare], F.lit(True).alias("_seen"))
-    joined = new.join(prev, on=keys, how="left")
+    prev = old.select(*[F.col(c).alias(f"_old_{c}") for c in dict.fromkeys([*keys, *compare])], F.lit(True).alias("_seen"))
+    joined = new.join(prev, on=_null_safe(keys, "_old_"), how="left")
     differs = F.lit(False)
     for c in compare:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))

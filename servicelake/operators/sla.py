@@ -98,8 +98,31 @@ def _value_at_rank(rank: Column, cum: Column, day: Column, clean: Column) -> Col
     return F.min(F.when(clean & (cum > rank), day))
 
 
+def performance_histogram(enriched: DataFrame) -> DataFrame:
+    """Rows counted (``_n``) by group, clean resolution day, closed or not, breach or not.
+
+    Counts can be added and taken away, so the histogram of a changed table is
+    the old one plus that of new rows less that of replaced ones
+    (``operators.increments``).
+    """
+    keys = [F.col("complaint_type_normalized").alias("complaint_type"), "responsible_agency", "calendar_year", "target_days"]
+    # Only clean (non-anomalous, closed) rows need their day; keying every
+    # other row to a NULL day bounds the histogram by groups x 731 days.
+    return enriched.groupBy(
+        *keys,
+        F.when(~F.col("is_anomaly"), F.col("resolution_days")).alias("_day"),
+        F.col("closed_date").isNotNull().alias("_closed"),
+        F.col("is_sla_breach").alias("_breach"),
+    ).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def sla_performance(enriched: DataFrame) -> DataFrame:
-    """A3: one row per (category, agency, year, target) with 7 measures.
+    """A3: one row per (category, agency, year, target) with 7 measures."""
+    return performance_of(performance_histogram(enriched))
+
+
+def performance_of(cube: DataFrame) -> DataFrame:
+    """A3 from a histogram of ``performance_histogram``.
 
     Breach rate keeps the warehouse model's asymmetry: the denominator is all
     closed requests (anomalies included), the numerator excludes anomalies.
@@ -112,16 +135,6 @@ def sla_performance(enriched: DataFrame) -> DataFrame:
     computed from that histogram; the running count is a window per group
     that holds one row per distinct day of the group, never its rows.
     """
-    keys = [F.col("complaint_type_normalized").alias("complaint_type"), "responsible_agency", "calendar_year", "target_days"]
-    # Only clean (non-anomalous, closed) rows need their day; keying every
-    # other row to a NULL day bounds the histogram by groups x 731 days.
-    rd = F.col("resolution_days")
-    cube = enriched.groupBy(
-        *keys,
-        F.when(~F.col("is_anomaly"), rd).alias("_day"),
-        F.col("closed_date").isNotNull().alias("_closed"),
-        F.col("is_sla_breach").alias("_breach"),
-    ).agg(F.count(F.lit(1)).alias("_n"))
     day = F.col("_day")
     clean = day.isNotNull()
     clean_n = F.when(clean, F.col("_n")).otherwise(F.lit(0))

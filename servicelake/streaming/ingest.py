@@ -23,6 +23,10 @@ from servicelake.session import path_exists
 MAX_FILE_AGE = "365000d"
 
 
+#: The column of the sink that names the file a row came from.
+SOURCE_COL = "_source_file"
+
+
 class IngestError(RuntimeError):
     """Listed files were not ingested."""
 
@@ -41,13 +45,12 @@ def listed_files(spark: SparkSession, source_path: str, glob: str | None = None)
     return reader.load(source_path).select(F.regexp_replace("path", "^file:/+", "/").alias("file"))
 
 
-def ingested_files(spark: SparkSession, checkpoint_path: str) -> DataFrame:
-    """(file): the files that the stream of this checkpoint has taken, from its source log."""
-    log = f"{checkpoint_path.rstrip('/')}/sources/0"
-    if not path_exists(spark, log):
+def ingested_files(spark: SparkSession, sink_path: str, fmt: str = "parquet") -> DataFrame:
+    """(file): the files of which the sink holds rows."""
+    if not path_exists(spark, sink_path):
         return spark.createDataFrame([], "file string")
-    entries = spark.read.text(log).where(F.col("value").startswith("{"))
-    return entries.select(_plain(F.get_json_object("value", "$.path")).alias("file")).distinct()
+    rows = spark.read.format(fmt).schema(f"{SOURCE_COL} string").load(sink_path)
+    return rows.select(_plain(F.col(SOURCE_COL)).alias("file")).distinct()
 
 
 def ingest_available(
@@ -64,10 +67,12 @@ def ingest_available(
 ) -> int:
     """Ingest every file not yet seen under ``source_path``; return the sink's new rows.
 
-    ``transform`` (DataFrame -> DataFrame) may type or filter the stream.
+    ``transform`` (DataFrame -> DataFrame) may type the stream.  It must keep
+    ``SOURCE_COL``, which holds the file of each row, and the rows: a file that
+    has rows of which the sink holds none counts as left out.
     """
     # names of files that arrived since the last run (the stream's driver lists them too)
-    expected = listed_files(spark, source_path, glob).join(ingested_files(spark, checkpoint_path), "file", "left_anti")
+    expected = listed_files(spark, source_path, glob).join(ingested_files(spark, sink_path, fmt), "file", "left_anti")
     expected = spark.createDataFrame(expected.collect(), "file string")
     rows_before = _rows(spark, sink_path, fmt)
     reader = spark.readStream.schema(schema).format(fmt).option("maxFileAge", MAX_FILE_AGE)
@@ -75,7 +80,7 @@ def ingest_available(
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source_path)
+    stream = reader.load(source_path).withColumn(SOURCE_COL, F.col("_metadata.file_path"))
     if transform is not None:
         stream = transform(stream)
     writer = stream.writeStream.format(fmt)
@@ -89,10 +94,10 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
-    left = expected.join(ingested_files(spark, checkpoint_path), "file", "left_anti")
-    missing = left.agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("first")).first()
-    if missing["n"]:
-        raise IngestError(f"{missing['n']} listed files were not ingested, among them {missing['first']}")
+    left = [r["file"] for r in expected.join(ingested_files(spark, sink_path, fmt), "file", "left_anti").collect()]
+    missing = [f for f in left if _rows(spark, f, fmt)]  # a file without rows leaves no trace in the sink
+    if missing:
+        raise IngestError(f"{len(missing)} listed files were not ingested, among them {min(missing)}")
     return _rows(spark, sink_path, fmt) - rows_before
 
 
@@ -104,5 +109,5 @@ def _rows(spark: SparkSession, sink_path: str, fmt: str) -> int:
 
 
 def read_sink(spark: SparkSession, sink_path: str, fmt: str = "parquet") -> DataFrame:
-    """Batch view of the sink (honours the sink's commit log)."""
-    return spark.read.format(fmt).load(sink_path)
+    """The ingested rows (honours the sink's commit log)."""
+    return spark.read.format(fmt).load(sink_path).drop(SOURCE_COL)
