@@ -13,6 +13,7 @@ Date bounds are half-open ``[start, end)`` on every layout.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +92,18 @@ def median_timings(timings: DataFrame) -> DataFrame:
     )
 
 
-def stage_comparison(medians: DataFrame, layouts: list[str], baseline: str) -> DataFrame:
+def unpivoted(records: DataFrame, queries: Sequence[str], value: str = "value") -> DataFrame:
+    """(storage_format, query, value) of wide records, one column for each query; what was not measured is left out."""
+    rows = records.unpivot(["storage_format"], list(queries), "query", value)
+    return rows.where(F.col(value).isNotNull())
+
+
+def median_values(records: DataFrame, value: str = "value") -> DataFrame:
+    """A7 for any measure: its median by layout and query."""
+    return records.groupBy("storage_format", "query").agg(F.median(value).alias("median_seconds"))
+
+
+def stage_comparison(medians: DataFrame, layouts: list[str], baseline: str, label: str = "%.2fs") -> DataFrame:
     """R-8: median per query x layout, speedup vs the baseline, ``PENDING`` if missing.
 
     The expected grid (queries x layouts) is the distinct queries with the
@@ -111,7 +123,7 @@ def stage_comparison(medians: DataFrame, layouts: list[str], baseline: str) -> D
         "median_seconds",
         # The texts of a report's cells.
         F.when(F.col("median_seconds").isNull(), F.lit("PENDING"))
-        .otherwise(F.format_string("%.2fs", F.col("median_seconds")))
+        .otherwise(F.format_string(label, F.col("median_seconds")))
         .alias("time_label"),
         F.when(F.col("storage_format") != F.lit(baseline), speedup("baseline_seconds", "median_seconds")).alias("speedup"),
     ).withColumn(

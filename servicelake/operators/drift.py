@@ -194,6 +194,47 @@ def baseline_action(verdict: DataFrame | None, has_baseline: bool) -> DataFrame
     )
 
 
+def period_snapshots(df: DataFrame, period: Column, json_col: str, newest_first: Sequence[str]) -> DataFrame:
+    """(period, columns): the keys of a period's records, each with the type of its newest value that is not null.
+
+    ``columns`` is an array of (column_name, type_name) in order of name.
+    """
+    fields = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", "map<string,variant>")
+    rows = df.select(period.alias("period"), F.struct(*newest_first).alias("_ord"), F.explode(fields).alias("column_name", "_v"))
+    rows = rows.where(~F.col("column_name").startswith(PLATFORM_PREFIX)).withColumn("_t", variant_type_name(F.col("_v")))
+    newest = rows.where(F.col("_t") != NONE_TYPE).groupBy("period", "column_name").agg(F.max(F.struct("_ord", "_t"))["_t"].alias("type_name"))
+    return newest.groupBy("period").agg(F.array_sort(F.collect_list(F.struct("column_name", "type_name"))).alias("columns"))
+
+
+def baseline_history(snapshots: DataFrame) -> DataFrame:
+    """D4 over time: for each period, in order, what happens to the baseline, and the baseline after it.
+
+    The first snapshot is saved; one that lacks a column of the baseline, or
+    has it with another type, fails and leaves the baseline; one that only has
+    more columns replaces it; an equal one keeps it.  The baseline is carried
+    from period to period by a fold over the ordered snapshots, which are one
+    small row each (a period's columns).
+    """
+    column = "struct<column_name: string, type_name: string>"
+    kind = dict(snapshots.dtypes)["period"]
+    whole = snapshots.agg(F.array_sort(F.collect_list(F.struct("period", "columns"))).alias("all"))
+    start = F.struct(
+        F.lit(None).cast(f"array<{column}>").alias("baseline"),
+        F.array().cast(f"array<struct<period: {kind}, action: string, baseline: array<{column}>>>").alias("log"),
+    )
+
+    def step(state: Column, snapshot: Column) -> Column:
+        old, new = state["baseline"], snapshot["columns"]
+        lost = F.size(F.array_except(old, new)) > 0
+        more = F.size(F.array_except(new, old)) > 0
+        action = F.when(old.isNull(), "save").when(lost, "fail").when(more, "replace").otherwise("keep")
+        after = F.when(action.isin("save", "replace"), new).otherwise(old)
+        entry = F.struct(snapshot["period"].alias("period"), action.alias("action"), after.alias("baseline"))
+        return F.struct(after.alias("baseline"), F.concat(state["log"], F.array(entry)).alias("log"))
+
+    return whole.select(F.inline(F.aggregate("all", start, step)["log"]))
+
+
 def save_baseline(snapshot: DataFrame, baseline_path: str, fmt: str = "parquet") -> str:
     """Write a snapshot as the newest version of the baseline; earlier versions stay."""
     path = f"{baseline_path.rstrip('/')}/v-{time.time_ns():020d}"

@@ -106,16 +106,23 @@ def write_partitioned(
     max_records_per_file: int | None = None,
     sample_rows: int | None = None,
     mode: str = "overwrite",
+    sample_per_partition: int | None = None,
+    sample_key: str = "unique_key",
 ) -> str:
     """Partitioned create-or-replace by month x first letter.
 
     ``table`` also registers the output in the catalog (``saveAsTable`` with
     an explicit path).  ``sample_rows`` is the dry-run mode: a limited sample
-    written to ``<path>_test`` (and ``<table>_test``), never the real target.
+    written to ``<path>_test`` (and ``<table>_test``), never the real target;
+    ``sample_per_partition`` takes so many rows of every partition value
+    instead, by hash of ``sample_key``.
     """
+    if sample_per_partition is not None:
+        df = sample_of_each_partition(df, sample_per_partition, sample_key, ts_col, key_col)
     data = with_partition_columns(df, ts_col, key_col)
     if sample_rows is not None:
         data = data.limit(sample_rows)
+    if sample_rows is not None or sample_per_partition is not None:
         path = f"{path.rstrip('/')}_test"
         table = f"{table}_test" if table else None
     writer = cluster_for_write(data, PARTITION_COLS, (ts_col,)).write.mode(mode).format(fmt).partitionBy(*PARTITION_COLS)
@@ -128,6 +135,18 @@ def write_partitioned(
     return path
 
 
+def sample_of_each_partition(df: DataFrame, per_partition: int, key: str, ts_col: str = "created_date", key_col: str = "borough") -> DataFrame:
+    """S9 without blind spots: of every partition value the ``per_partition`` rows with the least hashes of ``key``.
+
+    Which rows these are does not depend on files or tasks, and no partition
+    value is missing.  Each task keeps that many rows of a partition at most
+    before anything is shuffled.
+    """
+    rows = with_partition_columns(df, ts_col, key_col)
+    least = Window.partitionBy(*PARTITION_COLS).orderBy(F.md5(F.col(key).cast("string")), *df.columns)
+    return rows.withColumn("_place", F.row_number().over(least)).where(F.col("_place") <= per_partition).select(*df.columns)
+
+
 def append_raw(df: DataFrame, path: str, load_id, fmt: str = "parquet") -> str:
     """Append-only landing write; every row carries its ``load_id``."""
     df.withColumn("load_id", F.lit(load_id)).write.mode("append").format(fmt).save(path)
@@ -224,7 +243,9 @@ def with_zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, boundaries: l
 
     Bucket id = number of quantile boundaries below the value (NULL -> 0);
     bit ``i`` of column ``j`` lands at position ``i * k + j``.  Bucket ids
-    are computed once per row in their own projection, then interleaved.
+    are computed once per row in their own projection, then interleaved; the
+    ids of a column of few values are spread over all bits, so that it counts
+    in the order as much as one of many.
     """
     if len(cols) * bits > 62:
         raise ValueError("cols * bits must fit in 62 bits")
@@ -233,7 +254,7 @@ def with_zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, boundaries: l
     bucket_cols = [f"_zb{j}" for j in range(k)]
     with_buckets = df.withColumns(
         {
-            name: F.coalesce(_bucket(bucket_key(df, c), b), F.lit(0)).cast("bigint")
+            name: F.coalesce(_bucket(bucket_key(df, c), b), F.lit(0)).cast("bigint") * ((1 << bits) // (len(b) + 1))
             for name, c, b in zip(bucket_cols, cols, bounds)
         }
     )
@@ -342,6 +363,24 @@ def needs_compaction(
     return total.withColumn("mergeable_files", small.scalar()).withColumn("needs_compaction", F.col("mergeable_files") > F.lit(share) * F.col("files"))
 
 
+def overlap_depth(ranges: DataFrame, low: str, high: str, by: Sequence[str] = ()) -> DataFrame:
+    """L3 measured: how many files' ranges [low, high] hold a value, at most and on average over the ranges' ends.
+
+    A sweep over the ends of all ranges: one more where a range begins, one
+    less after it ends, added up in order.  ``by`` sweeps each partition for
+    itself.  A query for one value must read as many files as hold it; a layout
+    is clustered by a column if that is few.  The sweep follows files, not rows.
+    """
+    ends = ranges.where(F.col(low).isNotNull()).select(
+        *by, F.inline(F.array(F.struct(F.col(low).alias("at"), F.lit(0).alias("after"), F.lit(1).alias("step")), F.struct(F.col(high).alias("at"), F.lit(1).alias("after"), F.lit(-1).alias("step"))))
+    )
+    places = ends.groupBy(*by, "at", "after").agg(F.sum("step").alias("step"))
+    running = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    depth = F.sum("step").over(running.orderBy("at", "after").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    begun = places.withColumn("depth", depth).where("after = 0")
+    return begun.groupBy(*by).agg(F.max("depth").alias("greatest_depth"), F.avg("depth").alias("mean_depth"))
+
+
 def with_file_path(df: DataFrame) -> DataFrame:
     return df.withColumn("file_path", F.col("_metadata.file_path"))
 
