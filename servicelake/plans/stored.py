@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from servicelake.operators import benchmarks, drift, increments, keyed, layout, merge, numbering, quality, run_metrics, sla
 from servicelake.plans import gold
+from servicelake.plans.increment import IncrementConfig, run_increment
 from servicelake.plans.publish import publish
 from servicelake.plans.registry import B_SINCE, C_BOROUGH, C_END, C_START, DEDUPE_ORDER, TYPED_COLUMNS, _partitioned, _stored_performance, register
 from servicelake.session import shared_path
@@ -21,6 +22,8 @@ from servicelake.streaming import upsert as streams
 
 LOADS = range(4)
 
+ANY_ROWS = [quality.Check("any rows", "row_count_gt", None, 0)]
+
 #: Few and small, like the tables here.
 DEALT = {"slots": 4, "buckets": 4}
 
@@ -284,3 +287,15 @@ def storage_order(spark, sf_dir):
     raw_requests(spark, sf_dir).coalesce(1).write.parquet(raw)
     report = layout.storage_report(spark, [("landing", raw), ("partitioned", _partitioned(spark, sf_dir)), ("appended", _appended(spark, sf_dir))])
     return report.select("stage", "layer", "files", "prev_layer", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@register("daily_increment")
+def daily_increment(spark, sf_dir):
+    """I7, M2, M4, A3, Q9, S8 together: the published fact after three runs over arriving files, the loads out of order and one twice."""
+    raw, root = raw_requests(spark, sf_dir), shared_path(spark, "stored", "daily-increment")
+    views = tuple(f"{name}_{root.rsplit('/', 1)[-1]}" for name in ("performance", "trends"))
+    cfg = IncrementConfig(f"{root}/incoming", raw.schema, root, views, FIXTURE_YEAR_CAP, slots=4, buckets=4, performance_checks=ANY_ROWS, trends_checks=ANY_ROWS)
+    for loads in ([3, 0], [1], [2, 1]):
+        raw.where(F.col("load_id").isin(loads)).coalesce(1).write.mode("append").parquet(cfg.incoming_path)
+        run_increment(spark, cfg, fixture_targets(spark))
+    return spark.table(views[0]).withColumns({c: F.round(c, 6) for c in ("p50_resolution_days", "p90_resolution_days")})

@@ -27,7 +27,7 @@ q("stream_upsert", "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY
 _LATEST = BASE.replace("\ntyped AS (", "\nall_typed AS (", 1).replace(
     "\n-- Fixed values: the category rules", f"\ntyped AS {_dedupe().replace('FROM typed', 'FROM all_typed')},\n-- Fixed values: the category rules", 1
 )
-QUERIES["incremental_performance"] = _LATEST + "SELECT * FROM perf"
+QUERIES["incremental_performance"] = QUERIES["daily_increment"] = _LATEST + "SELECT * FROM perf"
 
 _BYTES = "48 + " + " + ".join(f"coalesce(strlen({c}), 0)" for c in ("agency", "complaint_type", "borough", "status"))
 q(
