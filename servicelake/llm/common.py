@@ -85,6 +85,18 @@ def documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as it takes to differ from all that are taken (in any case)."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """A text column's values as UTF-8 bytes (None: null), without decoding them."""
     col = batch.column(column)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from servicelake.llm.blocks import decode_keys, encode_keys, gathered, pack, partition_of, unpack
-from servicelake.llm.common import WordHashes, chunks, forget, mix64, text_key, utf8, written
+from servicelake.llm.common import WordHashes, chunks, forget, fresh, mix64, release, slices, text_key, utf8, written
 
 #: A word with the space about it; with a stop, the last of its sentence.
 _TOKEN = re.compile(rb"[^\S\n]*[^\s.!?]*(?:[.!?\n]+[ \t]*|[^\S\n]+)?")
@@ -62,7 +62,7 @@ _HASH = np.uint64((1 << 64) - (1 << _FLAGS))
 _HALF, _LOW = np.uint64(32), np.uint64((1 << 32) - 1)
 
 SPANS = "doc_id long, text_key long, place int, size int, span long"
-CHUNKS = "block long, n long, doc_id array<long>, text_key array<long>, runs binary, spans binary"
+CHUNKS = "block long, n long, doc_id array<long>, text_key array<long>, pieces array<int>, runs binary, spans binary"
 #: Runs for each hash partition, and bytes that tell those of a partition apart (beyond them, rows do).
 PART_RUNS = 1 << 19
 KEY_BYTES = 4
@@ -163,8 +163,8 @@ def sentences(text: bytes, known: Tokens | None = None) -> list[bytes]:
     return [b"".join(tokens[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def span_hashes(text: bytes, span: int, min_words: int, known: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of the first piece, number of pieces, hash) of the runs of a text.
+def span_hashes(text: bytes, span: int, min_words: int, known: Tokens) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of a text, and (place of the first piece, number of pieces, hash) of its runs.
 
     From every piece on, and back from every piece, the run of ``span``
     pieces, or of as many more as it takes to have ``min_words`` words; of a
@@ -179,9 +179,9 @@ def span_hashes(text: bytes, span: int, min_words: int, known: Tokens) -> tuple[
     if 0 < n < span and counts.sum() >= 6 * min_words:
         span = n  # a whole text of few pieces
     if n < span or not n:
-        return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
+        return len(ends), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
     flat = values[counts > 0] & _HASH
-    starts = np.concatenate([[0], ends])
+    pieces, starts = n, np.concatenate([[0], ends])
     words = np.concatenate([[0], np.cumsum(counts)])[starts]
     ends = np.concatenate([[0], np.cumsum(counts > 0)])[starts]
     sizes = np.diff(ends)
@@ -200,7 +200,7 @@ def span_hashes(text: bytes, span: int, min_words: int, known: Tokens) -> tuple[
     first, last = runs // (n + 1), runs % (n + 1)
     with np.errstate(over="ignore"):
         out = mix64((chain[last] - chain[first]) * back[first] + (last - first).astype(np.uint64))
-    return first.astype(np.int32), (last - first).astype(np.int32), out.view(np.int64)
+    return pieces, first.astype(np.int32), (last - first).astype(np.int32), out.view(np.int64)
 
 
 def _asked(parts: int):
@@ -248,8 +248,11 @@ def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([docs.take(of), batch.column("text_key")[k].values.take(of), pa.array(place), pa.array(size[at]), pa.array(spans[at].view(np.int64))], names=["doc_id", "text_key", "place", "size", "span"])
 
 
-def find_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataFrame:
-    """(doc_id, text_key, place, size) of every run that is not the first of its words; ``place`` counts pieces from 0."""
+def find_runs(docs: DataFrame, span: int = 3, min_words: int = 12) -> tuple[DataFrame, DataFrame]:
+    """Two tables: (doc_id, text_key, place, size) of every run that is not the first of its words, and (doc_id, text_key, pieces) of every text.
+
+    ``place`` counts pieces from 0.  Null texts are in neither.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     keyed = rows.withColumn("text_key", text_key())
 
@@ -257,24 +260,33 @@ def find_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataFra
         known = Tokens()
         block = TaskContext.get().partitionId() << 32
         for batch, texts in chunks(batches, "text", 1 << 22):
-            places, many, spans = zip(*(span_hashes(t, span, min_words, known) for t in texts), strict=True)
+            pieces, places, many, spans = zip(*(span_hashes(t, span, min_words, known) for t in texts), strict=True)
             sizes = np.array([len(x) for x in places], np.int32)
             steps = np.diff(np.concatenate(places), prepend=np.int32(0))  # small, so they take little
             runs = pack(np.concatenate([sizes, steps, *many]).astype("<i4").tobytes())
             own = np.array([0, len(texts)], np.int32)
-            columns = [pa.ListArray.from_arrays(own, batch.column(c)) for c in ("doc_id", "text_key")]
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([int(sizes.sum())]), *columns, pa.array([runs]), pa.array([np.concatenate(spans).astype("<i8").tobytes()])], names=["block", "n", "doc_id", "text_key", "runs", "spans"])
+            columns = [pa.ListArray.from_arrays(own, c) for c in (batch.column("doc_id"), batch.column("text_key"), pa.array(pieces, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([int(sizes.sum())]), *columns, pa.array([runs]), pa.array([np.concatenate(spans).astype("<i8").tobytes()])], names=["block", "n", "doc_id", "text_key", "pieces", "runs", "spans"])
             block += 1
+        known.clear()  # Python workers live on
+        release()
 
     held = written(keyed.mapInArrow(run, CHUNKS), "runs", codec="uncompressed")
     parts = max(1, -(-(held.agg(F.sum("n")).first()[0] or 0) // PART_RUNS))
     asked = held.select("block", "spans").mapInArrow(_asked(parts), "part long, block long, codes binary")
     replies = gathered(asked.groupBy("part").applyInPandas(_answer, "block long, part long, answer binary"))
-    spans = written(held.join(replies, "block", "left").mapInArrow(_recurring, SPANS), "spans")
+    spans = written(held.drop("pieces").join(replies, "block", "left").mapInArrow(_recurring, SPANS), "spans")
+    each = held.select(F.explode(F.arrays_zip("doc_id", "text_key", "pieces")).alias("d"))
+    pieces = written(each.groupBy("d.doc_id", "d.text_key").agg(F.max("d.pieces").alias("pieces")), "pieces")
     forget(held)
     at = F.struct("doc_id", "text_key", "place")
     first = spans.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").select("span", "first")
-    return spans.join(first, "span").where(at != F.col("first")).select("doc_id", "text_key", "place", "size")
+    return spans.join(first, "span").where(at != F.col("first")).select("doc_id", "text_key", "place", "size"), pieces
+
+
+def find_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataFrame:
+    """(doc_id, text_key, place, size) of every run that is not the first of its words."""
+    return find_runs(docs, span, min_words)[0]
 
 
 def remove_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataFrame:
@@ -283,34 +295,51 @@ def remove_repeats(docs: DataFrame, span: int = 3, min_words: int = 12) -> DataF
     A document that had sentences and loses all keeps its row with an empty
     text.  Rows with equal id and text are one document and get one result;
     null ids come before others; null text stays null and has no sentences.
+    Texts of fewer than ``min_words`` words have no run: copies of them stay.
     Ties cannot stand: a place is one document's own.  Extra columns are
-    kept; those with the three names are replaced.
+    kept, whatever their names; those with the three names are replaced.
+
+    A text is cut a second time only if something of it goes.
     """
-    places = find_repeats(docs, span, min_words).select("doc_id", "text_key", F.explode(F.sequence("place", F.col("place") + F.col("size") - 1)).alias("place"))
+    repeats, pieces = find_runs(docs, span, min_words)
+    places = repeats.select("doc_id", "text_key", F.explode(F.sequence("place", F.col("place") + F.col("size") - 1)).alias("place"))
     gone = places.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("place")).alias("removed"))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "removed")
+    told = pieces.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left")
     own = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "removed")]
-    left = docs.select(*own).withColumns({"__id": F.col("doc_id").cast("long"), "__key": text_key()})
-    right = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_key").alias("__gone_key"), "removed")
-    both = left.join(right, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__key") == F.col("__gone_key")), "left").select(*own, "removed")
-    schema = docs.select(*own).schema.add("n_sentences", "long").add("n_removed", "long").add("removed", ArrayType(IntegerType()))
+    id_name, key_name, told_id, told_key = fresh([*own, "n_sentences", "removed"], "id", "key", "told_id", "told_key")
+    told = told.select(F.col("doc_id").alias(told_id), F.col("text_key").alias(told_key), F.col("pieces").cast("long").alias("n_sentences"), "removed")
+    left = docs.select(*[F.col(f"`{c}`") for c in own], F.col("doc_id").cast("long").alias(id_name), text_key().alias(key_name))
+    both = left.join(told, F.col(id_name).eqNullSafe(F.col(told_id)) & (F.col(key_name) == F.col(told_key)) & F.col("text").isNotNull(), "left")
+    both = both.select(*[F.col(f"`{c}`") for c in own], F.coalesce("n_sentences", F.lit(0)).alias("n_sentences"), "removed")
+    schema = docs.select(*[F.col(f"`{c}`") for c in own]).schema.add("n_sentences", "long").add("n_removed", "long").add("removed", ArrayType(IntegerType()))
     names = schema.fieldNames()
     text_at = own.index("text")
+    # by number, as a function over Arrow takes no names with dots
+    both = both.toDF(*[f"c{k}" for k in range(len(own))], "n_sentences", "removed")
+    for k, field in enumerate(schema.fields[: len(own)]):
+        field.name = f"c{k}"
+    schema.names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Tokens()
-        for batch in batches:
-            out, sizes, lost = [], [], []
-            for text, removed in zip(utf8(batch, "text"), batch.column("removed").to_pylist(), strict=True):
-                tokens, _, ends = ([], None, []) if text is None else cut(text, known)
-                drop = set(removed or ())
-                if drop:
+        for batch in slices(batches, f"c{text_at}", 1 << 22):
+            lost = [r or [] for r in batch.column("removed").to_pylist()]
+            texts = batch.column(text_at)
+            touched = [k for k, drop in enumerate(lost) if drop]
+            if touched:
+                out = utf8(batch, f"c{text_at}")
+                for k in touched:
+                    drop = set(lost[k])
+                    tokens, _, ends = cut(out[k], known)
                     at = [0, *ends.tolist()]
-                    text = b"".join(t for k in range(len(ends)) if k not in drop for t in tokens[at[k] : at[k + 1]])
-                out.append(text)
-                sizes.append(len(ends))
-                lost.append(sorted(drop))
+                    out[k] = b"".join(t for i in range(len(ends)) if i not in drop for t in tokens[at[i] : at[i + 1]])
+                texts = pa.array(out, pa.binary()).cast(pa.string())
             columns = [batch.column(k) for k in range(len(own))]
-            columns[text_at] = pa.array(out, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array([len(x) for x in lost], pa.int64()), pa.array(lost, pa.list_(pa.int32()))], names=names)
+            columns[text_at] = texts
+            sizes = batch.column("n_sentences")
+            yield pa.RecordBatch.from_arrays([*columns, sizes, pa.array([len(x) for x in lost], pa.int64()), pa.array(lost, pa.list_(pa.int32()))], names=schema.names)
+        known.clear()
+        release()
 
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(run, schema).toDF(*names)
