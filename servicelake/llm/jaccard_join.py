@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelake.llm.common import WordHashes, bitmap, chunks, documents, forget, in_bitmap, lists, mix64, ngram_hashes, text_key, written
+from servicelake.llm.common import bitmap, chunks, documents, forget, fresh, in_bitmap, lists, mix64, ngram_hashes, text_key, WordHashes, written
 from servicelake.llm.graph import components
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -400,7 +400,7 @@ def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     first = known.where("n > 0").groupBy("group").agg(F.min(rank).alias("first")).select("first.*")
     kept = first.unionByName(known.where("n = 0").select(rank.alias("first")).select("first.*").distinct())
     keys = ["no_id", "id", "key"]
-    names = [f"__{k}" for k in keys]
+    names = fresh(own, *keys)
     doc_id = F.col("doc_id").cast("long")
     keyed = docs.withColumns(dict(zip(names, [doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), text_key()], strict=True)))
-    return keyed.join(kept.toDF(*names), names, "left_semi").dropDuplicates(names).select(*own)
+    return keyed.join(kept.toDF(*names), names, "left_semi").dropDuplicates(names).select(*[F.col(f"`{c}`") for c in own])

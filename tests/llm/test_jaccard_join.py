@@ -91,3 +91,16 @@ def test_empty_table_and_components(spark):
     for task_links in (500_000, 7):
         found = {r["node"]: r["component"] for r in components(links.repartition(5), task_links).collect()}
         assert found == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
+
+
+def test_keep_one_with_clashing_columns(spark):
+    """Names that the operator uses itself stay what they are."""
+    rows = corpus(2)
+    names = ["__no_id", "__id", "__key", "no_id", "id", "key", "id_", "a.b"]
+    docs = frame(spark, rows)
+    plain = {(r["doc_id"], r["text"]) for r in op.keep_one(docs).collect()}
+    kept = op.keep_one(clashing(docs, *names))
+    assert kept.columns == [*docs.columns, *names]
+    found = kept.collect()
+    assert {(r["doc_id"], r["text"]) for r in found} == plain
+    assert {r[n] for r in found for n in names} == {"other"}
