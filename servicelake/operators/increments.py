@@ -56,7 +56,8 @@ def performance(spark: SparkSession, state: str) -> DataFrame:
 def follow(table, source: DataFrame, change_id: str, state: str, enrich: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Merge ``source`` into a keyed table, the greater row of a key staying, and let the state follow; returns the changes.
 
-    Run again with the same id, after whatever failure, it ends in the same table and state.
+    Run again with the same id it ends in the same table and state, wherever it
+    was interrupted but for the moment that ``operators.keyed`` names.
     """
     changes = table.merge(source, change_id, latest=True)
     add(state, change_id, signed_histogram(changes, enrich))

@@ -10,6 +10,12 @@ What a merge changes (old row, new row) is written first, under the merge's id.
 A merge of an id that has been written works from there, so a repeated or
 interrupted batch has the same effect as one, and whoever keeps aggregates of
 the table (``operators.increments``) reads the same changes again.
+
+One moment is not covered.  Spark puts new slot folders in place one by one when
+the writing job commits, on the driver: lost executors do not matter, but a
+driver lost just then may have removed a slot's folder whose replacement still
+lies in Spark's staging folder beside it.  A table format's own MERGE has no
+such moment.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ follows groups and days, checked, and shown to readers only if they pass.
 
 Every step may be repeated: a batch is applied from its written changes, a
 change set counts once, a view moves only to a checked version.  A run that
-failed anywhere is finished by the next.
+failed is finished by the next (but for a driver lost while slots are put in
+place, see ``operators.keyed``).
 """
 
 from __future__ import annotations
