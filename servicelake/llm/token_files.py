@@ -1,8 +1,9 @@
 """Operator 6: token ids as Parquet list columns.
 
-Documents are dealt to ranges of ``doc_id`` (by quantiles of the id column alone,
-so no text is read for them) and sorted; each task encodes
-its range in order and Spark's Parquet writer lays it out: format version 2
+Documents are dealt to ranges of ``doc_id``, more of them the more text there
+is, and sorted.  The bounds are quantiles of the id; where one id fills a range,
+or ranges are many, Spark's own range partitioning by id and text hash takes
+their place.  Each task encodes its range in order and Spark's Parquet writer lays it out: format version 2
 with dictionary pages for the ids (delta-packed where a dictionary does not
 pay) and delta-packed metadata, row groups and pages of a set size, and page
 indexes, so readers can take the metadata columns or a range of documents
@@ -25,14 +26,25 @@ from pyspark.sql import functions as F
 from servicelake.llm.common import documents, slices, text_key
 from servicelake.llm.tokens import DEFAULT_TOKENIZER, encoder
 
+#: Bytes of text in a range, where the session's shuffle partitions are too few for that.
+RANGE_BYTES = 256 << 20
+#: Quantiles of the id that one pass finds; ranges number at most a quarter of that, else Spark cuts them.
+MOST_BOUNDS = 1000
 SCHEMA = "part long, doc_id long, start_in_part long, n_tokens long, ids array<int>"
 
 
-def _bounds(rows: DataFrame, parts: int) -> list[int]:
-    """Quantiles of the ids that cut them into ``parts`` ranges: a bounded sketch over the id column alone."""
-    cuts = [k / parts for k in range(1, parts)]
-    found = rows.agg(F.percentile_approx("doc_id", cuts, 10_000)).first()[0] if cuts else None
-    return sorted(set(found or []))
+def _ranged(rows: DataFrame, parts: int | None) -> DataFrame:
+    """Rows in partitions of ascending (doc_id, text_key), a null id first; without ``parts``, so many as the text needs."""
+    grid = F.percentile_approx("doc_id", [k / MOST_BOUNDS for k in range(1, MOST_BOUNDS)], 10_000)
+    quantiles, size = rows.agg(grid, F.sum(F.octet_length("text"))).first()
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts or max(least, -(-(size or 0) // RANGE_BYTES))
+    keyed = rows.withColumn("text_key", text_key())
+    if quantiles and n <= MOST_BOUNDS // 4:
+        bounds = [quantiles[k * MOST_BOUNDS // n - 1] for k in range(1, n)]
+        if len(set(bounds)) == len(bounds):
+            return keyed.repartitionById(n, _part(F.col("doc_id"), bounds))
+    return keyed.repartitionByRange(n, "doc_id", "text_key")
 
 
 def _part(key: Column, bounds: list[int], low: int = 0, high: int | None = None) -> Column:
@@ -61,9 +73,8 @@ def write_tokens(
     ignored; an empty table gives files without rows.
     """
     rows = documents(docs)
-    n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.withColumns({"text_key": text_key(), "part": _part(F.col("doc_id"), _bounds(rows, n))})
-    ranged = ranged.repartitionById(n, "part").drop("part").sortWithinPartitions("doc_id", "text_key")
+    ranged = _ranged(rows, parts).sortWithinPartitions("doc_id", "text_key")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         part, start = TaskContext.get().partitionId(), 0

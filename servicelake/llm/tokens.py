@@ -55,31 +55,33 @@ class Encoder:
         """Ids of words, each behind a space: end to end in texts of some thousand, cut apart by their bytes."""
         out: list[bytes] = []
         for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            sizes = np.fromiter((len(w.encode()) for w in part), np.int64, len(part)) + 1
-            ids = np.asarray(self.lib.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = (4 * np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(sizes)) + 4).tolist()
+            text = " " + " ".join(words[at : at + 2000])
+            data = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(data == 32)[1:], len(data))  # a word holds no space
+            ids = np.asarray(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = (4 * np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 4).tolist()
             blob = ids.tobytes()
             out += [blob[x:y] for x, y in zip([0, *cuts[:-1]], cuts, strict=True)]
         return out
 
-    def _learn(self, pieces: list[str]) -> list[str]:
-        """Remember new pieces; a mark after a letter is a token run of its own, so the word before it is shared."""
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of new pieces; a mark after a letter is a token run of its own, so the word before it is shared."""
         known = self.known
         marked = [p for p in pieces if p[-1] in _MARKS and p[-2:-1].isalpha()]
-        words = list({p[:-1] for p in marked}.union(pieces).difference(marked) - known.keys())
-        known.update(zip(words, self._joined(words), strict=True))
-        known.update([(p, known[p[:-1]] + self.mark[p[-1]]) for p in marked])
-        return words + marked
-
-    def _forget(self, new: list[str]) -> None:
+        others = [p for p in pieces if p[-1] not in _MARKS or not p[-2:-1].isalpha()] if marked else pieces
+        bases = {p[:-1] for p in marked} - known.keys()
+        words = [p for p in others if p not in bases] + list(bases)
+        new = dict(zip(words, self._joined(words), strict=True))
+        new.update([(p, (new.get(p[:-1]) or known[p[:-1]]) + self.mark[p[-1]]) for p in marked])
+        return new
+
+    def _remember(self, new: dict[str, bytes]) -> None:
         """Hold the memory's size: once full it keeps what it has, and begins anew now and then."""
-        if len(self.known) > self.most:
+        if len(self.known) + len(new) <= self.most:
+            self.known.update(new)
+        else:
             self.full += 1
-            if self.full % 50:
-                for piece in new:
-                    self.known.pop(piece, None)
-            else:
+            if self.full % 50 == 0:
                 self.known.clear()
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +101,7 @@ class Encoder:
         missing = [k for k, ids in enumerate(held) if ids is None and distinct[k]]
         learnt = self._learn([distinct[k] for k in missing])
         for k in missing:
-            held[k] = known[distinct[k]]
+            held[k] = learnt[distinct[k]]
         held = [b"" if ids is None else ids for ids in held]
         firsts = [distinct[k] for k in index[offsets[:-1]]]
         heads = dict.fromkeys(firsts)
@@ -119,7 +121,7 @@ class Encoder:
         many = sizes[index]
         ends = np.cumsum(many)
         at = np.repeat(starts[index] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)
-        self._forget(learnt)
+        self._remember(learnt)
         return flat[at], np.concatenate([[0], ends])[offsets[1:]]
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from servicelake.llm import packing, token_files
-from servicelake.llm.tokens import DEFAULT_TOKENIZER, encoder, tokenizer_path
+from servicelake.llm.tokens import DEFAULT_TOKENIZER, Encoder, encoder, tokenizer_path
 
 from .helpers import clashing, corpus, frame
 
@@ -114,6 +114,30 @@ def test_files_round_trip(spark, library, tmp_dir, parts):
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_crc32"]) for r in found) == want
 
 
+def test_ranges_follow_the_text_and_a_hot_id_is_spread(spark, library, tmp_dir, monkeypatch):
+    rows = [(k if k % 2 else 7, f"text {k} " + "word " * (k % 11), None, None, None) for k in range(600)]
+    monkeypatch.setattr(token_files, "RANGE_BYTES", 1500)
+    token_files.write_tokens(frame(spark, rows), f"{tmp_dir}/t")
+    stored = token_files.read_tokens(spark, f"{tmp_dir}/t", ["part", "doc_id"]).collect()
+    size = sum(len(r[1]) for r in rows)
+    assert size // 1500 // 2 < len({r["part"] for r in stored}) <= size // 1500 + 1
+    assert len({r["part"] for r in stored if r["doc_id"] == 7}) > 3
+    found = sorted(token_files.catalogue(spark, f"{tmp_dir}/t").collect(), key=lambda r: r["start"])
+    assert [r["start"] for r in found] == np.cumsum([0, *(r["n_tokens"] for r in found[:-1])]).tolist()
+    assert [r["doc_id"] for r in found] == sorted(r[0] for r in rows)
+    assert sorted(r["ids_crc32"] for r in found) == sorted(crc([*ids_of(library, r[1]), 2]) for r in rows)
+
+
+def test_a_full_memory_changes_no_ids(library):
+    rng = np.random.default_rng(1)
+    own = Encoder(DEFAULT_TOKENIZER, most=50)
+    for _ in range(60):
+        texts = [" ".join(rng.choice(["word", "word.", "Word,", "x1.", "..", "a,b", "é.", "日本", "long" * 9], 30)) + f" w{rng.integers(99)}" for _ in range(4)]
+        ids, ends = own.encode(pa.array(texts), 2)
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [[*ids_of(library, t), 2] for t in texts]
+        assert len(own.known) <= 50
+
+
 def test_selective_reads(spark, library, tmp_dir):
     rows = [(k, f"text {k} " + "word " * k, None, None, None) for k in range(300)]
     token_files.write_tokens(frame(spark, rows), f"{tmp_dir}/t", parts=2)
