@@ -228,7 +228,7 @@ def judge(strings: list[bytes], routes: np.ndarray, docs: np.ndarray, length: in
         of = np.repeat(np.arange(len(shared)), sizes + 1)
         room = ends[of] - np.arange(len(text))
         sa = suffix_array(symbols, 257)
-        common = permuted_lcp(text, sa, room)
+        common = permuted_lcp(text, sa, np.minimum(room, length))  # whether ``length`` bytes agree is all that is asked
         full = sa[room[sa] >= length]
         first = np.flatnonzero(np.concatenate([[True], common[full[1:]] < length]))
         doc = least[shared][of[full]]

@@ -5,18 +5,24 @@ The leftmost-smaller (LMS) substrings are put in order by two inductions and
 named; if names repeat, the shorter string of names is sorted first,
 recursively.  Two inductions from the sorted LMS suffixes then order all.
 
-An induction goes through the buckets of first symbols; what a bucket holds so
+An induction goes through the buckets of first symbols.  What a bucket holds so
 far induces its left neighbours at once, as arrays, and again as long as some
-fall into the same bucket.  That needs few buckets: a string of names has as
-many symbols as names, so beyond ``MOST_SYMBOLS`` of them the recursion ends in
-prefix doubling.
+fall into the same bucket; few suffixes (a run of one symbol induces one at a
+time) are taken one by one.  A string of names has about as many buckets as
+suffixes, so beyond ``MANY_SYMBOLS`` all are taken one by one.  Either way an
+induction is linear.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
-MOST_SYMBOLS = 2048
+#: Fewer suffixes than this are induced one by one, as arrays cost some microseconds each.
+FEW = 64
+#: With more buckets than this, all suffixes are.
+MANY_SYMBOLS = 2048
 
 
 def classify(s: np.ndarray) -> np.ndarray:
@@ -51,44 +57,118 @@ class _Buckets:
 
     def induce(self, lms: np.ndarray) -> None:
         """From LMS suffixes in some order (stable within a bucket) to all suffixes."""
+        if len(self.end) > MANY_SYMBOLS:
+            return self._induce_singly(lms)
+        few = FEW
+        s, smaller, sa = memoryview(self.s), memoryview(self.smaller), memoryview(self.sa)
+        starts, counts = (self._deal(lms)[k] for k in (0, 3)) if len(lms) else (lms, np.zeros(len(self.end), np.int64))
+        ends = np.cumsum(counts)
+        own_starts = memoryview(starts)
         head = self.start.copy()
+        at = memoryview(head)
 
         def put_larger(own: np.ndarray) -> None:
             own = own[own >= 0]
             own = own[~self.smaller[own]]
             if len(own):
-                own, symbols, rank, counts = self._deal(own)
+                own, symbols, rank, found = self._deal(own)
                 self.sa[head[symbols] + rank] = own
-                head[:] += counts
+                head[:] += found
 
-        starts, symbols, _, counts = self._deal(lms) if len(lms) else (lms, None, None, np.zeros(len(self.end), np.int64))
-        ends = np.cumsum(counts)
         put_larger(np.array([len(self.s) - 1], np.int32))
+        firsts, lasts = (ends - counts).tolist(), ends.tolist()
+        fronts = self.start.tolist()
         for c in self.used:
-            done = self.start[c]
-            while done < head[c]:
-                upto = head[c]
-                put_larger(self.sa[done:upto] - 1)
-                done = upto
-            if counts[c]:
-                put_larger(starts[ends[c] - counts[c] : ends[c]] - 1)
+            done = fronts[c]
+            while done < at[c]:
+                upto = at[c]
+                if upto - done >= few:
+                    put_larger(self.sa[done:upto] - 1)
+                    done = upto
+                    continue
+                while done < upto:
+                    i = sa[done] - 1
+                    done += 1
+                    if i >= 0 and not smaller[i]:
+                        k = s[i]
+                        sa[at[k]] = i
+                        at[k] += 1
+                    upto = at[c]
+            if lasts[c] - firsts[c] >= few:
+                put_larger(starts[firsts[c] : lasts[c]] - 1)
+                continue
+            for j in range(firsts[c], lasts[c]):  # the left neighbour of an LMS suffix is larger
+                i = own_starts[j] - 1
+                k = s[i]
+                sa[at[k]] = i
+                at[k] += 1
         tail = self.end.copy()
+        to = memoryview(tail)
 
         def put_smaller(own: np.ndarray) -> None:
             own = own[own >= 0]
             own = own[self.smaller[own]]
             if len(own):
-                own, symbols, rank, counts = self._deal(own)
+                own, symbols, rank, found = self._deal(own)
                 self.sa[tail[symbols] - 1 - rank] = own
-                tail[:] -= counts
+                tail[:] -= found
 
+        backs = self.end.tolist()
         for c in reversed(self.used):
-            done = self.end[c]
-            while done > tail[c]:
-                upto = tail[c]
-                put_smaller(self.sa[upto:done][::-1] - 1)
-                done = upto
-            put_smaller(self.sa[self.start[c] : head[c]][::-1] - 1)
+            done = backs[c]
+            while done > to[c]:
+                upto = to[c]
+                if done - upto >= few:
+                    put_smaller(self.sa[upto:done][::-1] - 1)
+                    done = upto
+                    continue
+                while done > upto:
+                    done -= 1
+                    i = sa[done] - 1
+                    if i >= 0 and smaller[i]:
+                        k = s[i]
+                        to[k] -= 1
+                        sa[to[k]] = i
+                    upto = to[c]
+            if at[c] - fronts[c] >= few:
+                put_smaller(self.sa[fronts[c] : at[c]][::-1] - 1)
+                continue
+            for j in range(at[c] - 1, fronts[c] - 1, -1):
+                i = sa[j] - 1
+                if i >= 0 and smaller[i]:
+                    k = s[i]
+                    to[k] -= 1
+                    sa[to[k]] = i
+
+
+    def _induce_singly(self, lms: np.ndarray) -> None:
+        """The same, with one look at each suffix in order, in place of one at each bucket."""
+        n = len(self.s)
+        before = np.full(n + 1, -1, np.int32)  # the symbol before each suffix, if the suffix there is larger; -1 stands for no suffix
+        before[1:n] = np.where(self.smaller[:-1], -1, self.s[:-1])
+        self.sa.fill(-1)
+        if len(lms):
+            own, symbols, rank, counts = self._deal(lms)
+            self.sa[(self.end - counts)[symbols] + rank] = own
+        head, symbol = array("q", self.start.astype(np.int64).tobytes()), int(self.s[n - 1])
+        sa, left = array("i", self.sa.tobytes()), array("i", before.tobytes())
+        sa[head[symbol]] = n - 1
+        head[symbol] += 1
+        for i in sa:
+            k = left[i]
+            if k >= 0:
+                h = head[k]
+                sa[h] = i - 1
+                head[k] = h + 1
+        before[1:n] = np.where(self.smaller[:-1], self.s[:-1], -1)
+        left, tail = array("i", before.tobytes()), array("q", self.end.astype(np.int64).tobytes())
+        for i in reversed(sa):
+            k = left[i]
+            if k >= 0:
+                h = tail[k] - 1
+                tail[k] = h
+                sa[h] = i - 1
+        self.sa = np.frombuffer(sa, np.int32)
 
 
 def _name(s: np.ndarray, order: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -100,50 +180,24 @@ def _name(s: np.ndarray, order: np.ndarray, stop: np.ndarray) -> np.ndarray:
     same[1:] &= stop[order[:-1]] < len(s)
     left = np.flatnonzero(same)
     at = 0
-    while len(left):
+    while len(left) >= FEW:
         differ = s[order[left] + at] != s[order[left - 1] + at]
         same[left[differ]] = False
         left = left[~differ]
         at += 1
         left = left[size[left] > at]
+    for k in left.tolist():  # the few long ones whole
+        a, b = order[k], order[k - 1]
+        same[k] = np.array_equal(s[a + at : a + size[k]], s[b + at : b + size[k]])
     return np.cumsum(~same) - 1
 
 
-def _double(s: np.ndarray) -> np.ndarray:
-    """Prefix doubling; only suffixes that still tie are sorted again."""
-    n = len(s)
-    order = np.argsort(s, kind="stable")
-    ordered = s[order]
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    k = 1
-    while True:
-        first = np.flatnonzero(np.append(new, True))
-        size = np.diff(first)
-        tied = np.repeat(size > 1, size)
-        if not tied.any():
-            return order
-        at = np.flatnonzero(tied)
-        own = order[at]
-        behind = np.where(own + k < n, rank[np.minimum(own + k, n - 1)] + 1, 0)
-        key = rank[own] * (n + 1) + behind
-        within = np.argsort(key, kind="stable")
-        own, key = own[within], key[within]
-        order[at] = own
-        fresh = np.concatenate([[True], key[1:] != key[:-1]])
-        new[at] = fresh
-        rank[own] = np.maximum.accumulate(np.where(fresh, at, 0))
-        k *= 2
-
-
 def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     """Starts of the suffixes of ``s`` (values from 0, under ``symbols``) in order; an end is smaller than any symbol."""
     n = len(s)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    if symbols > MOST_SYMBOLS:
-        return _double(s).astype(np.int32)
+    s = np.ascontiguousarray(s)
     smaller = classify(s)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]).astype(np.int32) + np.int32(1)
     buckets = _Buckets(s, symbols, smaller)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -58,8 +59,9 @@ def test_empty_table(spark):
 
 def test_suffix_arrays_and_common_prefixes(monkeypatch):
     rng = np.random.default_rng(0)
-    for most in (2048, 2):
-        monkeypatch.setattr(suffix_sort, "MOST_SYMBOLS", most)
+    for few, many in ((64, 2048), (1, 2048), (64, 2), (1, 1)):  # by arrays, one by one, and both
+        monkeypatch.setattr(suffix_sort, "FEW", few)
+        monkeypatch.setattr(suffix_sort, "MANY_SYMBOLS", many)
         for _ in range(300):
             symbols = int(rng.integers(1, 6))
             s = rng.integers(0, symbols, int(rng.integers(0, 70)))
@@ -74,3 +76,27 @@ def test_suffix_arrays_and_common_prefixes(monkeypatch):
             while m < min(room[a], room[b]) and s[a + m] == s[b + m]:
                 m += 1
             assert common[a] == m
+
+
+def test_text_of_some_hundred_kilobytes_is_sorted_by_recursion(monkeypatch):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    data = " ".join(rng.choice(words) for _ in range(60_000)).encode()
+    levels = []
+    whole = suffix_sort.suffix_array
+    monkeypatch.setattr(suffix_sort, "suffix_array", lambda s, symbols: levels.append((len(s), symbols)) or whole(s, symbols))
+    sa = suffix_sort.suffix_array(np.frombuffer(data, np.uint8).astype(np.int64), 256)
+    assert len(levels) > 2 and any(symbols > suffix_sort.MANY_SYMBOLS for _, symbols in levels)
+    assert all(2 * b[0] <= a[0] for a, b in zip(levels, levels[1:]))
+    assert sorted(sa.tolist()) == list(range(len(data)))
+    assert all(data[a : a + 400] < data[b : b + 400] for a, b in zip(sa[:-1].tolist(), sa[1:].tolist()))
+
+
+def test_long_runs_of_one_byte_take_linear_time():
+    seconds = []
+    for n in (250_000, 1_000_000):
+        begun = time.process_time()
+        whole, some = op.judge([b"x" + b"a" * n, b"y" + b"a" * n], np.array([1, 1], np.uint64), np.array([1, 2]), 50)
+        seconds.append(time.process_time() - begun)
+        assert not whole.any() and len(some[0]) == 0 and some[1].tolist() == list(range(1, n - 48))
+    assert seconds[1] < 4 * 2.5 * seconds[0]
