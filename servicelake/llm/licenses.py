@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -66,10 +67,10 @@ def parse(text: str) -> list[str]:
 
     Words that fit no expression (prose after it, a closing comment mark) end it.
     """
-    best: list[str] = []
     out: list[str] = []
     stack: list[str] = []
-    operand_next, at = True, 0
+    best: tuple[int, list[str]] = (0, [])  # how much of ``out``, and the operators behind it (outside brackets at most three)
+    operand_next, at, opened = True, 0, 0
     while m := _TOKEN.match(text, at):
         at = m.end()
         token = m[1]
@@ -77,6 +78,7 @@ def parse(text: str) -> list[str]:
         if operand_next:
             if token == "(":
                 stack.append(token)
+                opened += 1
                 continue
             if token == ")" or word in _BINDS:
                 break
@@ -88,6 +90,7 @@ def parse(text: str) -> list[str]:
             if not stack:
                 break
             stack.pop()
+            opened -= 1
         elif word in _BINDS:
             while stack and stack[-1] != "(" and _BINDS[stack[-1]] >= _BINDS[word]:
                 out.append(stack.pop())
@@ -96,9 +99,9 @@ def parse(text: str) -> list[str]:
             continue
         else:
             break
-        if "(" not in stack:
-            best = out + stack[::-1]
-    return best
+        if not opened:
+            best = len(out), stack[::-1]
+    return out[: best[0]] + best[1]
 
 
 def evaluate(postfix: list[str]) -> tuple[frozenset[str], bool]:
@@ -106,15 +109,19 @@ def evaluate(postfix: list[str]) -> tuple[frozenset[str], bool]:
 
     An exception after ``WITH`` names no licence and leaves its licence's answer.
     """
-    stack: list[tuple[frozenset[str], bool]] = []
+    stack: list[tuple[set[str], bool]] = []
     for token in postfix:
         if token in _BINDS:
             (b, b_free), (a, a_free) = stack.pop(), stack.pop()
-            stack.append((a, a_free) if token == "with" else (a | b, (a_free and b_free) if token == "and" else (a_free or b_free)))
+            if token != "with":
+                a, b = (a, b) if len(a) >= len(b) else (b, a)
+                a |= b  # the smaller into the larger: long expressions stay cheap
+                a_free = (a_free and b_free) if token == "and" else (a_free or b_free)
+            stack.append((a, a_free))
         else:
             name = family(token)
-            stack.append((frozenset({name}), name in PERMISSIVE))
-    return stack[-1]
+            stack.append(({name}, name in PERMISSIVE))
+    return frozenset(stack[-1][0]), stack[-1][1]
 
 
 def automaton():
@@ -135,12 +142,12 @@ def automaton():
 def scan(text: bytes, machine) -> tuple:
     """One document's row, without its id."""
     words = text.translate(_LOWER).split()
-    line = f" {b' '.join(words).decode('latin-1')} "
+    spaced = b" %b " % b" ".join(words)
     places: list[int] = []
     base: set[str] = set()
     evidence: set[tuple[str, str]] = set()
     tagged = False
-    for end, (size, what) in machine.iter(line):
+    for end, (size, what) in machine.iter(spaced.decode("latin-1")):
         for kind, label in what:
             if kind == "tag":
                 tagged = True
@@ -148,7 +155,10 @@ def scan(text: bytes, machine) -> tuple:
             evidence.add((kind, label))
             if kind == "base":
                 base.add(label)
-                places.append(line.count(" ", 0, end - size + 1))
+                places.append(end - size + 1)
+    if places:  # characters to words: each has one space before it
+        gaps = np.flatnonzero(np.frombuffer(spaced, np.uint8) == 32)
+        places = np.searchsorted(gaps, places).tolist()
     expressions: list[str] = []
     free = None
     for m in _TAG_LINE.findall(text) if tagged else ():
