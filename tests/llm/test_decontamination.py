@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -44,8 +45,34 @@ def test_tiles_match_the_slow_way():
             known = np.where(np.isin(doc, item), doc, -1)
             fast = op.tile(item, known, least)
             slow = slow_tiles(item.tolist(), known.tolist(), least)
-            assert [t[2] for t in fast] == [t[2] for t in slow]
-            assert all((item[i : i + n] == doc[d : d + n]).all() for i, d, n in fast)
+            assert fast == slow
+
+
+def test_equal_hashes_of_other_words_make_no_tile(monkeypatch):
+    monkeypatch.setattr(op.Runs, "hashes", lambda self, n, at: np.zeros(len(at), np.uint64))
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        item, doc = rng.integers(0, 3, 12), rng.integers(0, 3, 30)
+        tiles = op.tile(item, doc, 3)
+        assert all((item[i : i + n] == doc[d : d + n]).all() for i, d, n in tiles)
+        assert [t[2] for t in tiles] == [t[2] for t in slow_tiles(item.tolist(), doc.tolist(), 3)]
+
+
+def test_long_repeated_words_take_linear_time():
+    item = np.concatenate([np.zeros(1000, np.int64), np.arange(1, 1001)])
+    seconds = []
+    for n in (50_000, 200_000):
+        begun = time.process_time()
+        assert op.tile(item, np.zeros(n, np.int64), 5) == [(0, 0, 1000)]
+        seconds.append(time.process_time() - begun)
+    assert seconds[1] < 4 * 2.5 * seconds[0]
+
+
+def test_items_of_few_words_leak_as_a_whole(spark):
+    docs = frame(spark, [(1, "so Forty-two it is", "en", "s", 1), (2, "two and forty", "en", "s", 1), (3, None, None, None, None), (4, "a b c d e f g", "en", "s", 1)])
+    benchmark = bench(spark, [(1, "forty two"), (2, ""), (3, None), (4, "b c d f"), (5, "x a b c d e")])
+    assert {(r["doc_id"], r["item_id"]) for r in op.find_leaks(docs, benchmark).collect()} == {(1, 1), (4, 5)}
+    assert sorted(r["doc_id"] for r in op.remove_leaks(docs, benchmark).collect()) == [2, 3]
 
 
 def bench(spark, rows):
