@@ -28,6 +28,8 @@ from servicelake.llm.common import chunks, documents
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 PREFIXES = (3, 4, 5)
 BATCH = 64
+#: Words of a text that are pooled at a time.
+STRETCH = 1 << 14
 #: Hashed features of fewer training texts keep a zero vector.
 MIN_DOCS = 3
 
@@ -121,14 +123,8 @@ def _fit_network(texts: list[np.ndarray], features: np.ndarray, labels: np.ndarr
             row_grads: list[np.ndarray] = []
             for d in batch.tolist():
                 ids = texts[d]
-                x = emb[features[ids]].sum(1)
-                pooled, places = np.zeros(total, np.float32), {}
-                for j, w in enumerate(widths):
-                    answer = _convolve(x, filters[w])
-                    if len(answer):
-                        top = answer.argmax(0)
-                        places[w] = top
-                        pooled[j * n_filters : (j + 1) * n_filters] = answer[top, np.arange(n_filters)]
+                best, places = _pool(ids, emb, features, filters, widths)
+                pooled = np.concatenate([best[w] for w in widths]) if len(ids) else np.zeros(total, np.float32)
                 hidden = pooled + bias
                 active = hidden > 0
                 z = float((hidden * active) @ out + out_bias)
@@ -141,10 +137,11 @@ def _fit_network(texts: list[np.ndarray], features: np.ndarray, labels: np.ndarr
                     if w not in places:
                         continue
                     top, own = places[w], back[j * n_filters : (j + 1) * n_filters]
-                    for k in range(min(w, len(x))):
-                        inside = np.flatnonzero(top + k < len(x))  # the rest is padding
-                        grads[f"w{w}"][k][:, inside] += (x[top[inside] + k] * own[inside, None]).T
-                        rows.append(features[ids[top[inside] + k]])
+                    for k in range(min(w, len(ids))):
+                        inside = np.flatnonzero(top + k < len(ids))  # the rest is padding
+                        at_top = features[ids[top[inside] + k]]
+                        grads[f"w{w}"][k][:, inside] += (emb[at_top].sum(1) * own[inside, None]).T
+                        rows.append(at_top)
                         row_grads.append((filters[w][k][:, inside] * own[inside]).T)
             step += 1
             n = len(batch)
@@ -170,6 +167,26 @@ def _fit_network(texts: list[np.ndarray], features: np.ndarray, labels: np.ndarr
     return Model(buckets, emb, filters, bias, out, float(out_bias))
 
 
+def _pool(ids: np.ndarray, emb: np.ndarray, features: np.ndarray, filters: dict[int, np.ndarray], widths: tuple[int, ...]) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """Each filter's largest answer over a whole text and its (first) place, by width; a long text is read a stretch at a time."""
+    best: dict[int, np.ndarray] = {}
+    places: dict[int, np.ndarray] = {}
+    for first in range(0, len(ids), STRETCH):
+        x = emb[features[ids[first : first + STRETCH + max(widths) - 1]]].sum(1)
+        for w in widths:
+            if first and len(x) < w:
+                continue
+            answer = _convolve(x[: STRETCH + w - 1], filters[w])
+            top = answer.argmax(0)
+            largest = answer[top, np.arange(answer.shape[1])]
+            if first:
+                more = largest > best[w]
+                best[w], places[w] = np.where(more, largest, best[w]), np.where(more, top + first, places[w])
+            else:
+                best[w], places[w] = largest, top
+    return best, places
+
+
 def _convolve(x: np.ndarray, filters: np.ndarray) -> np.ndarray:
     """Answers (places, filters) of one width; a text shorter than the filter is padded by zeros behind."""
     w = len(filters)
@@ -222,8 +239,8 @@ class Scorer:
             for j, w in enumerate(self.widths):
                 size = max(n - w + 1, 1)
                 best = None
-                for first in range(0, size, 1 << 14):  # long texts a stretch at a time
-                    last = min(size, first + (1 << 14))
+                for first in range(0, size, STRETCH):  # long texts a stretch at a time
+                    last = min(size, first + STRETCH)
                     total = None
                     for k in range(w):
                         part = own[first + k : min(last + k, n)]
@@ -280,14 +297,12 @@ def train(
     epochs: int = 4,
     min_steps: int = 400,
     rate: float = 0.01,
-    max_words: int = 4_000,
     seed: int = 7,
 ) -> Model:
     """Fit on at most ``max_train`` rows of (text, lang, label), see ``training_rows``; one in five calibrates.
 
-    A training text of more than ``max_words`` words gives a stretch of that
-    many (the fit alone is bounded so; scoring takes whole texts).  A small
-    sample is gone through more often, for ``min_steps`` steps.  Rows
+    Texts are whole, in the fit as in scoring; their number alone is bounded.  A
+    small sample is gone through more often, for ``min_steps`` steps.  Rows
     without a label or text are left out; without both labels the model
     answers with the labels' share.
     """
@@ -302,12 +317,7 @@ def train(
         empty.shift = float(np.log(share / (1 - share)))
         return empty
     vocabulary = Vocabulary(buckets)
-    rng = np.random.default_rng(seed)
-    ids = []
-    for t in texts:
-        own = vocabulary.of(words_of(t))
-        first = int(rng.integers(0, len(own) - max_words + 1)) if len(own) > max_words else 0
-        ids.append(own[first : first + max_words])
+    ids = [vocabulary.of(words_of(t)) for t in texts]
     features = vocabulary.rows()
     del vocabulary
     held = np.arange(len(ids)) % 5 == 4
@@ -354,8 +364,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = 8_000) ->
     """(text, lang, label) of labelled documents that are not held out: about 19 in 20 of ``max_train``, by a hash of the id.
 
     The labels are sampled before they meet the texts, so few rows are joined.
+    Of several labels of one document the largest counts, so none multiplies a
+    text; a document that stands in several rows gives each of them.
     """
     own = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").alias("label")).where("label_id is not null and label is not null").where(~held_out("label_id"))
+    own = own.groupBy("label_id").agg(F.max("label").alias("label"))
     n = own.count()
     if n > max_train:
         of = 1 << 30

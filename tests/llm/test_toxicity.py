@@ -102,3 +102,34 @@ def test_threshold_of_best_f1():
     assert op.best_threshold(np.array([0.9, 0.8, 0.4, 0.1]), np.array([1, 1, 0, 0]), 0.3) == pytest.approx(0.6)
     assert op.best_threshold(np.array([0.5, 0.5]), np.array([1, 0]), 0.3) == pytest.approx(0.25)
     assert op.best_threshold(np.array([0.5]), np.array([1]), 0.3) == 0.3
+
+
+def test_training_reads_whole_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    features, emb = rng.integers(0, 40, (30, 2)), rng.normal(size=(40, 5)).astype(np.float32)
+    filters = {w: rng.normal(size=(w, 5, 4)).astype(np.float32) for w in (1, 2, 3)}
+    for n in (0, 1, 2, 3, 8, 9, 10, 11, 50):
+        ids = rng.integers(0, 30, n)
+        monkeypatch.setattr(op, "STRETCH", 1 << 14)
+        whole = op._pool(ids, emb, features, filters, (1, 2, 3))
+        monkeypatch.setattr(op, "STRETCH", 4)
+        parts = op._pool(ids, emb, features, filters, (1, 2, 3))
+        for w in whole[0]:
+            assert np.allclose(whole[0][w], parts[0][w], atol=1e-5) and (whole[1][w] == parts[1][w]).all()
+
+
+def test_long_texts_train_by_words_anywhere_in_them(spark):
+    rng = random.Random(4)
+    calm = lambda n: " ".join(rng.choice(["sun", "tree", "road", "house", "river", "stone"]) for _ in range(n))
+    rows = [(calm(9000) + " vileword " + calm(9000) if k % 2 else calm(18000), "en", k % 2) for k in range(24)]
+    model = op.train(spark.createDataFrame(rows, "text string, lang string, label int"), buckets=1 << 10, min_steps=60)
+    low, high = op.Scorer(model).scores([calm(20000).encode(), (calm(15000) + " vileword " + calm(5000)).encode()])
+    assert low < 0.3 <= high
+
+
+def test_labels_that_repeat_or_contradict(spark):
+    docs = spark.createDataFrame([(k, f"text {k}", "en") for k in range(8)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, x) for k in range(8) for x in (0, k % 2, 0)], "doc_id long, toxic int")
+    found = sorted(tuple(r) for r in op.training_rows(docs, labels).collect())
+    want = [(f"text {k}", "en", k % 2) for k in range(8) if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert found == sorted(want)
