@@ -37,7 +37,7 @@ from servicelake.operators import drift, keys, layout, merge, quality, sla
 from servicelake.operators.joins import MAX_BROADCAST_BYTES, size_in_bytes
 from servicelake.plans.gold import GoldTables, build_gold
 from servicelake.session import keep_newest_versions, path_exists
-from servicelake.streaming.ingest import ingest_available
+from servicelake.streaming.ingest import decoded_path, ingest_available
 
 
 class SchemaDriftError(RuntimeError):
@@ -166,8 +166,8 @@ def run_daily(
 
     # 2. schema drift gate on the files the pending rows came from (their
     #    footers only: the cost follows files, not rows)
-    files = [r[SOURCE_COL] for r in increment.select(SOURCE_COL).distinct().collect()]
-    snapshot = drift.file_schema_snapshot(spark, [f.replace("%20", " ") for f in files])
+    files = [r[0] for r in increment.select(decoded_path(F.col(SOURCE_COL))).distinct().collect()]
+    snapshot = drift.file_schema_snapshot(spark, files)
     if snapshot is None:
         action, description = "keep", "no new files"
     else:

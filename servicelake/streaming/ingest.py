@@ -31,10 +31,14 @@ class IngestError(RuntimeError):
     """Listed files were not ingested."""
 
 
+def decoded_path(path: Column) -> Column:
+    """A file path as ``_metadata.file_path`` gives it, without URL encoding."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _plain(path: Column) -> Column:
     """A file path without URL encoding and with one form of the local scheme."""
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^file:/+", "/")
+    return F.regexp_replace(decoded_path(path), "^file:/+", "/")
 
 
 def listed_files(spark: SparkSession, source_path: str, glob: str | None = None) -> DataFrame:

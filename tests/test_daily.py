@@ -1,4 +1,5 @@
 import os
+import shutil
 import time
 
 import pytest
@@ -138,6 +139,19 @@ def test_old_file_with_a_lacking_column_is_gated(spark, tmp_dir):
     assert layout.read_partitioned(spark, cfg.silver_path).count() == raw.where("load_id = 0").count()
 
 
+def test_files_of_any_name_are_gated(spark, tmp_dir):
+    raw = raw_requests(spark, SF_SMALL)
+    cfg = _cfg(tmp_dir, raw.schema)
+    cfg.gold_checks = cfg.trends_checks = []
+    raw.where("load_id = 0").coalesce(1).write.parquet(f"{tmp_dir}/out")
+    part = next(n for n in os.listdir(f"{tmp_dir}/out") if n.endswith(".parquet"))
+    os.makedirs(cfg.incoming_path)
+    shutil.copy(f"{tmp_dir}/out/{part}", f"{cfg.incoming_path}/day 1+2 50% %20 #3.parquet")
+    first = run_daily(spark, cfg, fixture_targets(spark))
+    assert first.drift_action == "save"
+    assert first.ingested_rows == raw.where("load_id = 0").count()
+
+
 def test_old_versions_are_expired(spark, tmp_dir):
     raw = raw_requests(spark, SF_SMALL).where("unique_key % 10 < 2").cache()
     cfg = _cfg(tmp_dir, raw.schema)
