@@ -83,6 +83,7 @@ def pack(
     block_docs: int = 1 << 15,
     linear: float = 1.0,
     quadratic: float | None = None,
+    slice_bytes: int = 1 << 22,
 ) -> DataFrame:
     """Pieces of all documents in sequences of at most ``capacity`` tokens (a power of two).
 
@@ -91,7 +92,9 @@ def pack(
     ``sequence_id``, ``offset`` there, the sequence's ``capacity`` and
     ``cost``.  Null or empty text is a document of the end id alone; a null
     doc_id stays null; repeated rows are documents of their own; other columns
-    are ignored; an empty table gives no pieces.
+    are ignored; an empty table gives no pieces.  Texts are encoded in slices
+    of about ``slice_bytes``: what a worker holds besides its block follows the
+    slice.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
@@ -114,7 +117,7 @@ def pack(
             for at in range(0, out.num_rows, 4096):
                 yield out.slice(at, 4096)
 
-        for rows in slices(batches, "text", 1 << 24):
+        for rows in slices(batches, "text", slice_bytes):
             flat, ends = encode(rows.column("text"), end_id)
             blob, at = memoryview(flat).cast("B"), 0
             for doc_id, end in zip(rows.column("doc_id").to_pylist(), (4 * ends).tolist(), strict=True):

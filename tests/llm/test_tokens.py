@@ -161,3 +161,15 @@ def test_selective_reads(spark, library, tmp_dir):
 def test_no_rows_in_files(spark, tmp_dir):
     token_files.write_tokens(frame(spark, []), f"{tmp_dir}/t")
     assert token_files.catalogue(spark, f"{tmp_dir}/t").count() == 0
+
+
+def test_packing_encodes_in_small_slices(spark):
+    """What a worker holds besides its block follows the slice; the pieces do not depend on it."""
+    import inspect
+
+    from servicelake.llm import packing
+
+    assert inspect.signature(packing.pack).parameters["slice_bytes"].default <= 1 << 22
+    docs = spark.createDataFrame([(k, " ".join(f"word{k * j}" for j in range(60))) for k in range(40)], "doc_id long, text string").coalesce(1)
+    one, many = (sorted(map(tuple, packing.digest(packing.pack(docs, 64, slice_bytes=n)).collect())) for n in (1 << 22, 100))
+    assert one == many and len({r[0] for r in one}) == 40
