@@ -7,10 +7,11 @@ JSON records and from typed tables compare on equal terms.
 
 Key inference parses each record once into a ``VARIANT``, explodes its
 top-level fields and keeps, per key, the type of the first non-null value in
-newest-first order.  A hash aggregate first counts the kinds each key takes;
-keys with one kind are settled by it, and only keys whose kind changes
-between records go through the ordered ``max_by`` (a sort-based aggregate).
-Everything is partially aggregated per key, so it scales to the whole
+newest-first order.  A hash aggregate first finds the kinds each key takes and
+the newest value of the first order column for each; a key is settled by it
+unless several kinds share the newest one.  Only the records with that value
+then go through the ordered ``max_by``.  Rows are never dealt by key, of which
+there are few: everything is partially aggregated, so it scales to the whole
 table (no driver-side loop, no sample needed).
 """
 
@@ -22,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from servicelake.operators.joins import bounded_broadcast
 from servicelake.session import materialize
 
 PLATFORM_PREFIX = ":"
@@ -60,32 +62,37 @@ def json_key_types(
     rows = df
     if sample is not None:
         rows = rows.orderBy(*[F.desc(c) for c in newest_first]).limit(sample)
-    fields = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", "map<string,variant>")
-    exploded = rows.select(
-        F.struct(*[F.col(c) for c in newest_first]).alias("_ord"),
-        F.explode(fields).alias("column_name", "_v"),
-    ).where(~F.col("column_name").startswith(PLATFORM_PREFIX))
-    typed = exploded.select("column_name", "_ord", variant_type_name(F.col("_v")).alias("_t"))
+
+    def kinds_of(records: DataFrame) -> DataFrame:
+        fields = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", "map<string,variant>")
+        exploded = records.select(
+            F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(newest_first)]).alias("_ord"),
+            F.explode(fields).alias("column_name", "_v"),
+        ).where(~F.col("column_name").startswith(PLATFORM_PREFIX))
+        return exploded.select("column_name", "_ord", variant_type_name(F.col("_v")).alias("_t"))
+
     non_null = F.col("_t") != F.lit(NONE_TYPE)
-    # Pass 1 (hash aggregate, fixed-width buffers): which non-null kinds
-    # each key takes.  Materialised: it has one row per (key, kind).
-    summary = materialize(
-        typed.groupBy("column_name", "_t")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("column_name")
-        .agg(
-            F.count_if(non_null).alias("_kinds"),
-            F.max(F.when(non_null, F.col("_t"))).alias("_only"),
-        )
-    )
-    simple = summary.where(F.col("_kinds") <= 1).select(
+    # Pass 1 (hash aggregate, fixed-width buffers for numbers and times): the
+    # kinds each key takes and where each is newest by the first order column.
+    # Materialised: it has one row per (key, kind).
+    summary = materialize(kinds_of(rows).groupBy("column_name", "_t").agg(F.max("_ord.o0").alias("_top")))
+    newest = summary.where(non_null).groupBy("column_name").agg(F.max("_top").alias("_newest"))
+    # a kind that is not the newest has its name left out
+    both = summary.join(newest.withColumnRenamed("column_name", "_key"), F.col("column_name") == F.col("_key"), "left")
+    held = F.when(non_null & F.col("_top").eqNullSafe(F.col("_newest")), F.col("_t"))
+    found = both.groupBy("column_name").agg(F.count(held).alias("_kinds"), F.max(held).alias("_only"), F.first("_newest").alias("_newest"))
+    found = materialize(found)
+    simple = found.where(F.col("_kinds") <= 1).select(
         "column_name", F.coalesce("_only", F.lit(NONE_TYPE)).alias("type_name")
     )
-    conflicted = summary.where(F.col("_kinds") > 1).select("column_name")
-    if conflicted.isEmpty():
+    tied = found.where(F.col("_kinds") > 1).select(F.col("column_name").alias("_key"), "_newest")
+    if tied.isEmpty():
         return simple
-    # Pass 2 only for keys whose kind changes between records: newest first.
-    ordered = typed.where(non_null).join(conflicted, "column_name", "left_semi")
+    # Pass 2 only for keys with several kinds there, and only over the records there: newest first.
+    places = tied.select(F.col("_newest").alias("_place")).distinct()
+    there = rows.join(bounded_broadcast(places), rows[newest_first[0]].eqNullSafe(F.col("_place")), "left_semi")
+    on = (F.col("column_name") == F.col("_key")) & F.col("_ord.o0").eqNullSafe(F.col("_newest"))
+    ordered = kinds_of(there).where(non_null).join(bounded_broadcast(tied), on, "left_semi")
     resolved = ordered.groupBy("column_name").agg(F.max_by("_t", "_ord").alias("type_name"))
     return simple.unionByName(resolved)
 

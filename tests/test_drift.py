@@ -84,3 +84,12 @@ def test_file_schema_snapshot_reads_just_these_files(spark, tmp_dir):
     assert drift.file_schema_snapshot(spark, []) is None
     with pytest.raises(Exception, match="(?i)path|exist"):
         drift.file_schema_snapshot(spark, [f"{tmp_dir}/none.parquet"])
+
+
+def test_kinds_of_a_key_are_settled_without_dealing_rows_by_key(spark):
+    rows = [(1, 1, '{"a": "s", "b": 1, "c": null}'), (2, 1, '{"a": 1, "b": "s", "c": null}'), (2, 2, '{"a": null, "b": 1.5}'), (None, 9, '{"a": true, "n": 1}'), (None, 10, '{"n": "s"}')]
+    df = spark.createDataFrame(rows, "at long, seq long, j string")
+    found = drift.json_key_types(df, "j", ["at", "seq"])
+    # b: two kinds share the newest time, the later number decides; n: only rows without a time
+    assert {r.column_name: r.type_name for r in found.collect()} == {"a": "int", "b": "float", "c": "NoneType", "n": "str"}
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
