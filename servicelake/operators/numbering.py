@@ -47,8 +47,24 @@ def with_positions(df: DataFrame, order: Sequence[Column | str], name: str = "po
     return placed.select(*df.columns, (F.col("first") + F.col(_AT) + F.lit(first)).alias(name))
 
 
-def disorder_in_files(df: DataFrame, order: str) -> DataFrame:
-    """(file, rows, out_of_order): rows of each Parquet file, and those whose ``order`` is less than that of the row before (K5)."""
+def disorder_in_files(df: DataFrame, order: str, block_rows: int = 1 << 17) -> DataFrame:
+    """(file, rows, out_of_order): rows of each Parquet file, and those whose ``order`` is less than that of the row before (K5).
+
+    Files are taken in blocks of rows, dealt so that a task has some
+    ``block_rows`` of them however large files are; the first row of a block is
+    then compared with the last one of the block before.
+    """
     rows = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), F.col(order).alias("value"))
-    before = F.lag("value").over(Window.partitionBy("file").orderBy("at"))
-    return rows.withColumn("before", before).groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value") < F.col("before")).alias("out_of_order"))
+    rows = rows.withColumn("block", F.floor(F.col("at") / F.lit(block_rows)).cast("bigint"))
+    tasks = max(1, -(-df.count() // block_rows))  # counted from the files' footers
+    before = F.lag("value").over(Window.partitionBy("file", "block").orderBy("at"))
+    blocks = rows.repartition(tasks, "file", "block").withColumn("before", before).groupBy("file", "block")
+    blocks = blocks.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("value") < F.col("before")).alias("inside"),
+        F.min_by("value", "at").alias("head"),
+        F.max_by("value", "at").alias("tail"),
+    )
+    earlier = F.lag("tail").over(Window.partitionBy("file").orderBy("block"))
+    between = F.when(F.col("head") < F.col("earlier"), 1).otherwise(0)
+    return blocks.withColumn("earlier", earlier).groupBy("file").agg(F.sum("rows").alias("rows"), F.sum(F.col("inside") + between).alias("out_of_order"))

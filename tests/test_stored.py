@@ -98,3 +98,13 @@ def test_unmeasured_cells_are_pending(spark):
     medians = benchmarks.median_values(benchmarks.unpivoted(wide, ["q1", "q2"]))
     got = {(r["query"], r["storage_format"]): (r["time_label"], r["speedup_label"]) for r in benchmarks.stage_comparison(medians, ["raw", "z"], "raw", "%.0f rows").collect()}
     assert got == {("q1", "raw"): ("20 rows", ""), ("q1", "z"): ("5 rows", "(4.0x faster)"), ("q2", "raw"): ("4 rows", ""), ("q2", "z"): ("PENDING", "")}
+
+
+def test_disorder_is_seen_between_blocks_of_a_large_file(spark, tmp_dir):
+    values = [1, 3, 2, 5, 4, 4, None, 3, 9, 8]
+    spark.createDataFrame([(v,) for v in values], "a long").coalesce(1).write.parquet(f"{tmp_dir}/t")
+    for size in (1, 2, 3, 4, 100):
+        row = numbering.disorder_in_files(spark.read.parquet(f"{tmp_dir}/t"), "a", block_rows=size).first()
+        assert (row["rows"], row["out_of_order"]) == (10, 3), size
+    plan = numbering.disorder_in_files(spark.read.parquet(f"{tmp_dir}/t"), "a", block_rows=2)._jdf.queryExecution().executedPlan().toString()
+    assert "block" in plan.split("Window", 1)[1]
