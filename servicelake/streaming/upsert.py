@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from servicelake.operators.keyed import KeyedTable
+from servicelake.session import split_session
 from servicelake.streaming.ingest import MAX_FILE_AGE
 
 
@@ -52,7 +53,8 @@ def upsert_available(
             on_changes(changes, name)
         batches += 1
 
-    reader = spark.readStream.schema(schema).format(fmt).option("maxFileAge", MAX_FILE_AGE)
+    # a batch is sorted by key as it is read, so its splits are small
+    reader = split_session(spark).readStream.schema(schema).format(fmt).option("maxFileAge", MAX_FILE_AGE)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:

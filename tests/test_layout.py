@@ -212,3 +212,24 @@ def test_empty_key_and_digit_prefixes(spark, tmp_dir):
     for value, keys_ in (("", [1]), ("7TH", [2])):
         got = back.where((F.col("borough") == value) & layout.partition_predicates(None, {"borough": value})).select("k").collect()
         assert [r.k for r in got] == keys_
+
+
+def test_tables_that_are_sorted_as_they_are_read_are_read_in_small_splits(spark, tmp_dir):
+    from servicelake.session import split_session
+
+    most, name = 8 << 20, "spark.sql.files.maxPartitionBytes"
+    path = layout.write_partitioned(_typed(spark), f"{tmp_dir}/p")
+    assert int(layout.file_index(spark, path, ["borough"]).sparkSession.conf.get(name)) <= most
+    assert split_session(spark).conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert split_session(spark).conf.get(name) != spark.conf.get(name)
+    spark.range(300_000).coalesce(1).write.option("parquet.block.size", 100_000).parquet(f"{tmp_dir}/one")
+    assert split_session(spark, 200_000).read.parquet(f"{tmp_dir}/one").rdd.getNumPartitions() > spark.read.parquet(f"{tmp_dir}/one").coalesce(1).rdd.getNumPartitions()
+
+
+def test_landing_records_are_joined_once(spark):
+    from servicelake.plans import registry
+
+    path = registry._landed(spark, SF_SMALL)
+    assert registry._landed(spark, SF_SMALL) == path
+    assert path in registry._raw(spark, SF_SMALL).inputFiles()[0]
+    assert verify.content_parity(_typed(spark), registry._typed(spark, SF_SMALL)).first().equal
