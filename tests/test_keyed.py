@@ -136,3 +136,15 @@ def test_counts_follow_and_fold(spark, tmp_dir):
     want = [("x", 2), ("z", 5)]
     assert rows_of(increments.histogram(spark, state)) == want
     assert rows_of(increments.histogram(spark, increments.folded(spark, state, f"{tmp_dir}/folded"))) == want
+
+
+def test_queries_deal_tables_by_their_rows(spark, tmp_dir):
+    from servicelake.operators import layout
+    from servicelake.plans import stored
+
+    assert stored._dealt(spark.range(10)) == {"slots": 4, "buckets": 4}
+    assert stored._dealt(spark.range(7 * stored.BUCKET_ROWS + 1))["buckets"] == 8
+    rows = spark.range(0, 100, 1, 12)
+    for most, files in ((1000, 1), (30, 4)):
+        path = layout.write_landing(rows, f"{tmp_dir}/landing-{most}", rows_per_file=most)
+        assert layout.file_stats(spark, path).first().files == files and spark.read.parquet(path).count() == 100
