@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from servicelake.operators.keys import dedupe_latest
 from servicelake.operators.merge import assert_same_schema
-from servicelake.session import path_exists
+from servicelake.session import path_exists, split_session
 
 SLOT = "_slot"
 
@@ -66,15 +66,25 @@ class KeyedTable:
         """Its name in the session's catalog, by which Spark knows the buckets."""
         return "keyed_" + hashlib.sha256(f"{self.path}|{self.slots}|{self.buckets}".encode()).hexdigest()[:24]
 
+    @property
+    def session(self) -> SparkSession:
+        """The session in which the table is read, merged and written: with as many shuffle partitions as buckets.
+
+        So what is dealt by key meets its buckets as it is, and a task's share
+        does not grow with the rows, as long as the buckets follow them.
+        """
+        return split_session(self.spark, partitions=self.buckets)
+
     def _registered(self) -> str:
-        if not self.spark.catalog.tableExists(self.name):
+        spark = self.session
+        if not spark.catalog.tableExists(self.name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
-            self.spark.sql(
+            spark.sql(
                 f"CREATE TABLE {self.name} ({columns}, {SLOT} INT) USING parquet OPTIONS (path '{self.rows_path}', partitionOverwriteMode 'dynamic') "
                 f"PARTITIONED BY ({SLOT}) CLUSTERED BY ({_quoted(self.keys)}) SORTED BY ({_quoted(self.keys)}) INTO {self.buckets} BUCKETS"
             )
             if path_exists(self.spark, self.rows_path):
-                self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+                spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
         return self.name
 
     def slot(self) -> Column:
@@ -82,7 +92,7 @@ class KeyedTable:
 
     def read(self, slots: Sequence[int] | None = None) -> DataFrame:
         """The rows, of some slots only if given: a filter on folders."""
-        rows = self.spark.table(self._registered())
+        rows = self.session.table(self._registered())
         if slots is not None:
             rows = rows.where(F.col(SLOT).isin([int(s) for s in slots]))
         return rows.select(*self.schema.fieldNames())
@@ -112,14 +122,14 @@ class KeyedTable:
                 assert_same_schema(source, self.spark.createDataFrame([], self.schema))
             self._changes(source.select(*self.schema.fieldNames()), latest).write.mode("overwrite").parquet(path)
         pair = T.StructType([T.StructField(c, T.StructType(self.schema.fields)) for c in ("old", "new")])
-        changes = self.spark.read.schema(pair).parquet(path)
+        changes = self.session.read.schema(pair).parquet(path)
         self._apply(changes)
         return changes
 
     def _changes(self, source: DataFrame, latest: bool) -> DataFrame:
         names = self.schema.fieldNames()
         new = dedupe_latest(source, self.keys, self.order)
-        target = self.read(self._slots_of(source)) if path_exists(self.spark, self.rows_path) else self.spark.createDataFrame([], self.schema)
+        target = self.read(self._slots_of(source)) if path_exists(self.spark, self.rows_path) else self.session.createDataFrame([], self.schema)
         pairs = self._pairs(target, new)
         rest = [c for c in names if c not in self.keys and c not in self.order]
         if latest:
@@ -138,7 +148,7 @@ class KeyedTable:
         Keys without NULL are joined by plain equality, which the buckets serve;
         the few others null-safely.
         """
-        whole = self._side(new, True, "new").join(self._side(target, True, "old"), self.keys, "left")
+        whole = self._side(target, True, "old").join(self._side(new, True, "new"), self.keys, "right")  # the table's session leads
         odd = self._side(target, False, "old").withColumnsRenamed({k: f"_old_{k}" for k in self.keys})
         on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in self.keys])
         return whole.select("old", "new").unionByName(self._side(new, False, "new").join(odd, on, "left").select("old", "new"))

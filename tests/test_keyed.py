@@ -148,3 +148,13 @@ def test_queries_deal_tables_by_their_rows(spark, tmp_dir):
     for most, files in ((1000, 1), (30, 4)):
         path = layout.write_landing(rows, f"{tmp_dir}/landing-{most}", rows_per_file=most)
         assert layout.file_stats(spark, path).first().files == files and spark.read.parquet(path).count() == 100
+
+
+def test_merges_are_dealt_by_the_buckets(spark, tmp_dir):
+    """Whatever the session's own number of shuffle partitions is."""
+    table = make(spark, f"{tmp_dir}/t", [(k, "a", 1, "v") for k in range(100)], buckets=3)
+    changes = table._changes(spark.createDataFrame([(3, "a", 2, "w"), (3, "a", 1, "u"), (None, "a", 1, "n")], SCHEMA).repartition(2), False)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    assert own != "3" and ", 3), ENSURE_REQUIREMENTS" in plan and f", {own}), ENSURE_REQUIREMENTS" not in plan
+    assert rows_of(changes.select("new.*")) == [(3, "a", 2, "w"), (None, "a", 1, "n")]
