@@ -82,3 +82,17 @@ def test_zone_independent_text_and_seconds(spark):
         assert df.select(clean.parse_ts(clean.ntz_text("a")).alias("p")).first().p == dt.datetime(1998, 10, 11, 0, 0, 0, 250000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_landing_text_of_any_year_and_fraction(spark):
+    want = {
+        "1998-10-18 00:30:00": "1998-10-18T00:30:00.000",
+        "2001-01-01 12:00:00.01": "2001-01-01T12:00:00.010",
+        "9999-12-31 23:59:59.999999": "9999-12-31T23:59:59.999",
+        "0001-01-01 00:00:00.0009": "0001-01-01T00:00:00.000",
+        "+12345-01-01 00:00:00": "12345-01-01T00:00:00.000",
+        "-0005-03-04 01:02:03": "-005-03-04T01:02:03.000",
+    }
+    df = spark.createDataFrame([(x,) for x in want], "s string").select("s", clean.ntz_text(F.col("s").cast("timestamp_ntz")).alias("text"))
+    assert {r.s: r.text for r in df.collect()} == want
+    assert "overlay" in df._jdf.queryExecution().analyzed().toString()  # not formatted field by field
