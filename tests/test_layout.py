@@ -233,3 +233,26 @@ def test_landing_records_are_joined_once(spark):
     assert registry._landed(spark, SF_SMALL) == path
     assert path in registry._raw(spark, SF_SMALL).inputFiles()[0]
     assert verify.content_parity(_typed(spark), registry._typed(spark, SF_SMALL)).first().equal
+
+
+def test_shuffles_follow_the_landing_records(spark, monkeypatch):
+    from servicelake import session
+    from servicelake.plans import registry
+    from servicelake.sources.fixtures import table
+
+    assert [session.partitions_for(n) for n in (0, 1, 250_000, 250_001, 1_000_000, 1_000_001)] == [1, 1, 1, 2, 4, 8]
+    name = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(name)
+    monkeypatch.setattr(registry, "_ROWS", {})
+    assert registry._sized(spark, SF_SMALL).conf.get(name) == own  # few rows: no fewer than the session's
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    assert int(registry._sized(spark, SF_SMALL).conf.get(name)) == session.partitions_for(table(spark, SF_SMALL, "lineitem").count()) > int(own)
+    assert spark.conf.get(name) == own
+
+
+def test_a_stored_table_is_not_copied_for_its_z_order(spark, tmp_dir, monkeypatch):
+    rows = _typed(spark)
+    rows.write.parquet(f"{tmp_dir}/typed")
+    monkeypatch.setattr(layout, "remove_path", lambda *a: (_ for _ in ()).throw(AssertionError("a copy was made")))
+    path = layout.write_zordered(spark.read.parquet(f"{tmp_dir}/typed"), f"{tmp_dir}/z", stored=True)
+    assert verify.content_parity(rows, spark.read.parquet(path).select(*rows.columns)).first().equal
