@@ -16,7 +16,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
+    return packing.digest(packing.pack(read_table(spark, sf_dir, "documents"), slice_bytes=1 << 24))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
